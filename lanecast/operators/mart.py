@@ -57,7 +57,7 @@ def charges_by_currency(charges: DataFrame) -> DataFrame:
 
 def known_port_contracts(datapoints: DataFrame, ports: DataFrame) -> DataFrame:
     """Valid contracts whose both ports exist (inner-join semantics)."""
-    p = broadcast_if_small(ports.select("port_id").distinct(), "ports")
+    p = ports.select("port_id")  # semi join: duplicates on this side are harmless
     dp = datapoints.filter(F.col("valid_from") <= F.col("valid_to"))
     dp = dp.join(p.withColumnRenamed("port_id", "origin_port_id"), "origin_port_id", "left_semi")
     return dp.join(p.withColumnRenamed("port_id", "destination_port_id"), "destination_port_id",
@@ -68,7 +68,13 @@ def contract_days(datapoints: DataFrame, charges: DataFrame, window=None) -> Dat
     """(contract attrs, currency, charge_total, valid_day) for each day of the
     contract's validity, clipped to ``window`` = (lo, hi) Columns if given."""
     cols = ["datapoint_id", "created", "company_id", "supplier_id", *LANE, "valid_from", "valid_to"]
-    joined = datapoints.select(*cols).join(charges_by_currency(charges), "datapoint_id")
+    # Shuffle-hash join on the contract id, built on the contract side (one
+    # row per id, so no hot build key): the output stays hash-partitioned by
+    # datapoint_id, which lets the explode and the contract-day aggregate run
+    # without shuffling the exploded rows.  A broadcast of either side would
+    # lose that partitioning.
+    joined = (datapoints.select(*cols).hint("shuffle_hash")
+              .join(charges_by_currency(charges), "datapoint_id"))
     lo, hi = F.col("valid_from"), F.col("valid_to")
     if window is not None:
         lo, hi = F.greatest(lo, window[0]), F.least(hi, window[1])
@@ -136,11 +142,11 @@ def lane_aggregate(prices: DataFrame, hot: DataFrame | None = None) -> DataFrame
 
 
 def enrich_and_finish(agg: DataFrame, ports: DataFrame, params: MartParams) -> DataFrame:
-    """Port names/regions for both ends (role-playing broadcast dimension),
-    rounding, coverage flag and load date; columns in mart order."""
+    """Port names/regions for both ends (role-playing dimension, broadcast
+    when ``ports`` was size-checked), rounding, coverage flag and load date;
+    columns in mart order."""
     side = ports.select("port_id", F.col("code").alias("port_code"),
                         F.col("name").alias("port_name"), "region_name", "country_code")
-    side = broadcast_if_small(side, "ports")
     o = side.select(*[F.col(c).alias(f"origin_{c}") for c in schemas.PORT_SIDE])
     d = side.select(*[F.col(c).alias(f"destination_{c}") for c in schemas.PORT_SIDE])
     out = (agg.join(o, "origin_port_id").join(d, "destination_port_id")
@@ -158,6 +164,7 @@ def daily_lane_equipment_prices(datapoints: DataFrame, charges: DataFrame, rates
                                 window=None, check_hot: bool = True) -> DataFrame:
     """The mart from staged tables.  ``window`` = (lo, hi) date Columns
     restricts the recomputed days (incremental run)."""
+    ports = broadcast_if_small(ports, "ports")  # one check, both uses
     dp = known_port_contracts(datapoints, ports)
     prices = contract_daily_price(contract_days(dp, charges, window), rates)
     hot = None

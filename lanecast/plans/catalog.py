@@ -113,3 +113,88 @@ mart_report("origin_activity", R.origin_activity, O.with_mart(
 mart_report("destination_activity", R.destination_activity, O.with_mart(
     "SELECT destination_port_name, count(origin_port_name) AS origin_ports FROM mart "
     "GROUP BY destination_port_name"))
+
+# ---- dashboard queries D1-D11 ------------------------------------------
+from lanecast.plans import dashboards as D  # noqa: E402
+
+# Dashboard inputs used for the fixture (codes / regions /
+# countries of the fixture ports, date ranges inside the fixture years).
+PAIR = ("NATION_1", "NATION_%")
+RANGE_A = ("1996-01-01", "1999-12-31")
+RANGE_B = ("1997-01-01", "1997-12-31")
+RANGE_C = ("1998-01-01", "1998-12-31")
+RANGE_D = ("2000-01-01", "2000-06-30")
+AFTER_DAY = "2000-06-01"
+
+_D1 = ("SELECT valid_day, equipment_id, origin_region_name, destination_region_name, origin_port_name, "
+       f"destination_port_name, avg_price_usd, median_price_usd, dq_ok, {LANE} AS lane_description "
+       "FROM mart WHERE dq_ok = TRUE AND equipment_id = coalesce({eq}, equipment_id)")
+mart_report("daily_shipping_prices", D.daily_shipping_prices, O.with_mart(_D1.format(eq="NULL")))
+mart_report("daily_shipping_prices_eq2", D.daily_shipping_prices, O.with_mart(_D1.format(eq="2")),
+            equipment_id=2)
+mart_report("dq_summary", D.dq_summary, O.with_mart(
+    "SELECT valid_day, count(*) FILTER (WHERE dq_ok = true) AS covered_lanes, "
+    "count(*) FILTER (WHERE dq_ok = false) AS uncovered_lanes FROM mart GROUP BY valid_day"))
+mart_report("dq_failures", D.dq_failures, O.with_mart(
+    "SELECT valid_day, equipment_id, origin_port_name, destination_port_name, distinct_companies_count, "
+    "distinct_suppliers_count FROM mart WHERE dq_ok = false"))
+_D4 = ("SELECT valid_day, count(*) AS total_lane_days, count(CASE WHEN dq_ok THEN 1 END) AS reliable_lane_days, "
+       "round((count(CASE WHEN dq_ok THEN 1 END) * 100.0 / count(*)), 2) AS pct_reliable "
+       "FROM mart WHERE equipment_id = coalesce({eq}, equipment_id) GROUP BY valid_day")
+mart_report("data_coverage", D.data_coverage, O.with_mart(_D4.format(eq="NULL")))
+mart_report("data_coverage_eq1", D.data_coverage, O.with_mart(_D4.format(eq="1")), equipment_id=1)
+mart_report("dq_failure_reason", D.dq_failure_reason, O.with_mart(
+    "SELECT valid_day, origin_port_code, destination_port_code, equipment_id, "
+    "CASE WHEN distinct_companies_count < 5 THEN 'Needs more companies' "
+    "WHEN distinct_suppliers_count < 2 THEN 'Needs more suppliers' ELSE 'OK' END AS dq_issue "
+    f"FROM mart WHERE dq_ok = FALSE AND valid_day > '{AFTER_DAY}'"), after=AFTER_DAY)
+mart_report("port_pair_series", D.port_pair_series, O.with_mart(
+    "SELECT valid_day, avg_price_usd, median_price_usd FROM mart "
+    f"WHERE origin_port_code LIKE '{PAIR[0]}' AND destination_port_code LIKE '{PAIR[1]}' "
+    "AND equipment_id = coalesce(NULL, equipment_id) AND dq_ok = TRUE "
+    f"AND valid_day BETWEEN '{RANGE_A[0]}' AND '{RANGE_A[1]}'"),
+    origin_code=PAIR[0], destination_code=PAIR[1], start=RANGE_A[0], end=RANGE_A[1])
+mart_report("port_pair_series_all", D.port_pair_series, O.with_mart(
+    "SELECT valid_day, avg_price_usd, median_price_usd FROM mart "
+    "WHERE origin_port_code LIKE '%' AND destination_port_code LIKE '%' "
+    "AND equipment_id = coalesce(NULL, equipment_id) AND dq_ok = TRUE "
+    f"AND valid_day BETWEEN '{RANGE_B[0]}' AND '{RANGE_B[1]}'"), start=RANGE_B[0], end=RANGE_B[1])
+mart_report("avg_median_gap", D.avg_median_gap, O.with_mart(
+    "SELECT valid_day, avg_price_usd, median_price_usd, (avg_price_usd - median_price_usd) AS avg_median_diff "
+    "FROM mart WHERE origin_port_code LIKE 'NATION_2' AND destination_port_code LIKE '%' "
+    "AND equipment_id = coalesce(2, equipment_id) AND dq_ok = TRUE"),
+    origin_code="NATION_2", destination_code="%", equipment_id=2)
+mart_report("region_pair_series", D.region_pair_series, O.with_mart(
+    "SELECT valid_day, avg(avg_price_usd) AS region_avg_price_usd, count(*) AS number_of_underlying_lanes "
+    f"FROM mart WHERE origin_region_name LIKE '{DEST_REGION}' AND destination_region_name LIKE '%' "
+    "AND equipment_id = coalesce(NULL, equipment_id) AND dq_ok = TRUE "
+    f"AND valid_day BETWEEN '{RANGE_B[0]}' AND '{RANGE_B[1]}' GROUP BY valid_day"),
+    origin_region=DEST_REGION, start=RANGE_B[0], end=RANGE_B[1])
+mart_report("most_expensive_lanes", D.most_expensive_lanes, O.with_mart(
+    "SELECT origin_port_name, origin_region_name, destination_port_name, destination_region_name, "
+    f"avg_price_usd, {LANE} AS lane_description FROM mart "
+    f"WHERE valid_day BETWEEN '{RANGE_C[0]}' AND '{RANGE_C[1]}' AND dq_ok = TRUE "
+    "AND equipment_id = coalesce(NULL, equipment_id) "
+    "ORDER BY avg_price_usd DESC, valid_day, equipment_id, origin_port_id, destination_port_id LIMIT 20"),
+    start=RANGE_C[0], end=RANGE_C[1])
+mart_report("country_lanes", D.country_lanes, O.with_mart(
+    "SELECT valid_day, origin_country_code, origin_port_code, equipment_id, avg_price_usd FROM mart "
+    f"WHERE destination_country_code LIKE 'C1' AND dq_ok = TRUE "
+    f"AND valid_day BETWEEN '{RANGE_D[0]}' AND '{RANGE_D[1]}'"),
+    destination_country="C1", start=RANGE_D[0], end=RANGE_D[1])
+
+
+def staged_report(key: str, fn, table: str, sql: str):
+    register(key, O.with_mart(sql))(
+        lambda spark, sf_dir: fn(getattr(P.materialised_staging(spark, sf_dir), table)))
+
+
+staged_report("equipment_types", D.equipment_types, "datapoints",
+              "SELECT equipment_id FROM stg_datapoints GROUP BY equipment_id")
+staged_report("port_codes", D.port_codes, "ports", "SELECT code FROM stg_ports GROUP BY code")
+staged_report("region_names", D.region_names, "regions", "SELECT name FROM stg_regions GROUP BY name")
+staged_report("country_codes", D.country_codes, "ports",
+              "SELECT country_code FROM stg_ports GROUP BY country_code")
+staged_report("lane_list", D.lane_list, "datapoints",
+              "SELECT concat(origin_port_id, ' - ', destination_port_id) AS lane_description "
+              "FROM stg_datapoints GROUP BY origin_port_id, destination_port_id")

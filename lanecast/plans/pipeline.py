@@ -45,16 +45,57 @@ def fixture_staged(spark: SparkSession, sf_dir: str, load_date=fx.FULL_LOAD_DATE
     return stage(fx.full_load(spark, sf_dir, load_date), load_date)
 
 
+def write_staged(staged: Staged, root: str) -> Staged:
+    """Write the five staging tables under ``root/staging`` and return
+    readers over them (the layer boundary also cuts the lineage)."""
+    spark = staged.datapoints.sparkSession
+    out = {}
+    for name in ("regions", "ports", "exchange_rates", "datapoints", "charges"):
+        path = f"{root}/staging/{name}"
+        df = getattr(staged, name)
+        if name in ("datapoints", "charges"):
+            # co-locate each contract's rows in one file range
+            df = df.repartition("datapoint_id")
+        else:
+            df = df.coalesce(1)
+        df.write.mode("overwrite").parquet(path)
+        out[name] = spark.read.schema(schemas.STAGING[name]).parquet(path)
+    return Staged(**out)
+
+
+_MATERIALISED: dict[tuple, object] = {}
+_lock = threading.Lock()
+
+
+def _root(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    import hashlib
+    tag = hashlib.sha1(f"{spark.sparkContext.applicationId}|{sf_dir.rstrip('/')}|{kind}"
+                       .encode()).hexdigest()[:16]
+    return f"{shared_dir(spark)}/lanecast/{kind}/{tag}"
+
+
+def materialised_staging(spark: SparkSession, sf_dir: str,
+                         load_date=fx.FULL_LOAD_DATE) -> Staged:
+    """Staging layer of the full fixture load, written once per application."""
+    key = ("staging", spark.sparkContext.applicationId, sf_dir.rstrip("/"), str(load_date))
+    with _lock:
+        st = _MATERIALISED.get(key)
+        if st is None:
+            st = write_staged(fixture_staged(spark, sf_dir, load_date),
+                              _root(spark, sf_dir, f"full-{load_date}"))
+            _MATERIALISED[key] = st
+    return st
+
+
 def fixture_mart(spark: SparkSession, sf_dir: str, load_date=fx.FULL_LOAD_DATE) -> DataFrame:
-    """The full mart from the driver tables (lazy; not materialised)."""
-    return build_mart(fixture_staged(spark, sf_dir, load_date), M.MartParams(load_date=load_date))
+    """The full mart from the stored staging layer of the driver tables
+    (lazy; the mart itself is not written)."""
+    return build_mart(materialised_staging(spark, sf_dir, load_date),
+                      M.MartParams(load_date=load_date))
 
 
 # ---- materialised mart for the report queries ----------------------------
 
-_MATERIALISED: dict[tuple[str, str], str] = {}
-_lock = threading.Lock()
-
 
 def write_mart(df: DataFrame, path: str) -> None:
     """Month-partitioned Parquet, rows sorted by the mart key within each
@@ -76,13 +117,12 @@ def materialised_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build the fixture mart once per application and data folder, write it
     under the shared folder and return a reader over it.  Reports then scan
     the stored table like the source's dashboards scan the final schema."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = ("mart", spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    mart = fixture_mart(spark, sf_dir)
     with _lock:
         path = _MATERIALISED.get(key)
         if path is None:
-            import hashlib
-            tag = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
-            path = f"{shared_dir(spark)}/lanecast/final/{tag}/daily_lane_equipment_prices"
-            write_mart(fixture_mart(spark, sf_dir), path)
+            path = _root(spark, sf_dir, "full") + "/final/daily_lane_equipment_prices"
+            write_mart(mart, path)
             _MATERIALISED[key] = path
     return read_mart(spark, path)
