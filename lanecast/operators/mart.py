@@ -77,6 +77,9 @@ def contract_days(datapoints: DataFrame, charges: DataFrame, window=None) -> Dat
               .join(charges_by_currency(charges), "datapoint_id"))
     lo, hi = F.col("valid_from"), F.col("valid_to")
     if window is not None:
+        # greatest/least skip NULLs: a NULL window (no new contract) must
+        # select nothing, so test it explicitly
+        joined = joined.filter(window[0].isNotNull() & window[1].isNotNull())
         lo, hi = F.greatest(lo, window[0]), F.least(hi, window[1])
     return (joined.withColumn("_lo", lo).withColumn("_hi", hi)
                   .filter(F.col("_lo") <= F.col("_hi"))

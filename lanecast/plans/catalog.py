@@ -198,3 +198,68 @@ staged_report("country_codes", D.country_codes, "ports",
 staged_report("lane_list", D.lane_list, "datapoints",
               "SELECT concat(origin_port_id, ' - ', destination_port_id) AS lane_description "
               "FROM stg_datapoints GROUP BY origin_port_id, destination_port_id")
+
+# ---- incremental pipeline: batch 1 full build, batch 2 incremental -----
+from lanecast.operators import coverage as C  # noqa: E402
+from lanecast.operators import incremental as I  # noqa: E402
+from lanecast.sources import fixtures as FX  # noqa: E402
+
+_B = P.SNAPSHOT_TS
+_RAW_DP = "d_id, created, origin_pid, destination_pid, valid_from, valid_to, company_id, supplier_id, equipment_id"
+
+
+@register("incremental_new_rows", O.with_batches(
+    f"SELECT {_RAW_DP}, 'orders.parquet' AS file_path, 'incremental' AS load_type, "
+    f"DATE '{FX.BATCH2_LOAD_DATE}' AS load_date FROM raw_dp2_new", _B))
+def _q_incremental_new_rows(spark, sf_dir):
+    b1, b2 = FX.batches(spark, sf_dir)
+    return I.incremental_new_rows(b2.datapoints, b1.datapoints)
+
+
+@register("charges_new_only", O.with_batches(
+    "SELECT d_id, currency, charge_value, 'lineitem.parquet' AS file_path, 'incremental' AS load_type, "
+    f"DATE '{FX.BATCH2_LOAD_DATE}' AS load_date FROM raw_ch2_new", _B))
+def _q_charges_new_only(spark, sf_dir):
+    b1, b2 = FX.batches(spark, sf_dir)
+    return I.charges_new_only(b2.charges, b1.charges)
+
+
+def _batch_staged(spark, sf_dir):
+    return P.stored_staged(spark, P.materialised_batches(spark, sf_dir))
+
+
+register("stg_increment", O.with_batches("SELECT * FROM stg_datapoints2", _B))(
+    lambda spark, sf_dir: _batch_staged(spark, sf_dir).datapoints)
+register("charges_upsert", O.with_batches("SELECT * FROM stg_charges2", _B))(
+    lambda spark, sf_dir: _batch_staged(spark, sf_dir).charges)
+
+
+def _mart1(spark, sf_dir):
+    b1, _ = FX.batches(spark, sf_dir)
+    return P.build_mart(P.stage(b1, FX.BATCH1_LOAD_DATE), P.M.MartParams(load_date=FX.BATCH1_LOAD_DATE))
+
+
+register("affected_window", O.with_batches("SELECT lo, hi FROM win", _B))(
+    lambda spark, sf_dir: I.affected_window(_batch_staged(spark, sf_dir).datapoints, _mart1(spark, sf_dir)))
+
+
+@register("affected_window_expand", O.with_batches("SELECT * FROM mart2", _B))
+def _q_affected_rows(spark, sf_dir):
+    rows, _ = P.affected_rows(_batch_staged(spark, sf_dir), _mart1(spark, sf_dir),
+                              P.M.MartParams(load_date=FX.BATCH2_LOAD_DATE))
+    return rows
+
+
+register("mart_upsert", O.with_batches("SELECT * FROM final", _B))(
+    lambda spark, sf_dir: P.stored_mart(spark, P.materialised_batches(spark, sf_dir)).drop("valid_month"))
+
+
+def _cov_log(spark, sf_dir):
+    return P.coverage_log_table(spark, P.materialised_batches(spark, sf_dir))
+
+
+register("coverage_snapshot", O.with_batches("SELECT * FROM cov_log", _B))(_cov_log)
+register("coverage_log", O.with_batches("SELECT snapshot_ts, stage, covered_lane_count FROM cov_log", _B))(
+    lambda spark, sf_dir: D.coverage_log(_cov_log(spark, sf_dir)))
+register("coverage_changes", O.with_batches("", _B).rstrip() + O.COVERAGE_CHANGES_SQL.format(log="cov_log"))(
+    lambda spark, sf_dir: C.coverage_changes(_cov_log(spark, sf_dir)))

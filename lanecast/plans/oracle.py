@@ -163,3 +163,68 @@ def with_mart(select_sql: str, extra_ctes: str = "") -> str:
     then ``select_sql`` reading the CTE ``mart``."""
     extra = ("," + extra_ctes) if extra_ctes else ""
     return "WITH " + FIXTURE_CTES + "," + staging_ctes() + "," + mart_ctes() + extra + "\n" + select_sql
+
+
+B1_DATE, B2_DATE = fx.BATCH1_LOAD_DATE, fx.BATCH2_LOAD_DATE
+_CUT = f"TIMESTAMP '{fx.BATCH_CUT}'"
+_MART_KEY = ("valid_day", "equipment_id", "origin_port_id", "destination_port_id")
+
+
+def _anti_key(left: str, right: str, key=_MART_KEY) -> str:
+    cond = " AND ".join(f"r.{k} = l.{k}" for k in key)
+    return f"SELECT l.* FROM {left} l WHERE NOT EXISTS (SELECT 1 FROM {right} r WHERE {cond})"
+
+
+def batch_ctes() -> str:
+    """Batch 1 full build, batch 2 incremental run, in the source's terms:
+    raw increments (created watermark, NOT IN), staging delta upserts,
+    mart1, the affected window, mart2 with the AND/OR day predicate, and
+    the delete+insert result ``final``; ``cov_log`` holds the snapshots."""
+    return ("WITH " + FIXTURE_CTES + f""",
+raw_dp1 AS (SELECT * FROM raw_datapoints WHERE created < {_CUT}),
+raw_dp2_batch AS (SELECT * FROM raw_datapoints WHERE created >= {_CUT}),
+raw_ch1 AS (SELECT * FROM raw_charges WHERE d_id IN (SELECT d_id FROM raw_dp1)),
+raw_ch2_batch AS (SELECT * FROM raw_charges WHERE d_id IN (SELECT d_id FROM raw_dp2_batch)
+                  AND d_id NOT IN (SELECT d_id FROM raw_dp1)),
+raw_dp2_new AS (SELECT * FROM raw_dp2_batch WHERE created > (SELECT max(created) FROM raw_dp1)),
+raw_ch2_new AS (SELECT * FROM raw_ch2_batch WHERE d_id NOT IN (SELECT DISTINCT d_id FROM raw_ch1)),"""
+            + staging_ctes("raw_dp1", "raw_ch1", B1_DATE, "1") + ","
+            + mart_ctes("mart1", "stg_datapoints1", "stg_charges1", "stg_exchange_rates1", "stg_ports1",
+                        B1_DATE) + ","
+            + staging_ctes("raw_dp2_new", "raw_ch2_new", B2_DATE, "2d") + f""",
+stg_datapoints2 AS (
+  SELECT * FROM stg_datapoints1 WHERE datapoint_id NOT IN (SELECT datapoint_id FROM stg_datapoints2d)
+  UNION ALL SELECT * FROM stg_datapoints2d),
+stg_charges2 AS (
+  SELECT * FROM stg_charges1 WHERE datapoint_id NOT IN (SELECT datapoint_id FROM stg_charges2d)
+  UNION ALL SELECT * FROM stg_charges2d),
+win AS (SELECT min(valid_from) AS lo, max(valid_to) AS hi FROM stg_datapoints2
+        WHERE created > (SELECT max(created) FROM mart1)),"""
+            + mart_ctes("mart2", "stg_datapoints2", "stg_charges2", "stg_exchange_rates2d", "stg_ports2d",
+                        B2_DATE,
+                        day_filter="x.created > (SELECT max(created) FROM mart1) "
+                                   "OR x.valid_day BETWEEN (SELECT lo FROM win) AND (SELECT hi FROM win)")
+            + f""",
+final AS ({_anti_key('mart1', 'mart2')} UNION ALL SELECT * FROM mart2),
+cov_log AS (
+  SELECT TIMESTAMP '{{b_ts}}' AS snapshot_ts, 'before' AS stage,
+         (SELECT count(*) FROM mart1 WHERE dq_ok = true) AS covered_lane_count
+  UNION ALL
+  SELECT TIMESTAMP '{{a_ts}}', 'after', (SELECT count(*) FROM final WHERE dq_ok = true))
+""")
+
+
+def with_batches(select_sql: str, snapshot_ts: tuple[str, str]) -> str:
+    return batch_ctes().replace("{b_ts}", snapshot_ts[0]).replace("{a_ts}", snapshot_ts[1]) + select_sql
+
+
+COVERAGE_CHANGES_SQL = """
+, paired AS (
+    SELECT b.snapshot_ts AS before_ts, a.snapshot_ts AS after_ts,
+           b.covered_lane_count AS before_count, a.covered_lane_count AS after_count
+    FROM {log} b JOIN {log} a ON a.stage = 'after' AND b.stage = 'before' AND a.snapshot_ts > b.snapshot_ts
+    QUALIFY row_number() OVER (PARTITION BY b.snapshot_ts ORDER BY a.snapshot_ts) = 1)
+SELECT before_ts, after_ts, before_count, after_count, after_count - before_count AS diff_count,
+       CASE WHEN before_count IS NULL OR before_count = 0 THEN NULL
+            ELSE round(((after_count - before_count) * 100.0 / before_count), 2) END AS pct_change
+FROM paired"""

@@ -33,6 +33,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _audit(df: DataFrame, file_path: str, load_type: str, load_date) -> DataFrame:
+    # the source stamps its input glob; here the driver table's file name
+    file_path = file_path.rsplit("/", 1)[-1]
     return (df.withColumn("file_path", F.lit(file_path))
               .withColumn("load_type", F.lit(load_type))
               .withColumn("load_date", as_date(load_date)))
