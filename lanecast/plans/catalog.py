@@ -263,3 +263,56 @@ register("coverage_log", O.with_batches("SELECT snapshot_ts, stage, covered_lane
     lambda spark, sf_dir: D.coverage_log(_cov_log(spark, sf_dir)))
 register("coverage_changes", O.with_batches("", _B).rstrip() + O.COVERAGE_CHANGES_SQL.format(log="cov_log"))(
     lambda spark, sf_dir: C.coverage_changes(_cov_log(spark, sf_dir)))
+
+# ---- data-quality checks (C1-C6) ----------------------------------------
+from lanecast.operators import quality as Q  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+_SQL_TABLE = {"charges": "stg_charges", "datapoints": "stg_datapoints", "exchange_rates": "stg_exchange_rates",
+              "ports": "stg_ports", "regions": "stg_regions", "daily_lane_equipment_prices": "mart"}
+
+
+def _dq_tables(spark, sf_dir):
+    st = P.materialised_staging(spark, sf_dir)
+    t = {n: getattr(st, n) for n in P.RAW_NAMES}
+    t["daily_lane_equipment_prices"] = P.materialised_mart(spark, sf_dir).drop("valid_month")
+    return t
+
+
+def _sql_lit(v):
+    return ("true" if v else "false") if isinstance(v, bool) else str(v)
+
+
+def _dq_sql(kind):
+    parts = []
+    if kind == "not_null":
+        for m, cols in Q.NOT_NULL.items():
+            for c in cols:
+                parts.append(f"SELECT 'not_null' AS test_name, '{m}' AS model, '{c}' AS column_name, "
+                             f"count(*) FILTER (WHERE {c} IS NULL) AS failures FROM {_SQL_TABLE[m]}")
+    elif kind == "unique":
+        for m, c in Q.UNIQUE.items():
+            parts.append(f"SELECT 'unique' AS test_name, '{m}' AS model, '{c}' AS column_name, count(*) AS failures FROM (SELECT {c} FROM {_SQL_TABLE[m]} "
+                         f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) d")
+    elif kind == "relationships":
+        for cm, cc, pm, pc in Q.RELATIONSHIPS:
+            parts.append(f"SELECT 'relationships' AS test_name, '{cm}' AS model, '{cc}' AS column_name, "
+                         f"count(*) AS failures FROM {_SQL_TABLE[cm]} c "
+                         f"LEFT JOIN (SELECT DISTINCT {pc} AS k FROM {_SQL_TABLE[pm]}) p ON c.{cc} = p.k "
+                         f"WHERE c.{cc} IS NOT NULL AND p.k IS NULL")
+    elif kind == "accepted_values":
+        for m, c, vals in Q.ACCEPTED_VALUES:
+            lst = ", ".join(_sql_lit(v) for v in vals)
+            parts.append(f"SELECT 'accepted_values' AS test_name, '{m}' AS model, '{c}' AS column_name, "
+                         f"count(*) AS failures FROM (SELECT DISTINCT {c} "
+                         f"FROM {_SQL_TABLE[m]} WHERE {c} NOT IN ({lst})) d")
+    return O.with_mart("\nUNION ALL\n".join(parts))
+
+
+for _kind in ("not_null", "unique", "relationships", "accepted_values"):
+    register(f"dq_{_kind}", _dq_sql(_kind))(
+        (lambda kind: lambda spark, sf_dir: Q.run_checks(_dq_tables(spark, sf_dir), (kind,)))(_kind))
+
+
+mart_report("dq_ok", lambda mart: mart.groupBy("dq_ok").agg(F.count(F.lit(1)).alias("lane_days")),
+    O.with_mart("SELECT dq_ok, count(*) AS lane_days FROM mart GROUP BY dq_ok"))
