@@ -316,3 +316,57 @@ for _kind in ("not_null", "unique", "relationships", "accepted_values"):
 
 mart_report("dq_ok", lambda mart: mart.groupBy("dq_ok").agg(F.count(F.lit(1)).alias("lane_days")),
     O.with_mart("SELECT dq_ok, count(*) AS lane_days FROM mart GROUP BY dq_ok"))
+
+# ---- CSV ingestion (S1-S13) ---------------------------------------------
+from lanecast.sources import csv as CSV  # noqa: E402
+
+_RAW_COLS = {
+    "ports": "pid, code, slug, name, country, country_code",
+    "regions": "slug, name, parent",
+    "exchange_rates": "day, currency, rate",
+    "datapoints": _RAW_DP,
+    "charges": "d_id, currency, charge_value",
+}
+_SCAN_SRC = {"ports": "raw_ports", "regions": "raw_regions", "exchange_rates": "raw_exchange_rates",
+             "datapoints": "raw_dp1", "charges": "raw_ch1"}
+
+
+def _scan_sql(t, src, folder, load_date):
+    return (f"SELECT {_RAW_COLS[t]}, '{folder}/{CSV.GLOBS[t]}' AS file_path, '{folder}' AS load_type, "
+            f"DATE '{load_date}' AS load_date FROM {src}")
+
+
+for _t, _key in (("ports", "scan_ports"), ("regions", "scan_regions"), ("exchange_rates", "scan_rates"),
+                 ("datapoints", "scan_datapoints"), ("charges", "scan_charges")):
+    register(_key, O.with_batches(_scan_sql(_t, _SCAN_SRC[_t], "full_load", FX.BATCH1_LOAD_DATE), _B))(
+        (lambda t: lambda spark, sf_dir: CSV.scan(spark, P.materialised_inputs(spark, sf_dir), t, "full",
+                                                  FX.BATCH1_LOAD_DATE))(_t))
+
+
+@register("load_raw", O.with_batches(
+    _scan_sql("datapoints", "raw_dp1", "full_load", FX.BATCH1_LOAD_DATE) + " UNION ALL "
+    + _scan_sql("datapoints", "raw_dp2_batch", "incremental", FX.BATCH2_LOAD_DATE), _B))
+def _q_load_raw(spark, sf_dir):
+    """Full load replaced, then the incremental folder appended (datapoints)."""
+    root = P.materialised_inputs(spark, sf_dir)
+    full = CSV.load_raw(spark, root, "full", FX.BATCH1_LOAD_DATE, ("datapoints",))["datapoints"]
+    inc = CSV.load_raw(spark, root, "incremental", FX.BATCH2_LOAD_DATE, ("datapoints",))["datapoints"]
+    return full.unionByName(inc)
+
+
+_FILES = [("full_load", "DE_casestudy_ports.csv", "ports", "raw_ports"),
+          ("full_load", "DE_casestudy_regions.csv", "regions", "raw_regions"),
+          ("full_load", "DE_casestudy_exchange_rates.csv", "exchange_rates", "raw_exchange_rates"),
+          ("full_load", "DE_casestudy_datapoints_1.csv", "datapoints", "raw_dp1"),
+          ("full_load", "DE_casestudy_charges_1.csv", "charges", "raw_ch1"),
+          ("incremental", "DE_casestudy_datapoints_2.csv", "datapoints", "raw_dp2_batch"),
+          ("incremental", "DE_casestudy_charges_2.csv", "charges", "raw_ch2_batch")]
+
+
+@register("file_row_counts", O.with_batches(" UNION ALL ".join(
+    f"SELECT '{f}' AS file_name, '{t}' AS table_name, count(*) AS row_count FROM {src}"
+    for _, f, t, src in _FILES), _B))
+def _q_file_row_counts(spark, sf_dir):
+    root = P.materialised_inputs(spark, sf_dir)
+    return CSV.file_inventory(spark, f"{root}/full_load").unionByName(
+        CSV.file_inventory(spark, f"{root}/incremental"))

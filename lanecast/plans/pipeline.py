@@ -56,8 +56,6 @@ def write_staged(staged: Staged, root: str) -> Staged:
         if name in ("datapoints", "charges"):
             # co-locate each contract's rows in one file range
             df = df.repartition("datapoint_id")
-        else:
-            df = df.coalesce(1)
         df.write.mode("overwrite").parquet(path)
         out[name] = spark.read.schema(schemas.STAGING[name]).parquet(path)
     return Staged(**out)
@@ -251,3 +249,17 @@ def materialised_batches(spark: SparkSession, sf_dir: str) -> str:
             run_incremental(spark, b2, root, fx.BATCH2_LOAD_DATE, SNAPSHOT_TS)
             _MATERIALISED[key] = root
     return root
+
+
+def materialised_inputs(spark: SparkSession, sf_dir: str) -> str:
+    """CSV input folders (full_load + incremental) written from the two
+    fixture batches, once per application.  Returns the input root."""
+    from lanecast.sources import csv as CSV
+    key = ("inputs", spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _lock:
+        root = _MATERIALISED.get(key)
+        if root is None:
+            root = _root(spark, sf_dir, "inputs")
+            CSV.write_inputs(spark, fx.batches(spark, sf_dir), root)
+            _MATERIALISED[key] = root
+    return root
