@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from lanecast.operators.joins import broadcast_if_small
 
-# cut tables up to this many groups are broadcast (512 doubles each)
-CUTS_BROADCAST_MAX_GROUPS = 10_000
+# cut tables up to this many groups are broadcast (128 doubles each)
+CUTS_BROADCAST_MAX_GROUPS = 40_000
 
 
 def _cum_before(part_cols, order_col, count_col):
@@ -37,7 +37,7 @@ def _cum_before(part_cols, order_col, count_col):
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
-                 buckets: int = 512, accuracy: int = 20_000, checkpoint: bool = True) -> DataFrame:
+                 buckets: int = 128, accuracy: int = 2_000, checkpoint: bool = True) -> DataFrame:
     """(keys..., out) with the exact linear-interpolated median of ``value``
     per group; NULL values are ignored, all-NULL groups are absent."""
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())

@@ -235,8 +235,9 @@ register("charges_upsert", O.with_batches("SELECT * FROM stg_charges2", _B))(
 
 
 def _mart1(spark, sf_dir):
-    b1, _ = FX.batches(spark, sf_dir)
-    return P.build_mart(P.stage(b1, FX.BATCH1_LOAD_DATE), P.M.MartParams(load_date=FX.BATCH1_LOAD_DATE))
+    """The mart as it stood after batch 1 (snapshot written by the run)."""
+    root = P.materialised_batches(spark, sf_dir)
+    return P.read_mart(spark, P.TB.table_path(root, *P.MART_B1_TABLE))
 
 
 register("affected_window", O.with_batches("SELECT lo, hi FROM win", _B))(

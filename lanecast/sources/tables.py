@@ -43,10 +43,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+        # few folders per task; AQE splits oversized partitions
+        df = df.hint("rebalance", *partition_by)
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def append(df: DataFrame, path: str) -> None:
