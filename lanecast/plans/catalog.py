@@ -371,3 +371,21 @@ def _q_file_row_counts(spark, sf_dir):
     root = P.materialised_inputs(spark, sf_dir)
     return CSV.file_inventory(spark, f"{root}/full_load").unionByName(
         CSV.file_inventory(spark, f"{root}/incremental"))
+
+# ---- streaming re-aim of the raw increment ------------------------------
+from lanecast.streaming import ingest as ST  # noqa: E402
+
+
+@register("stream_ingest", O.with_batches(
+    _scan_sql("datapoints", "raw_dp1", "full_load", FX.BATCH1_LOAD_DATE) + " UNION ALL "
+    + _scan_sql("datapoints", "raw_dp2_new", "incremental", FX.BATCH2_LOAD_DATE), _B))
+def _q_stream_ingest(spark, sf_dir):
+    """Full-load scan stored as the raw table, then the incremental folder
+    streamed into it (availableNow + foreachBatch upsert)."""
+    from lanecast.session import scratch_path
+    root = P.materialised_inputs(spark, sf_dir)
+    target = scratch_path(spark, "stream", "raw_datapoints")
+    CSV.scan(spark, root, "datapoints", "full", FX.BATCH1_LOAD_DATE).write.parquet(target)
+    ST.run_datapoint_stream(spark, root, target, scratch_path(spark, "stream", "checkpoint"),
+                            FX.BATCH2_LOAD_DATE)
+    return P.TB.read(spark, target, P.raw_schema("datapoints"))
