@@ -87,6 +87,13 @@ def contract_days(datapoints: DataFrame, charges: DataFrame, window=None) -> Dat
                   .drop("_lo", "_hi", "valid_from", "valid_to"))
 
 
+def validity_expand(datapoints: DataFrame) -> DataFrame:
+    """J6 / F9 on its own: one row per valid contract and day of validity."""
+    cols = ["datapoint_id", "created", "company_id", "supplier_id", *LANE]
+    return (datapoints.filter(F.col("valid_from") <= F.col("valid_to"))
+                      .select(*cols, F.explode(safe_day_series("valid_from", "valid_to")).alias("valid_day")))
+
+
 def contract_daily_price(days: DataFrame, rates: DataFrame) -> DataFrame:
     """Total USD price per contract and day; charges without a usable rate
     (missing or zero) are left out of the total, and a contract-day with no

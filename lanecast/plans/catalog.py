@@ -389,3 +389,26 @@ def _q_stream_ingest(spark, sf_dir):
     ST.run_datapoint_stream(spark, root, target, scratch_path(spark, "stream", "checkpoint"),
                             FX.BATCH2_LOAD_DATE)
     return P.TB.read(spark, target, P.raw_schema("datapoints"))
+
+# ---- staging layer, expansion, contract-day price, extracts -------------
+for _t in P.RAW_NAMES:
+    register(f"stg_{_t}", O.with_mart(f"SELECT * FROM stg_{_t}"))(
+        (lambda t: lambda spark, sf_dir: getattr(P.materialised_staging(spark, sf_dir), t))(_t))
+
+
+register("validity_expand", O.with_mart(
+    "SELECT datapoint_id, created, company_id, supplier_id, equipment_id, origin_port_id, "
+    "destination_port_id, valid_day FROM mart_expanded"))(
+    lambda spark, sf_dir: P.M.validity_expand(P.materialised_staging(spark, sf_dir).datapoints))
+
+
+@register("contract_daily_price", O.with_mart(
+    "SELECT datapoint_id, valid_day, company_id, supplier_id, equipment_id, origin_port_id, "
+    "destination_port_id, created, total_usd_price FROM mart_total"))
+def _q_contract_daily_price(spark, sf_dir):
+    st = P.materialised_staging(spark, sf_dir)
+    return P.M.contract_daily_price(P.M.contract_days(st.datapoints, st.charges), st.exchange_rates)
+
+
+register("extract_mart", O.with_mart("SELECT * FROM mart"))(
+    lambda spark, sf_dir: P.materialised_mart(spark, sf_dir).drop("valid_month"))
