@@ -61,16 +61,19 @@ def main() -> None:
     timed("mart_compute", lambda: run(P.build_mart(staged, P.M.MartParams(load_date=fx.FULL_LOAD_DATE))),
           reps=warm)
 
-    # 3. batch 1 full + batch 2 incremental with coverage snapshots
-    def incremental():
+    # 3. batch 1 as a full build, then batch 2 as an incremental run
+    #    (raw merge, staging upsert, affected-day mart recompute, snapshots)
+    for i in range(1 + warm):
         root = P._root(spark, sf_dir, f"bench-inc-{time.time_ns()}")
         b1, b2 = fx.batches(spark, sf_dir)
-        P.run_full(spark, b1, root, fx.BATCH1_LOAD_DATE)
         t0 = time.perf_counter()
+        P.run_full(spark, b1, root, fx.BATCH1_LOAD_DATE)
+        t1 = time.perf_counter()
         P.run_incremental(spark, b2, root, fx.BATCH2_LOAD_DATE, P.SNAPSHOT_TS)
-        times.setdefault("_incremental_only", []).append(time.perf_counter() - t0)
-    timed("batch_full_plus_incremental", incremental, reps=0)
-    times["incremental_run"] = round(times.pop("_incremental_only")[-1], 3)
+        t2 = time.perf_counter()
+        if i == 0:
+            cold["batch1_full"], cold["batch2_incremental"] = round(t1 - t0, 3), round(t2 - t1, 3)
+        times["batch1_full"], times["batch2_incremental"] = round(t1 - t0, 3), round(t2 - t1, 3)
 
     # 4. every registered query (reports read the stored mart)
     P.materialised_mart(spark, sf_dir)

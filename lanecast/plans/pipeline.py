@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lanecast import schemas
 from lanecast.operators import mart as M
 from lanecast.operators import staging as S
-from lanecast.session import shared_dir
+from lanecast.session import scratch_path, shared_dir
 from lanecast.sources import fixtures as fx
 from lanecast.sources.fixtures import RawTables
 
@@ -116,12 +116,15 @@ def materialised_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     under the shared folder and return a reader over it.  Reports then scan
     the stored table like the source's dashboards scan the final schema."""
     key = ("mart", spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    mart = fixture_mart(spark, sf_dir)
     with _lock:
         path = _MATERIALISED.get(key)
-        if path is None:
-            path = _root(spark, sf_dir, "full") + "/final/daily_lane_equipment_prices"
-            write_mart(mart, path)
+    if path is None:
+        mart = fixture_mart(spark, sf_dir)  # size checks run here, once
+        with _lock:
+            path = _MATERIALISED.get(key)
+            if path is None:
+                path = _root(spark, sf_dir, "full") + "/final/daily_lane_equipment_prices"
+                write_mart(mart, path)
             _MATERIALISED[key] = path
     return read_mart(spark, path)
 
@@ -182,9 +185,13 @@ def run_incremental(spark: SparkSession, batch: RawTables, root: str, load_date,
     raw_dp = TB.read(spark, p("raw", "datapoints"), raw_schema("datapoints"))
     TB.replace_via_stage(I.upsert(raw_dp, I.incremental_new_rows(batch.datapoints, raw_dp), "d_id"),
                          p("raw", "datapoints"))
+    # delete+insert on d_id where every inserted d_id is absent by the NOT IN
+    # filter: the delete is empty, so the upsert is an append
     raw_ch = TB.read(spark, p("raw", "charges"), raw_schema("charges"))
-    TB.replace_via_stage(I.upsert(raw_ch, I.charges_new_only(batch.charges, raw_ch), "d_id"),
-                         p("raw", "charges"))
+    new_ch = I.charges_new_only(batch.charges, raw_ch)
+    staged_ch = scratch_path(spark, "staged")
+    TB.overwrite(new_ch, staged_ch)  # materialise before appending to the table it reads
+    TB.append(TB.read(spark, staged_ch, raw_schema("charges")), p("raw", "charges"))
     for n in ("ports", "regions", "exchange_rates"):
         TB.overwrite(getattr(batch, n), p("raw", n))
     raw = RawTables(**{n: TB.read(spark, p("raw", n), raw_schema(n)) for n in RAW_NAMES})
