@@ -23,10 +23,14 @@ def test_flagship_plan(spark, mart):
     assert "Expand" not in text
     assert "BroadcastHashJoin" in text
     assert "ShuffledHashJoin" in text  # contract join keeps datapoint_id partitioning
-    # between the explode (Generate) and the contract-day aggregate there is no exchange
-    phys = mart._jdf.queryExecution().executedPlan().toString().splitlines()
-    gen = [i for i, line in enumerate(phys) if "Generate" in line]
-    assert gen, "explode missing"
+    # between the explode (Generate) and the contract-day aggregate above it
+    # there is no exchange: exploded rows are never shuffled before A1
+    phys = text.splitlines()
+    gen = [i for i, line in enumerate(phys) if "Generate explode" in line]
+    assert len(gen) == 1, "explode missing"
+    agg = [i for i, line in enumerate(phys[:gen[0]]) if "HashAggregate(keys=[datapoint_id" in line]
+    assert agg, "contract-day aggregate missing"
+    assert not any("Exchange" in line for line in phys[agg[-1] + 1:gen[0]])
 
 
 def test_all_queries_udf_free(spark):
