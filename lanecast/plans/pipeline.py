@@ -205,9 +205,14 @@ def run_incremental(spark: SparkSession, batch: RawTables, root: str, load_date,
     stg_dp = TB.read(spark, p("staging", "datapoints"), schemas.STG_DATAPOINTS)
     delta_dp = S.stg_datapoints(I.staging_delta(raw.datapoints, stg_dp), load_date)
     TB.replace_via_stage(I.upsert(stg_dp, delta_dp, "datapoint_id"), p("staging", "datapoints"))
+    # charges: the delta's ids entered raw only through the NOT IN filter, so
+    # none of them is in staging yet (staging ids are earlier raw ids): the
+    # delete+insert on datapoint_id deletes nothing and is an append
     stg_ch = TB.read(spark, p("staging", "charges"), schemas.STG_CHARGES)
     delta_ch = S.stg_charges(I.staging_delta(raw.charges, stg_ch), load_date)
-    TB.replace_via_stage(I.upsert(stg_ch, delta_ch, "datapoint_id"), p("staging", "charges"))
+    staged_delta = scratch_path(spark, "staged")
+    TB.overwrite(delta_ch, staged_delta)  # materialise before appending to the table it reads
+    TB.append(TB.read(spark, staged_delta, schemas.STG_CHARGES), p("staging", "charges"))
     staged = stored_staged(spark, root)
 
     # final: snapshot, recompute the affected days, upsert, snapshot
