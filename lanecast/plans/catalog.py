@@ -412,3 +412,16 @@ def _q_contract_daily_price(spark, sf_dir):
 
 register("extract_mart", O.with_mart("SELECT * FROM mart"))(
     lambda spark, sf_dir: P.materialised_mart(spark, sf_dir).drop("valid_month"))
+
+
+@register("schema_evolve", O.with_batches(
+    f"SELECT {_RAW_DP}, CAST(NULL AS BIGINT) AS contract_tier FROM raw_dp1 UNION ALL "
+    f"SELECT {_RAW_DP}, d_id % 3 AS contract_tier FROM raw_dp2_batch", _B))
+def _q_schema_evolve(spark, sf_dir):
+    """Batch 2 arrives with an extra source column (derived here from
+    the contract id); the union appends it and batch-1 rows get NULL."""
+    b1, b2 = FX.batches(spark, sf_dir)
+    cols = _RAW_DP.split(", ")
+    old = b1.datapoints.select(*cols)
+    new = b2.datapoints.select(*cols, (F.col("d_id") % 3).alias("contract_tier"))
+    return I.evolve_schema(old, new)
