@@ -28,10 +28,8 @@ def null_aware_anti(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """``left WHERE key NOT IN (SELECT key FROM right)`` with SQL NULL
     semantics: a NULL key on the right blocks every row, a NULL key on the
     left never passes.  Plain ``left_anti`` plus an explicit NULL guard; the
-    guard is a one-row aggregate cross-joined by broadcast."""
-    has_null = right.agg(F.max(F.col(key).isNull().cast("int")).alias("_rnull"))
+    guard is a scalar subquery (evaluated once, no join)."""
+    right_has_null = right.select(F.max(F.col(key).isNull().cast("int"))).scalar()
     kept = (left.filter(F.col(key).isNotNull())
                 .join(right.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti"))
-    return (kept.crossJoin(F.broadcast(has_null))
-                .filter(F.coalesce(F.col("_rnull"), F.lit(0)) == 0)
-                .drop("_rnull"))
+    return kept.filter(F.coalesce(right_has_null, F.lit(0)) == 0)

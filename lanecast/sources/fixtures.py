@@ -125,13 +125,15 @@ def calendar(spark, sf_dir) -> DataFrame:
 
 
 def raw_exchange_rates(spark, sf_dir, load_date=FULL_LOAD_DATE) -> DataFrame:
-    cur = spark.createDataFrame(CURRENCY_BASE_RATES, "currency string, base double")
     dom = F.dayofmonth("day")
     rate = (F.when((F.col("currency") == "NOK") & (dom == 13), F.lit(0.0))
              .otherwise(F.col("base"))
             * F.when((F.col("currency") != "USD") & (dom % 2 == 0), F.lit(2.0)).otherwise(F.lit(1.0)))
-    # the currency list is three fixed rows: a broadcast is size-proven
-    df = (calendar(spark, sf_dir).crossJoin(F.broadcast(cur))
+    # every calendar day gets one row per currency: explode a literal array
+    currencies = F.array(*[F.struct(F.lit(c).alias("currency"), F.lit(b).alias("base"))
+                           for c, b in CURRENCY_BASE_RATES])
+    df = (calendar(spark, sf_dir).select("day", F.explode(currencies).alias("_c"))
+          .select("day", "_c.currency", "_c.base")
           .filter(~((F.col("currency") == "EUR") & (dom == 29)))
           .select("day", "currency", rate.cast("double").alias("rate")))
     return _audit(df, f"{sf_dir}/orders.parquet#calendar", "full_load", load_date)
