@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lanecast import schemas
 from lanecast.operators import mart as M
@@ -102,13 +103,14 @@ def write_mart(df: DataFrame, path: str) -> None:
     (df.withColumn("valid_month", F.trunc("valid_day", "month"))
        .hint("rebalance", "valid_month")
        .sortWithinPartitions("valid_month", *schemas.MART_KEY)
-       .write.mode("overwrite").partitionBy("valid_month").parquet(path))
+       .write.mode("overwrite").option("partitionOverwriteMode", "static")  # full refresh
+       .partitionBy("valid_month").parquet(path))
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
     """The stored mart; ``valid_month`` stays available for partition pruning."""
-    return spark.read.schema(
-        schemas.MART.add("valid_month", schemas.D)).parquet(path)
+    stored = T.StructType(list(schemas.MART.fields) + [T.StructField("valid_month", schemas.D)])
+    return spark.read.schema(stored).parquet(path)
 
 
 def materialised_mart(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,11 +42,17 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.createDataFrame([], schema)
 
 
-def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None,
+              only_present_partitions: bool = False) -> None:
+    """Replace the table.  With ``only_present_partitions`` (dynamic mode)
+    only the partitions present in ``df`` are replaced; otherwise the whole
+    table is, whatever the session's default mode is."""
     if partition_by:
         # few folders per task; AQE splits oversized partitions
         df = df.hint("rebalance", *partition_by)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        mode = "dynamic" if only_present_partitions else "static"
+        (df.write.mode("overwrite").option("partitionOverwriteMode", mode)
+           .partitionBy(*partition_by).parquet(path))
     else:
         df.write.mode("overwrite").parquet(path)
 
@@ -62,9 +68,7 @@ def replace_via_stage(df: DataFrame, path: str, partition_by: list[str] | None =
     materialised in a fresh staged folder first, which also cuts lineage."""
     spark = df.sparkSession
     staged = scratch_path(spark, "staged")
-    overwrite(df, staged, partition_by)
+    overwrite(df, staged, partition_by)  # fresh folder: static == full write
     back = read(spark, staged, schema)
-    if partition_by:
-        # dynamic mode: only partitions present in ``back`` are replaced
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    overwrite(back, path, partition_by)
+    # partitioned: only the partitions present in ``back`` are replaced
+    overwrite(back, path, partition_by, only_present_partitions=bool(partition_by))

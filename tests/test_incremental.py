@@ -76,3 +76,23 @@ def test_affected_window_none_when_nothing_new(spark):
     newer = mart.select(F.lit(dt.datetime(2019, 1, 1)).cast("timestamp_ntz").alias("created"))
     w = I.affected_window(dp, newer).first()
     assert (w.lo, w.hi) == (dt.date(2020, 1, 1), dt.date(2020, 1, 3))
+
+
+def test_full_write_replaces_all_months_swap_only_present(spark):
+    from lanecast.sources import tables as TB
+
+    def rows(days):
+        vals = [(dt.date(2020, m, 1), 1, "A to B", 1, "A", "A", "R", "C", 2, "B", "B", "R", "C",
+                 1.0, 1.0, 1, 1, False, dt.datetime(2020, 1, 1), dt.date(2020, 1, 1)) for m in days]
+        return spark.createDataFrame(vals, schemas.MART)
+
+    path = scratch_path(spark, "test-modes") + "/mart"
+    P.write_mart(rows([1, 2, 3]), path)
+    P.write_mart(rows([2]), path)
+    assert [r.valid_day.month for r in P.read_mart(spark, path).collect()] == [2]
+    P.write_mart(rows([1, 2, 3]), path)
+    swap = rows([2]).withColumn("avg_price_usd", F.lit(9.0)).withColumn(
+        "valid_month", F.trunc("valid_day", "month"))
+    TB.replace_via_stage(swap, path, partition_by=["valid_month"])
+    got = sorted((r.valid_day.month, r.avg_price_usd) for r in P.read_mart(spark, path).collect())
+    assert got == [(1, 1.0), (2, 9.0), (3, 1.0)]
