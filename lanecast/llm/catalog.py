@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecast.llm import bpe, mixing, pii
+from lanecast.llm import bpe, mixing, pii, secrets, simhash, vafile, warc
 from lanecast.llm.common import prepare, table
+from lanecast.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,17 +27,56 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "llm", "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.resolve(warc.read_records(spark, path))
+
+
+@query
+def op3_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
+
+
 @query
 def op4_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_vafile_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op5_vafile_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+  FROM embeddings
+), scored AS (
+  SELECT q.vec_id AS query_id, x.vec_id AS vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.c) + 1), lambda i: q.c[i] * x.c[i])) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.vec_id <> x.vec_id
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
 @query
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = mixing.plan(table(spark, sf_dir, "documents"))
     return p.select("doc_id", "size", "source_size", "target", "taken", F.array_min("times").alias("first_time"))
 
 
+@query
+def op9_secret_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.train(docs))
+
+
 @query
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
