@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecast.llm import bpe, mixing, pii, secrets, simhash, vafile, warc
+from lanecast.llm import bpe, mixing, pii, quality, secrets, simhash, vafile, warc
 from lanecast.llm.common import prepare, table
 from lanecast.session import scratch_path
 
@@ -65,6 +65,53 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
 
+@query
+def op7_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents")).drop("text_hash", "removed_words")
+
+
+ORACLE["op7_quality_lines"] = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, md5(coalesce(text, '')) AS th,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), wins AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)
+), twice AS (
+  SELECT doc_id, i FROM wins QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1
+), repeats AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, source, th, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS lw,
+         regexp_replace(lower(trim(l, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), '[0-9]+', '0', 'g') AS k
+  FROM (SELECT doc_id, source, th, unnest(string_split(t, chr(10))) AS l FROM d)
+  WHERE regexp_matches(l, '[^\x20\x09-\x0D]')
+), dup AS (
+  SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY doc_id
+), held AS (
+  SELECT source, k, count(DISTINCT th) AS texts, min(doc_id) AS first_id FROM lines GROUP BY source, k
+), hosts AS (
+  SELECT source, count(DISTINCT th) AS n FROM d GROUP BY source
+), often AS (
+  SELECT held.* FROM held JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source
+  WHERE texts > 20 AND texts * 100.0 > hosts.n * 5.0
+), removed AS (
+  SELECT doc_id, sum(lw) AS n FROM lines JOIN often
+    ON lines.source IS NOT DISTINCT FROM often.source AND lines.k = often.k AND lines.doc_id <> often.first_id
+  GROUP BY doc_id
+), base AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words,
+         coalesce(removed.n, 0) AS gone
+  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN repeats USING (doc_id) LEFT JOIN removed USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         gone > 0 AND (n_words - gone) * 100.0 < n_words * 20.0 AS depleted FROM base
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT depleted AS kept FROM judged"""
+
+
 @query
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = mixing.plan(table(spark, sf_dir, "documents"))
