@@ -12,9 +12,8 @@ label that leads to it and is stored as what the gadgets changed: the state it
 was copied from (``base``, with the gadget number up to which the copy follows
 it) and the arcs it lost (``lost``).  ``arc`` reads this table.
 
-Encoding a pre-split word keeps, for each prefix, the one state in which its
-tokenization ends; a token that spells the last characters of a longer prefix
-extends it when the state before has that arc.  Decoding emits the labels of
+Encoding a pre-split word follows the arcs whose labels spell it; the path is
+unique, so places that do not lead to the end are left once.  Decoding emits the labels of
 the arcs, which for a vocabulary without decoder are joined by one space.
 """
 
@@ -35,12 +34,14 @@ from lanecast.llm.common import map_batches, text_of
 # Fixed values of the vocabulary file's normaliser and splitter: NFC, lower
 # case of single characters, and the classes of its split pattern.
 PIECE = "'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^\\s{letter}{number}]+"
+MARKS = ".,;:!?"
 ODD_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() takes these for space, the file's pattern does not
 
 # Words a worker keeps with their encoding: a bound on memory, not on results.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 350_000
 CACHE_WORD_CHARS = 64
 LAST = 1 << 60
+INNER, FINAL = 0, 1
 
 
 def byte_alphabet() -> list[str]:
@@ -102,7 +103,7 @@ class Automaton:
         got = self.arcs.get(key)
         if got is None:
             got = self._arc(state, label)
-            if len(self.arcs) < 2_000_000:
+            if len(self.arcs) < 500_000:
                 self.arcs[key] = got
         return got
 
@@ -130,40 +131,78 @@ class Encoder:
         self.vocab, self.end, self.special = files["vocab"], files["end"], files["special"]
         self.auto = Automaton.compile(self.vocab, files["merges"])
         self.names = {i: s for s, i in (self.vocab | self.special).items()}
-        self.inner = {s: i for s, i in self.vocab.items() if not s.endswith(self.end)}
-        self.final = {s.removesuffix(self.end): i for s, i in self.vocab.items() if s.endswith(self.end)}
-        self.longest = max(map(len, self.inner))
-        self.longest_final = max(map(len, self.final))
+        self.trie: dict = {}  # characters to nodes; INNER and FINAL to the token that ends there
+        for s, i in self.vocab.items():
+            node, last = self.trie, s.endswith(self.end)
+            for c in s.removesuffix(self.end) if last else s:
+                node = node.setdefault(c, {})
+            node[FINAL if last else INNER] = i
         self.bytes = byte_alphabet()
         self.piece = regex.compile(PIECE.format(letter=char_class("L"), number=char_class("N")))
         self.space = regex.compile(r"\s+")
         self.mark = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")") if self.special else None
-        self.cache: dict[str, tuple[str, str]] = {}
+        self.cache: dict[str, tuple[str, str]] = {}   # runs as written
+        self.pieces: dict[str, tuple[str, str]] = {}  # pre-split words
 
     def word(self, chars: str) -> list[int]:
-        """Token ids of one pre-split word in the byte alphabet."""
-        n, auto = len(chars), self.auto
-        if n == 0:
-            return []
-        states, starts = [-1] * (n + 1), [0] * (n + 1)
-        for j in range(1, n + 1):
-            table, longest = (self.final, self.longest_final) if j == n else (self.inner, self.longest)
-            for i in range(max(0, j - longest), j):
-                t = table.get(chars[i:j])
-                if t is not None and (i == 0 or auto.arc(states[i], t)):
-                    states[j], starts[j] = t, i
-                    break
-        out, j = [], n
-        while j:
-            out.append(states[j])
-            j = starts[j]
-        return out[::-1]
+        """Token ids of one pre-split word in the byte alphabet.
+
+        Follows arcs from the start, the longest label first.  A prefix has one
+        tokenization, so a place from which the end is not reached never is."""
+        n, arcs, arc = len(chars), self.auto.arcs, self.auto.arc
+        path, dead, at, state = [], set(), 0, -1
+        labels = self.labels_from(chars, 0, n)
+        while at < n:
+            while labels:
+                end, t = labels.pop()
+                if end in dead:
+                    continue
+                if at:
+                    ok = arcs.get(state << 20 | t)
+                    if not (arc(state, t) if ok is None else ok):
+                        continue
+                path.append((at, state, labels, t))
+                at, state = end, t
+                if at < n:
+                    labels = self.labels_from(chars, at, n)
+                break
+            else:
+                dead.add(at)
+                at, state, labels, _ = path.pop()
+        return [p[3] for p in path]
+
+    def labels_from(self, chars: str, at: int, n: int) -> list[tuple[int, int]]:
+        """(end, token) of the labels spelled from a place, the longest last."""
+        out, node = [], self.trie
+        for j in range(at, n):
+            node = node.get(chars[j])
+            if node is None:
+                break
+            t = node.get(INNER if j + 1 < n else FINAL)
+            if t is not None:
+                out.append((j + 1, t))
+        return out
+
+    def text_piece(self, piece: str) -> tuple[str, str]:
+        """Ids and labels of a pre-split word, each joined by one space."""
+        ids = self.word("".join([self.bytes[b] for b in piece.encode()]))
+        got = " ".join(map(str, ids)), " ".join([self.names[i] for i in ids])
+        if len(self.pieces) < CACHE_WORDS and len(piece) <= CACHE_WORD_CHARS:
+            self.pieces[piece] = got
+        return got
 
     def chunk(self, chunk: str) -> tuple[str, str]:
         """Ids and labels, each joined by one space, of a run without space."""
         s = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        ids = [i for p in self.piece.findall(s) for i in self.word("".join(self.bytes[b] for b in p.encode()))]
-        got = " ".join(map(str, ids)), " ".join(self.names[i] for i in ids)
+        pieces = self.pieces
+        if s.isalpha():  # only letters
+            split = (s,)
+        elif s[:-1].isalpha() and s[-1] in MARKS:
+            split = (s[:-1], s[-1])
+        else:
+            split = self.piece.findall(s)
+        parts = [pieces.get(p) or self.text_piece(p) for p in split]
+        got = parts[0] if len(parts) == 1 else (" ".join([p[0] for p in parts]), " ".join([p[1] for p in parts]))
         if len(self.cache) < CACHE_WORDS and len(chunk) <= CACHE_WORD_CHARS:
             self.cache[chunk] = got
         return got
@@ -178,8 +217,10 @@ class Encoder:
                 continue
             odd = any(c in part for c in ODD_SPACE)
             got = [cache.get(c) or self.chunk(c) for c in (filter(None, self.space.split(part)) if odd else part.split())]
-            ids += [x[0] for x in got if x[0]]
-            labels += [x[1] for x in got if x[0]]
+            if got:
+                a, b = zip(*got)
+                ids += a
+                labels += b
         return " ".join(ids), " ".join(labels)
 
     def decode(self, ids: list[int]) -> str:
