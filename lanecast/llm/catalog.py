@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecast.llm import bpe, mixing, pii, quality, secrets, simhash, vafile, warc
+from lanecast.llm import bpe, hmm, mixing, pii, quality, secrets, simhash, vafile, warc
 from lanecast.llm.common import prepare, table
 from lanecast.session import scratch_path
 
@@ -34,6 +34,11 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve(warc.read_records(spark, path))
 
 
+@query
+def op2_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = simhash.near_duplicates(table(spark, sf_dir, "documents"))

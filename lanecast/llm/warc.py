@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecast.llm.common import as_array, map_batches
+from lanecast.llm.common import arrow_schema, as_array, map_batches
 
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -111,9 +111,7 @@ RECORD_SCHEMA = "page_id bigint, record_type string, payload_digest string, payl
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """One row per record; payload_bytes is null for revisits.  A payload that
     does not have its digest fails the read."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-    schema = to_arrow_schema(StructType.fromDDL(RECORD_SCHEMA))
+    schema = arrow_schema(RECORD_SCHEMA)
 
     def rows(data: bytes) -> Iterator[tuple]:
         for head, block in records(zlib.decompress(data, 31)):
