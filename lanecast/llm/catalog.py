@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecast.llm import bpe, hmm, mixing, pii, quality, secrets, simhash, vafile, warc
+from lanecast.llm import bpe, hmm, mixing, pii, quality, secrets, simhash, suffix, vafile, warc
 from lanecast.llm.common import prepare, table
 from lanecast.session import scratch_path
 
@@ -70,6 +70,11 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
 
+@query
+def op6_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.removals(table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query
 def op7_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents")).drop("text_hash", "removed_words")
