@@ -2,33 +2,57 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is
 written to the shared folder as Parquet and read again as the next one's docs.
+All stages but the last return the columns of documents.  An empty table goes
+through all stages; null texts, null ids, repeated rows and extra columns are
+handled as the operators say.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lanecast.llm import bpe, mixing
+from lanecast.llm import bpe, mixing, quality, secrets, simhash
 from lanecast.llm.catalog import WORD_BPE
 from lanecast.llm.common import prepare, stored, table
 
 
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and are not depleted of their own lines."""
+    prepare(spark)
+    return quality.accepted(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies."""
+    prepare(spark)
+    return simhash.deduplicate(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each secret in their text replaced; n_chars follows the text."""
+    prepare(spark)
+    clean = secrets.redact(docs, secrets.train(docs))
+    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in training order."""
     prepare(spark)
     return mixing.mix(docs)
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and ids of every document."""
     prepare(spark)
     return bpe.encode(docs, public_tokenizers.path(WORD_BPE))
 
 
-STAGES = [("mix_sources", mix_sources), ("bpe_encode", encode)]
+STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("secret_scan", secret_scan),
+          ("source_mix", source_mix), ("bpe_encoding", bpe_encoding)]
 
-ORACLE_SQL = None  # hashes, models and token ids are not SQL
+ORACLE_SQL = None  # fingerprints, a trained network and token ids are not SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
