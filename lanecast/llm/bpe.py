@@ -2,7 +2,7 @@
 
 The automaton reads token labels.  It starts with one state in which every
 base symbol loops.  Each merge (u, v) -> uv, taken in priority order, applies
-one gadget: whoever has an arc u gets an arc uv to the state that v leads to,
+one gadget: whoever has an arc u, if an arc v follows, gets an arc uv to the state that v leads to,
 and the arcs u are sent to a copy of their target that has lost its arc v.
 After the last merge the only label sequences left are exactly the
 tokenizations the merges produce, one for each string.
@@ -80,7 +80,8 @@ class Automaton:
     labels: dict[str, int]
     parts: dict[int, tuple[int, int, int]] = field(default_factory=dict)  # token: left, right, gadget
     lost: dict[int, int] = field(default_factory=dict)                    # state << 20 | arc: gadget
-    arcs: dict[int, bool] = field(default_factory=dict)
+    arcs: dict[int, bool] = field(default_factory=dict)                   # arcs read so far
+    dead: set[int] = field(default_factory=set)                           # labels on no path
 
     @classmethod
     def compile(cls, vocab: dict[str, int], merges: list[tuple[str, str]]) -> Automaton:
@@ -90,8 +91,12 @@ class Automaton:
         return a
 
     def gadget(self, step: int, u: int, v: int, uv: int) -> None:
+        if u in self.dead or v in self.dead or not self._arc(u, v):
+            self.dead.add(uv)  # nothing leads from u to v: no path has the new label
+            return
         if uv in self.parts:
             raise ValueError("two merges make one token")
+        self.dead.discard(uv)
         self.parts[uv] = (u, v, step)   # state uv is a copy of state v as of this gadget
         self.lost[u << 20 | v] = step   # state u goes on without the arc v
 
@@ -133,6 +138,8 @@ class Encoder:
         self.names = {i: s for s, i in (self.vocab | self.special).items()}
         self.trie: dict = {}  # characters to nodes; INNER and FINAL to the token that ends there
         for s, i in self.vocab.items():
+            if i in self.auto.dead:
+                continue
             node, last = self.trie, s.endswith(self.end)
             for c in s.removesuffix(self.end) if last else s:
                 node = node.setdefault(c, {})

@@ -140,10 +140,10 @@ def mix(docs: DataFrame, how: Mix = Mix(), id_col: str = "doc_id", text_col: str
         source_col: str = "source") -> DataFrame:
     """The columns of docs, one row for each time a document is trained on,
     range-sorted by training time.  Cases as in `plan`."""
-    p = plan(docs, how, id_col, text_col, source_col).filter(F.size("times") > 0)
-    p = p.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "times")
-    d = docs.withColumn("_text_hash", F.xxhash64(text_of(text_col))).dropDuplicates([id_col, "_text_hash"])
-    return (d.join(p, d[id_col].eqNullSafe(p["_id"]) & (d["_text_hash"] == p["_hash"]))
-            .select(*docs.columns, F.explode("times").alias("_time"))
-            .repartitionByRange(F.col("_time"), F.col(id_col)).sortWithinPartitions("_time", id_col)
+    p = plan(docs, how, id_col, text_col, source_col).filter(F.size("times") > 0).select(
+        F.col(id_col).alias("__mix_id"), F.col("text_hash").alias("__mix_hash"), F.col("times").alias("__mix_times"))
+    d = docs.withColumn("__mix_text", F.xxhash64(text_of(text_col))).dropDuplicates([id_col, "__mix_text"])
+    return (d.join(p, F.col(id_col).eqNullSafe(F.col("__mix_id")) & (F.col("__mix_text") == F.col("__mix_hash")))
+            .select(*docs.columns, F.explode("__mix_times").alias("__mix_time"))
+            .repartitionByRange(F.col("__mix_time"), F.col(id_col)).sortWithinPartitions("__mix_time", id_col)
             .select(*docs.columns))

@@ -138,7 +138,6 @@ def accepted(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", te
              host_col: str = "source") -> DataFrame:
     """The rows of docs that are kept, with all their columns."""
     v = verdicts(docs, rules, id_col, text_col, host_col).filter("not kept")
-    v = v.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"))
-    d = docs.withColumn("_text_hash", F.xxhash64(text_of(text_col)))
-    return (d.join(v, d[id_col].eqNullSafe(v["_id"]) & (d["_text_hash"] == v["_hash"]), "left_anti")
-            .select(*docs.columns))
+    v = v.select(F.col(id_col).alias("__quality_id"), F.col("text_hash").alias("__quality_hash"))
+    same = F.col(id_col).eqNullSafe(F.col("__quality_id")) & (F.xxhash64(text_of(text_col)) == F.col("__quality_hash"))
+    return docs.join(v, same, "left_anti")

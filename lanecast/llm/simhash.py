@@ -219,9 +219,9 @@ def deduplicate(docs: DataFrame, near: Near = Near(), id_col: str = "doc_id", te
     """The row of docs with the smallest id of each component, one for each id
     and text; all its columns."""
     kept = (near_duplicates(docs, near, id_col, text_col).filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-            .groupBy("component_id").agg(F.min("text_hash").alias("_hash")))
-    d = docs.withColumn("_text_hash", F.xxhash64(text_of(text_col)))
-    return (d.join(kept, d[id_col].eqNullSafe(kept["component_id"]) & (d["_text_hash"] == kept["_hash"]))
+            .groupBy(F.col("component_id").alias("__sim_id")).agg(F.min("text_hash").alias("__sim_hash")))
+    d = docs.withColumn("__sim_text", F.xxhash64(text_of(text_col)))
+    return (d.join(kept, F.col(id_col).eqNullSafe(F.col("__sim_id")) & (F.col("__sim_text") == F.col("__sim_hash")))
             .dropDuplicates([id_col]).select(*docs.columns))
 
 

@@ -174,8 +174,8 @@ def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
 
 
 def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
-    """Range of a 64-bit hash among equal ranges."""
-    return ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    """Range of a hash by its lower half (anchors are those of small upper halves)."""
+    return ((key & np.uint64(0xFFFFFFFF)) * np.uint64(buckets)) >> np.uint64(32)
 
 
 def parcels(chunk: int, kind: int, records: np.ndarray, key: np.ndarray, buckets: int) -> Iterator[tuple]:
