@@ -20,11 +20,12 @@ def _c(x: ColumnOrName) -> Column:
 
 def duck_round(x: ColumnOrName, digits: int = 2) -> Column:
     """round(double, n) as the oracle computes it: scale, round half away
-    from zero in binary, unscale.  1.005 -> 1.0 (Spark's decimal-string
-    ``round`` would give 1.01)."""
+    from zero, unscale; a value too large to scale stays as it is.
+    1.005 -> 1.0 (Spark's ``round`` of the unscaled value would give 1.01)."""
     m = float(10 ** digits)
-    scaled = _c(x).cast("double") * F.lit(m)
-    return (F.signum(scaled) * F.floor(F.abs(scaled) + F.lit(0.5))) / F.lit(m)
+    v = _c(x).cast("double")
+    scaled = v * F.lit(m)
+    return F.when(F.abs(scaled) == F.lit(float("inf")), v).otherwise(F.round(scaled, 0) / F.lit(m))
 
 
 def concat_text(*parts: ColumnOrName) -> Column:

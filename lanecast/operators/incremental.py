@@ -44,12 +44,12 @@ def staging_delta(raw: DataFrame, staged: DataFrame) -> DataFrame:
 def upsert(existing: DataFrame, batch: DataFrame, key: list[str] | str) -> DataFrame:
     """Delete every existing row whose key occurs in ``batch``, then
     insert all of ``batch`` (delete+insert; equals merge for one-row-per-key
-    tables and keeps every line for many-rows-per-key tables).  The batch
-    key set is deduplicated before the anti join."""
+    tables and keeps every line for many-rows-per-key tables).  Columns that
+    only one side has are kept, NULL on the other (I9).  ``batch`` is read
+    twice: pass a stored one."""
     key = [key] if isinstance(key, str) else list(key)
-    keys = batch.select(*key).distinct()
-    kept = existing.join(keys, key, "left_anti")
-    return kept.unionByName(batch.select(*existing.columns), allowMissingColumns=True)
+    kept = existing.join(batch.select(*key), key, "left_anti").select(*existing.columns)
+    return evolve_schema(kept, batch)
 
 
 def evolve_schema(existing: DataFrame, batch: DataFrame) -> DataFrame:
@@ -62,9 +62,3 @@ def affected_window(datapoints: DataFrame, mart: DataFrame) -> DataFrame:
     created after the mart's newest ``created``; NULLs when there are none."""
     new = newer_than_target(datapoints, mart, "created")
     return new.agg(F.min("valid_from").alias("lo"), F.max("valid_to").alias("hi"))
-
-
-def window_bounds(datapoints: DataFrame, mart: DataFrame) -> tuple[Column, Column]:
-    """The affected window as two scalar-subquery Columns."""
-    w = affected_window(datapoints, mart)
-    return w.select("lo").scalar(), w.select("hi").scalar()

@@ -1,35 +1,24 @@
-"""Join helpers: broadcast only behind a row-count check."""
+"""Join helpers.
+
+Broadcasts are left to the planner: it broadcasts a side only below
+``spark.sql.autoBroadcastJoinThreshold`` bytes, by the sizes of the stored
+tables or, at run time, of finished shuffle stages; beyond it joins are
+sort-merge joins whose skewed partitions AQE splits.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension tables (ports, regions, rates calendar, hot-lane lists) are
-# broadcast only when they hold at most this many rows; above it the join is
-# left to the planner (sort-merge / shuffled hash with AQE skew splitting).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  ``limit`` stops the
-    scan after max_rows + 1 rows, so the check is cheap even on a huge input."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, name: str = "", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    if row_count_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
-
 
 def null_aware_anti(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """``left WHERE key NOT IN (SELECT key FROM right)`` with SQL NULL
     semantics: a NULL key on the right blocks every row, a NULL key on the
-    left never passes.  Plain ``left_anti`` plus an explicit NULL guard; the
-    guard is a scalar subquery (evaluated once, no join)."""
-    right_has_null = right.select(F.max(F.col(key).isNull().cast("int"))).scalar()
-    kept = (left.filter(F.col(key).isNotNull())
-                .join(right.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti"))
-    return kept.filter(F.coalesce(right_has_null, F.lit(0)) == 0)
+    left never passes.  The right side is first reduced to the keys of the
+    left one, so a long history is never shuffled against a small batch; the
+    NULL test reads only row groups that hold NULLs."""
+    nulls = right.filter(F.col(key).isNull()).agg(F.count(F.lit(1))).scalar()
+    mine = left.filter(F.col(key).isNotNull())
+    seen = right.select(key).join(mine.select(key).distinct(), key, "left_semi")
+    return mine.join(seen, key, "left_anti").filter(nulls == 0)

@@ -1,24 +1,20 @@
 """Final layer: daily price per (day, equipment, origin port, destination port).
 
-Plan shape (differs from the source model's CTE order on purpose):
+Plan shape:
 
 1. Charges are summed per (contract, currency) *before* the day expansion
-   (sum(v)/rate == sum(v/rate) for one rate), so charge lines never get
-   multiplied by days.  Map-side partial aggregation absorbs contracts with
-   huge numbers of charge lines.
+   (sum(v)/rate for one rate; equal to the per-line sum up to the last bit, none
+   after rounding to cents), so charge lines never get multiplied by days.
+   An incremental run first reduces charges to the contracts of its window.
 2. Contracts whose origin or destination port is unknown are dropped before
-   the expansion (semi joins against the size-checked, broadcast port table).
+   the expansion (semi joins with the ports).
 3. The validity interval is clipped to the recompute window and only then
-   exploded into days.
-4. Rates are joined per (day, currency) by broadcast when the rate table's
-   size is proven small, else by a shuffle join.
-5. Contract-day totals group by (contract, day): the input is already hash
-   partitioned by contract from the charge join, so this aggregate adds no
-   shuffle.
-6. The lane-day aggregate shuffles once on the mart key.  Lanes with more
-   contracts than ``hot_lane_rows`` (a group can never exceed its lane's
-   contract count) take a path whose median and distinct counts never put
-   one group into one task; all others use one fused hash/object aggregate.
+   exploded into days; the window also reaches the contract scan.
+4. A sort-merge join brings charges to contracts and leaves rows partitioned by
+   contract, so the contract-day aggregate adds no shuffle.
+5. Contract-day prices are written once, then ordered once by (mart key,
+   price).  Averages, distinct counts and the exact median all read that
+   order; no group of any size is buffered or sorted in one task.
 """
 
 from __future__ import annotations
@@ -30,23 +26,18 @@ from pyspark.sql import functions as F
 
 from lanecast import schemas
 from lanecast.functions.compat import as_date, dq_ok, duck_round, lane_label, safe_day_series
-from lanecast.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
-from lanecast.operators.median import exact_median
+from lanecast.operators.median import exact_median, ordered_rows
+from lanecast.session import scratch_path
 
 LANE = ["equipment_id", "origin_port_id", "destination_port_id"]
 KEY = schemas.MART_KEY
 
-# A lane with more contracts than this may form lane-days too big for one
-# aggregation buffer; such lanes take the split (skew-safe) path.
-HOT_LANE_ROWS = 1_000_000
-
 
 @dataclass(frozen=True)
 class MartParams:
     load_date: object = None          # stamped as load_date (source: current_date)
     min_companies: int = 5
     min_suppliers: int = 2
-    hot_lane_rows: int = HOT_LANE_ROWS
 
 
 def charges_by_currency(charges: DataFrame) -> DataFrame:
@@ -68,19 +59,16 @@ def contract_days(datapoints: DataFrame, charges: DataFrame, window=None) -> Dat
     """(contract attrs, currency, charge_total, valid_day) for each day of the
     contract's validity, clipped to ``window`` = (lo, hi) Columns if given."""
     cols = ["datapoint_id", "created", "company_id", "supplier_id", *LANE, "valid_from", "valid_to"]
-    # Shuffle-hash join on the contract id, built on the contract side (one
-    # row per id, so no hot build key): the output stays hash-partitioned by
-    # datapoint_id, which lets the explode and the contract-day aggregate run
-    # without shuffling the exploded rows.  A broadcast of either side would
-    # lose that partitioning.
-    joined = (datapoints.select(*cols).hint("shuffle_hash")
-              .join(charges_by_currency(charges), "datapoint_id"))
     lo, hi = F.col("valid_from"), F.col("valid_to")
     if window is not None:
-        # greatest/least skip NULLs: a NULL window (no new contract) must
-        # select nothing, so test it explicitly
-        joined = joined.filter(window[0].isNotNull() & window[1].isNotNull())
+        # plain comparisons that reach the scan; a NULL window selects nothing
+        datapoints = datapoints.filter((lo <= window[1]) & (hi >= window[0]))
+        charges = charges.join(datapoints.select("datapoint_id"), "datapoint_id", "left_semi")
         lo, hi = F.greatest(lo, window[0]), F.least(hi, window[1])
+    # sort-merge on the contract id: it can spill, and its output stays
+    # partitioned by datapoint_id, which lets the explode and the contract-day
+    # aggregate run without shuffling the exploded rows
+    joined = datapoints.select(*cols).hint("merge").join(charges_by_currency(charges), "datapoint_id")
     return (joined.withColumn("_lo", lo).withColumn("_hi", hi)
                   .filter(F.col("_lo") <= F.col("_hi"))
                   .withColumn("valid_day", F.explode(safe_day_series("_lo", "_hi")))
@@ -98,67 +86,34 @@ def contract_daily_price(days: DataFrame, rates: DataFrame) -> DataFrame:
     """Total USD price per contract and day; charges without a usable rate
     (missing or zero) are left out of the total, and a contract-day with no
     convertible charge at all is absent."""
-    r = broadcast_if_small(
-        rates.select(F.col("exchange_date").alias("valid_day"), "currency", "rate"),
-        "exchange_rates", BROADCAST_MAX_ROWS)
-    usd = F.when(F.col("rate").isNull() | (F.col("rate") == 0), F.lit(None).cast("double")) \
-           .otherwise(F.col("charge_total").cast("double") / F.col("rate"))
-    priced = (days.join(r, ["valid_day", "currency"], "left")
-                  .withColumn("charge_value_usd", usd)
+    r = (rates.select(F.col("exchange_date").alias("valid_day"), "currency", "rate")
+         .filter(F.col("rate") != 0))
+    priced = (days.join(r, ["valid_day", "currency"])
+                  .withColumn("charge_value_usd", F.col("charge_total").cast("double") / F.col("rate"))
                   .filter(F.col("charge_value_usd").isNotNull()))
     return (priced.groupBy("datapoint_id", "valid_day", "company_id", "supplier_id", *LANE)
                   .agg(F.max("created").alias("created"),
                        F.sum("charge_value_usd").alias("total_usd_price")))
 
 
-def _lane_aggregate_fused(prices: DataFrame) -> DataFrame:
-    # collect_set of company / supplier ids is bounded by the lane's contract
-    # count (cold lanes only) and avoids the Expand of two count(distinct)s.
-    # The rows of one lane-day come from many contracts spread over all map
-    # tasks, so a map-side partial aggregate reduces nothing and would ship a
-    # serialized median/set buffer per row; shuffling the narrow rows on the
-    # key first makes the whole aggregate run after the exchange (measured
-    # ~20% faster on 4.3M contract-days).
-    return prices.repartition(*KEY).groupBy(*KEY).agg(
-        F.avg("total_usd_price").alias("avg_price_usd"),
-        F.median("total_usd_price").alias("median_price_usd"),
-        F.size(F.collect_set("company_id")).cast("bigint").alias("distinct_companies_count"),
-        F.size(F.collect_set("supplier_id")).cast("bigint").alias("distinct_suppliers_count"),
-        F.max("created").alias("created"))
-
-
-def _lane_aggregate_split(prices: DataFrame) -> DataFrame:
-    # count(distinct) is planned as a two-level aggregate keyed by
-    # (group, id), so no group is buffered in one task; the median comes from
-    # the bucketed exact-median operator.
-    stats = prices.groupBy(*KEY).agg(
+def lane_aggregate(prices: DataFrame) -> DataFrame:
+    """One row per mart key.  Rows arrive ordered by the key, so partial
+    aggregates shrink them to one row per key and task before each shuffle;
+    distinct counts are two-level aggregates keyed by (group, id)."""
+    path = scratch_path(prices.sparkSession, "prices")
+    prices.write.parquet(path)  # once: the ordering samples it, then reads it
+    rows = ordered_rows(prices.sparkSession.read.schema(prices.schema).parquet(path), KEY,
+                        "total_usd_price", "datapoint_id")
+    stats = rows.groupBy(*KEY).agg(
         F.avg("total_usd_price").alias("avg_price_usd"),
         F.countDistinct("company_id").alias("distinct_companies_count"),
         F.countDistinct("supplier_id").alias("distinct_suppliers_count"),
         F.max("created").alias("created"))
-    med = exact_median(prices, KEY, "total_usd_price", "median_price_usd")
-    return stats.join(med, KEY, "left")
-
-
-def hot_lanes(datapoints: DataFrame, hot_lane_rows: int) -> DataFrame:
-    """Lanes (equipment, origin, destination) with more contracts than the
-    threshold.  At most total_contracts / hot_lane_rows rows."""
-    return (datapoints.groupBy(*LANE).count()
-                      .filter(F.col("count") > hot_lane_rows).select(*LANE))
-
-
-def lane_aggregate(prices: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    if hot is None:
-        return _lane_aggregate_fused(prices)
-    hot_b = broadcast_if_small(hot, "hot_lanes")
-    cold = _lane_aggregate_fused(prices.join(hot_b, LANE, "left_anti"))
-    warm = _lane_aggregate_split(prices.join(hot_b, LANE, "left_semi"))
-    return cold.unionByName(warm)
+    return stats.join(exact_median(rows, KEY, "total_usd_price", "median_price_usd"), KEY)
 
 
 def enrich_and_finish(agg: DataFrame, ports: DataFrame, params: MartParams) -> DataFrame:
-    """Port names/regions for both ends (role-playing dimension, broadcast
-    when ``ports`` was size-checked), rounding, coverage flag and load date;
+    """Port names/regions for both ends (role-playing dimension), rounding, coverage flag and load date;
     columns in mart order."""
     side = ports.select("port_id", F.col("code").alias("port_code"),
                         F.col("name").alias("port_name"), "region_name", "country_code")
@@ -176,15 +131,10 @@ def enrich_and_finish(agg: DataFrame, ports: DataFrame, params: MartParams) -> D
 
 def daily_lane_equipment_prices(datapoints: DataFrame, charges: DataFrame, rates: DataFrame,
                                 ports: DataFrame, params: MartParams = MartParams(),
-                                window=None, check_hot: bool = True) -> DataFrame:
+                                window=None) -> DataFrame:
     """The mart from staged tables.  ``window`` = (lo, hi) date Columns
-    restricts the recomputed days (incremental run)."""
-    ports = broadcast_if_small(ports, "ports")  # one check, both uses
+    restricts the recomputed days (incremental run).  Contract-day prices are
+    written to the shared folder when this is called."""
     dp = known_port_contracts(datapoints, ports)
     prices = contract_daily_price(contract_days(dp, charges, window), rates)
-    hot = None
-    if check_hot:
-        h = hot_lanes(dp, params.hot_lane_rows)
-        if not h.isEmpty():
-            hot = h
-    return enrich_and_finish(lane_aggregate(prices, hot), ports, params)
+    return enrich_and_finish(lane_aggregate(prices), ports, params)

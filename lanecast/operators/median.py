@@ -1,22 +1,10 @@
 """Exact median per group that never gathers one group into one task.
 
-``F.median`` buffers every value of a group in a single aggregation buffer.
-That is fine while groups are bounded, but a lane holding a third of all
-contracts would put hundreds of millions of prices in one task.  This
-operator finds the two middle order statistics of each group in two
-bounded steps:
-
-1. An approximate quantile sketch per group (``percentile_approx``, a
-   mergeable partial aggregate of fixed size) cuts the group's values into
-   ``buckets`` ranges.  The cut table is small and is checkpointed, so a
-   retried task sees exactly the same cuts.
-2. Counting rows per (group, bucket) gives each bucket's rank range; only
-   the one or two buckets holding the middle ranks are then resolved
-   exactly, after collapsing equal values into (value, count) pairs.
-
-The result equals ``F.median`` (linear interpolation between the two middle
-values) exactly, whatever the cut quality; cut quality only bounds the
-work of step 2.
+Rows are written once, range-partitioned and sorted by (keys, value, tie), each
+with its place in that order.  Range partitions cut large groups, ties
+included.  Counts of the few (partition, group) runs give each run's ranks;
+the one or two middle ranks of a group are then places, and the rows at those
+places hold the middle values.  One path for groups of every size.
 """
 
 from __future__ import annotations
@@ -24,64 +12,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lanecast.operators.joins import broadcast_if_small
-
-# cut tables up to this many groups are broadcast (128 doubles each)
-CUTS_BROADCAST_MAX_GROUPS = 40_000
-
-
-def _cum_before(part_cols, order_col, count_col):
-    w = (Window.partitionBy(*part_cols).orderBy(order_col)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    return F.coalesce(F.sum(count_col).over(w), F.lit(0))
-
-
-def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
-                 buckets: int = 128, accuracy: int = 2_000, checkpoint: bool = True) -> DataFrame:
-    """(keys..., out) with the exact linear-interpolated median of ``value``
-    per group; NULL values are ignored, all-NULL groups are absent."""
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-
-    fracs = [i / buckets for i in range(1, buckets)]
-    cuts = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", fracs, accuracy).alias("_cuts"),
-        F.count(F.lit(1)).alias("_n"))
-    if checkpoint:
-        cuts = cuts.checkpoint(eager=True)
-
-    # bucket = number of cuts strictly below the value.  A cut table too big
-    # to broadcast is shuffle-joined; AQE's skew-join split then divides a hot
-    # group's rows over several tasks.
-    cuts = broadcast_if_small(cuts, "median_cuts", CUTS_BROADCAST_MAX_GROUPS)
-    bucketed = (rows.join(cuts, keys)
-                    .withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
-                    .drop("_cuts"))
-
-    per_bucket = bucketed.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"),
-                                                   F.first("_n").alias("_n"))
-    per_bucket = per_bucket.withColumn("_before", _cum_before(keys, "_b", "_c"))
-    # 1-based ranks of the two middle values
-    r_lo = F.floor((F.col("_n") + 1) / 2)
-    r_hi = F.floor(F.col("_n") / 2) + 1
-    targets = (per_bucket
-               .withColumn("_rank", F.explode(F.array_distinct(F.array(r_lo, r_hi))))
-               .filter((F.col("_rank") > F.col("_before"))
-                       & (F.col("_rank") <= F.col("_before") + F.col("_c")))
-               .select(*keys, "_b", "_before", "_rank", "_n"))
-
-    # resolve the target buckets exactly; equal values collapse first
-    target_keys = broadcast_if_small(targets.select(*keys, "_b").distinct(), "median_targets")
-    in_target = bucketed.join(target_keys, keys + ["_b"], "left_semi")
-    vc = in_target.groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_vc"))
-    vc = vc.withColumn("_vbefore", _cum_before(keys + ["_b"], "_v", "_vc"))
-    picked = (vc.join(targets, keys + ["_b"])
-                .filter((F.col("_rank") - F.col("_before") > F.col("_vbefore"))
-                        & (F.col("_rank") - F.col("_before") <= F.col("_vbefore") + F.col("_vc")))
-                .select(*keys, "_rank", "_v", "_n"))
-
-    lo_rank = F.floor((F.col("_n") + 1) / 2)
-    agg = picked.groupBy(*keys).agg(
-        F.max(F.when(F.col("_rank") == lo_rank, F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_rank") == F.floor(F.col("_n") / 2) + 1, F.col("_v"))).alias("_hi"))
+from lanecast.session import scratch_path
+
+PLACE = "_place"  # partition << 33 | position in the partition
+
+
+def ordered_rows(df: DataFrame, keys: list[str], value: str, tie: str) -> DataFrame:
+    """df in (keys, value, tie) order, stored in the shared folder, with PLACE."""
+    order = [*keys, value, tie]
+    path = scratch_path(df.sparkSession, "ordered")
+    (df.repartitionByRange(*order).sortWithinPartitions(*order)
+       .withColumn(PLACE, F.monotonically_increasing_id()).write.parquet(path))
+    return df.sparkSession.read.parquet(path)
+
+
+def exact_median(rows: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
+    """(keys..., out) with the linear-interpolated median of ``value`` per
+    group of ``ordered_rows``; equals ``F.median``.  NULL values are ignored,
+    all-NULL groups are absent (they sort first, so places stay contiguous)."""
+    known = rows.filter(F.col(value).isNotNull())
+    runs = (known.groupBy(*keys, F.shiftright(PLACE, 33).alias("_part"))
+            .agg(F.min(PLACE).alias("_first"), F.count(F.lit(1)).alias("_rows")))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    n = F.sum("_rows").over(group)
+    middle = (runs.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).withColumn("_n", n)
+              .withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1))))
+              .filter((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_rows")))
+              .select(*keys, (F.col("_first") + F.col("_rank") - F.col("_before") - 1).alias(PLACE)))
+    picked = known.select(PLACE, F.col(value).cast("double").alias("_v")).join(middle, PLACE)
     # same interpolation as Spark's percentile(0.5)
-    return agg.select(*keys, (F.col("_lo") * 0.5 + F.col("_hi") * 0.5).alias(out))
+    return picked.groupBy(*keys).agg((F.min("_v") * 0.5 + F.max("_v") * 0.5).alias(out))

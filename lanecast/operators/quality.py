@@ -77,12 +77,13 @@ def accepted_values(model: str, df: DataFrame, column: str, values: list) -> Dat
         *_row("accepted_values", model, column, F.col("n")))
 
 
-def contract_check(spark: SparkSession, model: str, df: DataFrame, contract: T.StructType) -> DataFrame:
-    """Schema contract: 0 when names and types equal the contract, else 1
-    (a driver-side comparison of two schemas, no data read)."""
-    got = [(f.name, f.dataType) for f in df.schema.fields]
-    want = [(f.name, f.dataType) for f in contract.fields]
-    return spark.createDataFrame([("contract", model, "*", 0 if got == want else 1)], RESULT)
+def contract_checks(spark: SparkSession, tables: list[tuple[str, DataFrame, T.StructType]]) -> DataFrame:
+    """Schema contracts: 0 when a table's names and types equal its contract,
+    else 1 (a driver-side comparison of schemas, no data read)."""
+    def shape(s: T.StructType) -> list:
+        return [(f.name, f.dataType) for f in s.fields]
+    return spark.createDataFrame([("contract", m, "*", int(shape(df.schema) != shape(want)))
+                                  for m, df, want in tables], RESULT)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from lanecast import schemas
 from lanecast.functions.compat import as_date
-from lanecast.operators.joins import broadcast_if_small
 
 AUDIT_DROP = ["load_date"]  # columns removed before staging's whole-row DISTINCT
 
@@ -39,8 +38,7 @@ def stg_ports(raw: DataFrame, regions: DataFrame, load_date) -> DataFrame:
     raw slug (only the region side is lower-cased), so a mixed-case port slug
     finds no region and the port is dropped, as in the source model."""
     dedup = raw.drop(*AUDIT_DROP).distinct().alias("p")
-    r = broadcast_if_small(regions.select("slug", F.col("name").alias("region_name")),
-                           "stg_regions").alias("r")
+    r = regions.select("slug", F.col("name").alias("region_name")).alias("r")
     out = dedup.join(r, F.col("p.slug") == F.col("r.slug"), "inner").select(
         F.col("p.pid").alias("port_id"),
         F.upper("p.code").alias("code"),
@@ -65,15 +63,13 @@ def stg_exchange_rates(raw: DataFrame, load_date) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
-    """Keep the row with the greatest ``order_cols`` per ``key`` (ties:
-    any one).  ``max_by`` over a struct is a hash aggregate with map-side
-    partial aggregation, so a key re-sent millions of times is collapsed
-    before the shuffle instead of being sorted in one task."""
-    others = [c for c in df.columns if c != key]
-    order = F.struct(*[F.col(c) for c in order_cols])
-    return (df.groupBy(key)
-              .agg(F.max_by(F.struct(*others), order).alias("_row"))
-              .select(key, "_row.*"))
+    """Keep the row with the greatest ``order_cols`` per ``key``; ties are
+    broken by the remaining columns, so a retried task picks the same row.
+    A (sort) aggregate with map-side partial aggregation: a key re-sent
+    millions of times is collapsed before the shuffle."""
+    others = [c for c in df.columns if c != key and c not in order_cols]
+    return (df.groupBy(key).agg(F.max(F.struct(*order_cols, *others)).alias("_row"))
+              .select(key, *[F.col("_row")[c].alias(c) for c in df.columns if c != key]))
 
 
 def stg_datapoints(raw: DataFrame, load_date) -> DataFrame:
@@ -101,12 +97,7 @@ def stg_charges(raw: DataFrame, load_date) -> DataFrame:
     out = raw.filter(F.col("currency").isNotNull()).select(
         F.col("d_id").alias("datapoint_id"),
         F.trim("currency").alias("currency"),
-        F.col("charge_value").cast("bigint").alias("charge_value"),
+        F.bround(F.col("charge_value").cast("double"), 0).cast("bigint").alias("charge_value"),
         as_date(load_date).alias("load_date"),
     )
     return enforce_contract(out, schemas.STG_CHARGES)
-
-
-def stg_equipment_types(datapoints: DataFrame) -> DataFrame:
-    """Distinct equipment ids of the staged contracts (dashboard extract)."""
-    return datapoints.select("equipment_id").distinct()

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lanecast import schemas
 from lanecast.plans import oracle as O
 from lanecast.plans import pipeline as P
 from lanecast.plans import reports as R
@@ -23,7 +24,7 @@ LANE = "concat(origin_port_name, ' to ', destination_port_name)"
 
 # Report parameters for the fixture tables (port and region
 # names of the fixture come from nation / region rows).
-ONE_LANE = ("NATION_0", "NATION_5")
+ONE_LANE = ("NATION_0", "NATION_13")
 DEST_REGION = "AMERICA"
 
 
@@ -61,13 +62,11 @@ mart_report("weekly_region_trend", R.weekly_region_trend, O.with_mart(
     "SELECT CAST(date_trunc('week', valid_day) AS DATE) AS week_start, origin_region_name, "
     "destination_region_name, avg(avg_price_usd) AS weekly_avg_price FROM mart GROUP BY 1, 2, 3"))
 mart_report("mom_change", R.mom_change, O.with_mart(
-    f"SELECT month, {LANE} AS lane, monthly_avg_price, prev_month_price, "
-    "CASE WHEN prev_month_price IS NULL THEN NULL WHEN prev_month_price = 0 THEN NULL "
-    "ELSE (monthly_avg_price - prev_month_price) / prev_month_price END AS mom_change_pct FROM lagged",
-    extra_ctes="monthly AS (SELECT CAST(date_trunc('month', valid_day) AS DATE) AS month, origin_port_name, "
-    "destination_port_name, avg(avg_price_usd) AS monthly_avg_price FROM mart GROUP BY 1, 2, 3), "
-    "lagged AS (SELECT *, lag(monthly_avg_price) OVER (PARTITION BY origin_port_name, destination_port_name "
-    "ORDER BY month) AS prev_month_price FROM monthly)"))
+    "SELECT m AS month, concat(o, ' to ', t) AS lane, p AS monthly_avg_price, q AS prev_month_price, "
+    "(p - q) / nullif(q, 0) AS mom_change_pct FROM (SELECT *, lag(p) OVER months AS q FROM ("
+    "SELECT CAST(date_trunc('month', valid_day) AS DATE) AS m, origin_port_name AS o, "
+    "destination_port_name AS t, avg(avg_price_usd) AS p FROM mart GROUP BY ALL) "
+    "WINDOW months AS (PARTITION BY o, t ORDER BY m))"))
 mart_report("lane_monthly", R.lane_monthly, O.with_mart(
     f"SELECT CAST(date_trunc('month', valid_day) AS DATE) AS month, {LANE} AS lane, "
     "avg(avg_price_usd) AS avg_price, avg(median_price_usd) AS median_price FROM mart GROUP BY 1, 2"))
@@ -133,21 +132,21 @@ mart_report("daily_shipping_prices", D.daily_shipping_prices, O.with_mart(_D1.fo
 mart_report("daily_shipping_prices_eq2", D.daily_shipping_prices, O.with_mart(_D1.format(eq="2")),
             equipment_id=2)
 mart_report("dq_summary", D.dq_summary, O.with_mart(
-    "SELECT valid_day, count(*) FILTER (WHERE dq_ok = true) AS covered_lanes, "
-    "count(*) FILTER (WHERE dq_ok = false) AS uncovered_lanes FROM mart GROUP BY valid_day"))
+    "SELECT valid_day, CAST(count_if(dq_ok) AS BIGINT) AS covered_lanes, "
+    "CAST(count_if(NOT dq_ok) AS BIGINT) AS uncovered_lanes FROM mart GROUP BY valid_day"))
 mart_report("dq_failures", D.dq_failures, O.with_mart(
     "SELECT valid_day, equipment_id, origin_port_name, destination_port_name, distinct_companies_count, "
     "distinct_suppliers_count FROM mart WHERE dq_ok = false"))
-_D4 = ("SELECT valid_day, count(*) AS total_lane_days, count(CASE WHEN dq_ok THEN 1 END) AS reliable_lane_days, "
-       "round((count(CASE WHEN dq_ok THEN 1 END) * 100.0 / count(*)), 2) AS pct_reliable "
-       "FROM mart WHERE equipment_id = coalesce({eq}, equipment_id) GROUP BY valid_day")
-mart_report("data_coverage", D.data_coverage, O.with_mart(_D4.format(eq="NULL")))
-mart_report("data_coverage_eq1", D.data_coverage, O.with_mart(_D4.format(eq="1")), equipment_id=1)
+_D4 = ("SELECT valid_day, n AS total_lane_days, CAST(good AS BIGINT) AS reliable_lane_days, "
+       "round(good * 100.0 / n, 2) AS pct_reliable FROM (SELECT valid_day, count(*) AS n, count_if(dq_ok) AS good "
+       "FROM mart WHERE {eq} GROUP BY valid_day)")
+mart_report("data_coverage", D.data_coverage, O.with_mart(_D4.format(eq="equipment_id IS NOT NULL")))
+mart_report("data_coverage_eq1", D.data_coverage, O.with_mart(_D4.format(eq="equipment_id = 1")), equipment_id=1)
 mart_report("dq_failure_reason", D.dq_failure_reason, O.with_mart(
     "SELECT valid_day, origin_port_code, destination_port_code, equipment_id, "
-    "CASE WHEN distinct_companies_count < 5 THEN 'Needs more companies' "
-    "WHEN distinct_suppliers_count < 2 THEN 'Needs more suppliers' ELSE 'OK' END AS dq_issue "
-    f"FROM mart WHERE dq_ok = FALSE AND valid_day > '{AFTER_DAY}'"), after=AFTER_DAY)
+    "coalesce(if(distinct_companies_count < 5, 'Needs more companies', NULL), "
+    "if(distinct_suppliers_count < 2, 'Needs more suppliers', NULL), 'OK') AS dq_issue "
+    f"FROM mart WHERE NOT dq_ok AND valid_day > DATE '{AFTER_DAY}'"), after=AFTER_DAY)
 mart_report("port_pair_series", D.port_pair_series, O.with_mart(
     "SELECT valid_day, avg_price_usd, median_price_usd FROM mart "
     f"WHERE origin_port_code LIKE '{PAIR[0]}' AND destination_port_code LIKE '{PAIR[1]}' "
@@ -166,9 +165,8 @@ mart_report("avg_median_gap", D.avg_median_gap, O.with_mart(
     origin_code="NATION_2", destination_code="%", equipment_id=2)
 mart_report("region_pair_series", D.region_pair_series, O.with_mart(
     "SELECT valid_day, avg(avg_price_usd) AS region_avg_price_usd, count(*) AS number_of_underlying_lanes "
-    f"FROM mart WHERE origin_region_name LIKE '{DEST_REGION}' AND destination_region_name LIKE '%' "
-    "AND equipment_id = coalesce(NULL, equipment_id) AND dq_ok = TRUE "
-    f"AND valid_day BETWEEN '{RANGE_B[0]}' AND '{RANGE_B[1]}' GROUP BY valid_day"),
+    f"FROM (SELECT * FROM mart WHERE valid_day >= DATE '{RANGE_B[0]}' AND valid_day <= DATE '{RANGE_B[1]}') "
+    f"WHERE dq_ok AND origin_region_name = '{DEST_REGION}' GROUP BY valid_day"),
     origin_region=DEST_REGION, start=RANGE_B[0], end=RANGE_B[1])
 mart_report("most_expensive_lanes", D.most_expensive_lanes, O.with_mart(
     "SELECT origin_port_name, origin_region_name, destination_port_name, destination_region_name, "
@@ -333,6 +331,7 @@ _SCAN_SRC = {"ports": "raw_ports", "regions": "raw_regions", "exchange_rates": "
 
 
 def _scan_sql(t, src, folder, load_date):
+    """Rows a scan of the table's files gives."""
     return (f"SELECT {_RAW_COLS[t]}, '{folder}/{CSV.GLOBS[t]}' AS file_path, '{folder}' AS load_type, "
             f"DATE '{load_date}' AS load_date FROM {src}")
 
@@ -415,13 +414,55 @@ register("extract_mart", O.with_mart("SELECT * FROM mart"))(
 
 
 @register("schema_evolve", O.with_batches(
-    f"SELECT {_RAW_DP}, CAST(NULL AS BIGINT) AS contract_tier FROM raw_dp1 UNION ALL "
-    f"SELECT {_RAW_DP}, d_id % 3 AS contract_tier FROM raw_dp2_batch", _B))
+    f"SELECT {_RAW_DP}, CAST(NULL AS BIGINT) AS contract_tier FROM raw_dp1 "
+    "WHERE d_id NOT IN (SELECT d_id FROM raw_dp2_new) UNION ALL "
+    f"SELECT {_RAW_DP}, d_id % 3 AS contract_tier FROM raw_dp2_new", _B))
 def _q_schema_evolve(spark, sf_dir):
-    """Batch 2 arrives with an extra source column (derived here from
-    the contract id); the union appends it and batch-1 rows get NULL."""
+    """Batch 2 arrives with an extra source column (derived here from the
+    contract id) and goes through the raw step of an incremental run; the
+    stored table has the column, NULL in the rows of batch 1."""
+    from lanecast.session import scratch_path
     b1, b2 = FX.batches(spark, sf_dir)
-    cols = _RAW_DP.split(", ")
-    old = b1.datapoints.select(*cols)
-    new = b2.datapoints.select(*cols, (F.col("d_id") % 3).alias("contract_tier"))
-    return I.evolve_schema(old, new)
+    path = scratch_path(spark, "evolve", "datapoints")
+    P.TB.overwrite(b1.datapoints, path)
+    P.merge_raw_datapoints(spark, b2.datapoints.withColumn("contract_tier", F.col("d_id") % 3), path)
+    return P.TB.read_evolved(spark, path).drop(*schemas.AUDIT.fieldNames())
+
+
+@register("mart_from_files", O.with_batches("SELECT * FROM mart1", _B))
+def _q_mart_from_files(spark, sf_dir):
+    """The mart built end to end from the CSV input folder."""
+    from lanecast.session import scratch_path
+    root = scratch_path(spark, "from-files")
+    P.run_full_from(spark, P.materialised_inputs(spark, sf_dir), root, FX.BATCH1_LOAD_DATE)
+    return P.stored_mart(spark, root).drop("valid_month")
+
+
+@register("load_tables", O.with_batches(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {src}" for t, src in (
+        ("ports", "raw_ports"), ("regions", "raw_regions"), ("exchange_rates", "raw_exchange_rates"),
+        ("datapoints", "(SELECT d_id FROM raw_dp1 UNION ALL SELECT d_id FROM raw_dp2_batch)"),
+        ("charges", "(SELECT d_id FROM raw_ch1 UNION ALL SELECT d_id FROM raw_ch2_batch)"))), _B))
+def _q_load_tables(spark, sf_dir):
+    """All five raw tables written by the loader: replaced by the full load,
+    fact tables appended by the incremental one."""
+    from lanecast.session import scratch_path
+    inputs, root = P.materialised_inputs(spark, sf_dir), scratch_path(spark, "loaded")
+    CSV.load_tables(spark, inputs, root, "full", FX.BATCH1_LOAD_DATE)
+    CSV.load_tables(spark, inputs, root, "incremental", FX.BATCH2_LOAD_DATE)
+    parts = [P.TB.read_evolved(spark, P.TB.table_path(root, "raw", t)).agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(t).alias("table_name"), "row_count") for t in P.RAW_NAMES]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+@register("dq_contract", " UNION ALL ".join(
+    f"SELECT 'contract' AS test_name, '{m}' AS model, '*' AS column_name, CAST(0 AS BIGINT) AS failures"
+    for m in _SQL_TABLE))
+def _q_dq_contract(spark, sf_dir):
+    """Names and types of every stored staging table and of the mart."""
+    stored = {n: schemas.STAGING[n] for n in P.RAW_NAMES} | {"daily_lane_equipment_prices": schemas.MART}
+    tables = _dq_tables(spark, sf_dir)
+    return Q.contract_checks(spark, [(m, tables[m], want) for m, want in stored.items()])

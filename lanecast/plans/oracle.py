@@ -1,8 +1,8 @@
-"""DuckDB SQL equivalents used as the correctness oracle.
+"""DuckDB SQL used as the correctness oracle.
 
-Written in the *source model's* order (expand days, then join charge lines,
-then rates, then ports, then aggregate), so it checks the reordered Spark
-plan instead of mirroring it.  The fixture CTEs build the same raw rows as
+Written from the semantics, not from a plan: contracts meet a calendar by an
+interval join, charge totals meet rates, lane-days are aggregated on ids and
+named last.  The fixture CTEs build the same raw rows as
 ``lanecast.sources.fixtures`` from the pre-registered driver tables.
 """
 
@@ -27,7 +27,7 @@ raw_ports AS (
   SELECT CAST(n_nationkey AS BIGINT) AS pid, lower(n_name) AS code,
          concat('region_', CAST(n_regionkey AS VARCHAR)) AS slug, n_name AS name,
          n_name AS country, concat('c', CAST(n_regionkey AS VARCHAR)) AS country_code
-  FROM nation WHERE n_nationkey < 10
+  FROM nation
   UNION ALL
   SELECT CAST(n_nationkey AS BIGINT), lower(n_name), concat('region_', CAST(n_regionkey AS VARCHAR)),
          n_name, n_name, concat('c', CAST(n_regionkey AS VARCHAR))
@@ -35,13 +35,14 @@ raw_ports AS (
 ),
 base_dp AS (
   SELECT o_orderkey AS d_id, CAST(o_orderdate AS TIMESTAMP) AS created,
-         CAST(o_custkey % 5 AS BIGINT) AS origin_pid,
-         CAST(CASE WHEN o_orderkey % 97 = 0 THEN 99 ELSE o_orderkey % 5 + 5 END AS BIGINT) AS destination_pid,
+         CAST(if(o_custkey % 4 = 0, o_custkey % 13, o_custkey % 3) AS BIGINT) AS origin_pid,
+         CAST(CASE WHEN o_orderkey % 97 = 0 THEN 99 WHEN o_orderkey % 4 = 1 THEN o_orderkey % 12 + 13
+                   ELSE o_orderkey % 2 + 13 END AS BIGINT) AS destination_pid,
          CAST(o_orderdate AS DATE) AS valid_from,
          CAST(CAST(o_orderdate AS DATE)
               + CAST(CASE WHEN o_orderkey % 50 = 0 THEN -1 ELSE (o_orderkey * 7) % 60 END AS INTEGER) AS DATE) AS valid_to,
          o_custkey AS company_id, CAST(o_orderkey % 4 AS BIGINT) AS supplier_id,
-         CAST(1 + o_orderkey % 2 AS BIGINT) AS equipment_id
+         CAST(if(o_orderkey % 5 = 0, 1 + (o_orderkey // 5) % 6, 1 + o_orderkey % 2) AS BIGINT) AS equipment_id
   FROM orders
 ),
 raw_datapoints AS (
@@ -58,7 +59,7 @@ raw_charges AS (
               WHEN l_returnflag = 'A' THEN 'USD'
               WHEN l_returnflag = 'N' THEN ' EUR '
               ELSE 'NOK' END AS currency,
-         CAST(floor(l_extendedprice) AS BIGINT) AS charge_value
+         CAST(floor(l_extendedprice) AS DOUBLE) AS charge_value
   FROM lineitem
 ),
 raw_exchange_rates AS (
@@ -97,7 +98,7 @@ stg_datapoints{suffix} AS (
   WHERE rn = 1 AND valid_from <= valid_to
 ),
 stg_charges{suffix} AS (
-  SELECT d_id AS datapoint_id, trim(currency) AS currency, charge_value, DATE '{load_date}' AS load_date
+  SELECT d_id AS datapoint_id, trim(currency) AS currency, CAST(charge_value AS BIGINT) AS charge_value, DATE '{load_date}' AS load_date
   FROM {raw_ch} WHERE currency IS NOT NULL
 )"""
 
@@ -105,56 +106,38 @@ stg_charges{suffix} AS (
 def mart_ctes(name: str = "mart", dp: str = "stg_datapoints", ch: str = "stg_charges",
               rates: str = "stg_exchange_rates", ports: str = "stg_ports",
               load_date: str = LOAD_DATE, day_filter: str = "TRUE") -> str:
-    """Mart CTE ``name`` in the source model's order.  ``day_filter`` is a
-    predicate over (sd.*, valid_day) applied after the expansion."""
+    """Mart CTE ``name``: contracts meet the calendar by an interval join, the
+    charge totals of a currency meet its non-zero rates, the lane-days are
+    aggregated on ids alone and named last.  ``day_filter`` is a predicate
+    over the calendar day ``k.day``."""
+    side = lambda at, end: ", ".join(
+        f"{at}.{c} AS {end}_{o}" for c, o in (("port_id", "port_id"), ("code", "port_code"), ("name", "port_name"),
+                                              ("region_name", "region_name"), ("country_code", "country_code")))
     return f"""
 {name}_expanded AS (
-  SELECT * FROM (
-    SELECT sd.datapoint_id, sd.created, sd.company_id, sd.supplier_id, sd.origin_port_id,
-           sd.destination_port_id, sd.equipment_id,
-           CAST(unnest(generate_series(CAST(sd.valid_from AS TIMESTAMP), CAST(sd.valid_to AS TIMESTAMP),
-                                       INTERVAL 1 DAY)) AS DATE) AS valid_day
-    FROM {dp} sd WHERE sd.valid_from <= sd.valid_to) x
-  WHERE {day_filter}
-),
-{name}_usd AS (
-  SELECT e.*, c.currency, c.charge_value,
-         CASE WHEN r.rate IS NULL OR r.rate = 0 THEN NULL ELSE c.charge_value / r.rate END AS charge_value_usd
-  FROM {name}_expanded e
-  JOIN {ch} c ON e.datapoint_id = c.datapoint_id
-  LEFT JOIN {rates} r ON e.valid_day = r.exchange_date AND c.currency = r.currency
+  SELECT d.* EXCLUDE (valid_from, valid_to, load_date), k.day AS valid_day
+  FROM {dp} d JOIN cal k ON k.day BETWEEN d.valid_from AND d.valid_to WHERE {day_filter}
 ),
 {name}_total AS (
-  SELECT datapoint_id, max(created) AS created, company_id, supplier_id, origin_port_id,
-         destination_port_id, equipment_id, valid_day, sum(charge_value_usd) AS total_usd_price
-  FROM {name}_usd WHERE charge_value_usd IS NOT NULL
-  GROUP BY datapoint_id, company_id, supplier_id, origin_port_id, destination_port_id, equipment_id, valid_day
-),
-{name}_agg AS (
-  SELECT t.valid_day, t.equipment_id,
-         po.port_id AS origin_port_id, po.code AS origin_port_code, po.name AS origin_port_name,
-         po.region_name AS origin_region_name, po.country_code AS origin_country_code,
-         pd.port_id AS destination_port_id, pd.code AS destination_port_code, pd.name AS destination_port_name,
-         pd.region_name AS destination_region_name, pd.country_code AS destination_country_code,
-         avg(t.total_usd_price) AS avg_price_usd, median(t.total_usd_price) AS median_price_usd,
-         count(DISTINCT t.company_id) AS distinct_companies_count,
-         count(DISTINCT t.supplier_id) AS distinct_suppliers_count,
-         max(t.created) AS created
-  FROM {name}_total t
-  JOIN {ports} po ON t.origin_port_id = po.port_id
-  JOIN {ports} pd ON t.destination_port_id = pd.port_id
+  SELECT x.datapoint_id, x.valid_day, x.company_id, x.supplier_id, x.equipment_id, x.origin_port_id,
+         x.destination_port_id, x.created, sum(s.amount / r.rate) AS total_usd_price
+  FROM (SELECT datapoint_id, currency, sum(charge_value) AS amount FROM {ch} GROUP BY ALL) s
+  JOIN {name}_expanded x USING (datapoint_id)
+  JOIN {rates} r ON r.currency = s.currency AND r.exchange_date = x.valid_day AND r.rate <> 0
   GROUP BY ALL
 ),
 {name} AS (
-  SELECT valid_day, equipment_id, concat(origin_port_name, ' to ', destination_port_name) AS port_lane,
-         origin_port_id, origin_port_code, origin_port_name, origin_region_name, origin_country_code,
-         destination_port_id, destination_port_code, destination_port_name, destination_region_name,
-         destination_country_code,
-         round(avg_price_usd, 2) AS avg_price_usd, round(median_price_usd, 2) AS median_price_usd,
-         distinct_companies_count, distinct_suppliers_count,
-         (distinct_companies_count >= 5 AND distinct_suppliers_count >= 2) AS dq_ok,
-         created, DATE '{load_date}' AS load_date
-  FROM {name}_agg
+  SELECT g.valid_day, g.equipment_id, concat(a.name, ' to ', z.name) AS port_lane, {side('a', 'origin')},
+         {side('z', 'destination')}, round(g.mean, 2) AS avg_price_usd, round(g.middle, 2) AS median_price_usd,
+         g.companies AS distinct_companies_count, g.suppliers AS distinct_suppliers_count,
+         least(g.companies / 5, g.suppliers / 2) >= 1 AS dq_ok, g.created, DATE '{load_date}' AS load_date
+  FROM (SELECT valid_day, equipment_id, origin_port_id AS o, destination_port_id AS t,
+               avg(total_usd_price) AS mean, quantile_cont(total_usd_price, 0.5) AS middle,
+               count(DISTINCT company_id) AS companies, count(DISTINCT supplier_id) AS suppliers,
+               max(created) AS created
+        FROM {name}_total GROUP BY 1, 2, 3, 4) g
+  JOIN {ports} z ON z.port_id = g.t
+  JOIN {ports} a ON a.port_id = g.o
 )"""
 
 
@@ -178,7 +161,7 @@ def _anti_key(left: str, right: str, key=_MART_KEY) -> str:
 def batch_ctes() -> str:
     """Batch 1 full build, batch 2 incremental run, in the source's terms:
     raw increments (created watermark, NOT IN), staging delta upserts,
-    mart1, the affected window, mart2 with the AND/OR day predicate, and
+    mart1, the affected window, mart2 over its days, and
     the delete+insert result ``final``; ``cov_log`` holds the snapshots."""
     return ("WITH " + FIXTURE_CTES + f""",
 raw_dp1 AS (SELECT * FROM raw_datapoints WHERE created < {_CUT}),
@@ -202,8 +185,7 @@ win AS (SELECT min(valid_from) AS lo, max(valid_to) AS hi FROM stg_datapoints2
         WHERE created > (SELECT max(created) FROM mart1)),"""
             + mart_ctes("mart2", "stg_datapoints2", "stg_charges2", "stg_exchange_rates2d", "stg_ports2d",
                         B2_DATE,
-                        day_filter="x.created > (SELECT max(created) FROM mart1) "
-                                   "OR x.valid_day BETWEEN (SELECT lo FROM win) AND (SELECT hi FROM win)")
+                        day_filter="k.day BETWEEN (SELECT lo FROM win) AND (SELECT hi FROM win)")
             + f""",
 final AS ({_anti_key('mart1', 'mart2')} UNION ALL SELECT * FROM mart2),
 cov_log AS (
@@ -219,12 +201,8 @@ def with_batches(select_sql: str, snapshot_ts: tuple[str, str]) -> str:
 
 
 COVERAGE_CHANGES_SQL = """
-, paired AS (
-    SELECT b.snapshot_ts AS before_ts, a.snapshot_ts AS after_ts,
-           b.covered_lane_count AS before_count, a.covered_lane_count AS after_count
-    FROM {log} b JOIN {log} a ON a.stage = 'after' AND b.stage = 'before' AND a.snapshot_ts > b.snapshot_ts
-    QUALIFY row_number() OVER (PARTITION BY b.snapshot_ts ORDER BY a.snapshot_ts) = 1)
-SELECT before_ts, after_ts, before_count, after_count, after_count - before_count AS diff_count,
-       CASE WHEN before_count IS NULL OR before_count = 0 THEN NULL
-            ELSE round(((after_count - before_count) * 100.0 / before_count), 2) END AS pct_change
-FROM paired"""
+SELECT x.snapshot_ts AS before_ts, y.snapshot_ts AS after_ts, x.n AS before_count, y.n AS after_count,
+       y.n - x.n AS diff_count, round((y.n - x.n) * 100.0 / nullif(x.n, 0), 2) AS pct_change
+FROM (SELECT snapshot_ts, max(covered_lane_count) AS n FROM {log} WHERE stage = 'before' GROUP BY 1) x
+ASOF JOIN (SELECT snapshot_ts, covered_lane_count AS n FROM {log} WHERE stage = 'after') y
+  ON x.snapshot_ts < y.snapshot_ts"""

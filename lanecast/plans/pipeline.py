@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from lanecast import schemas
 from lanecast.operators import mart as M
 from lanecast.operators import staging as S
-from lanecast.session import scratch_path, shared_dir
+from lanecast.session import shared_dir
 from lanecast.sources import fixtures as fx
 from lanecast.sources.fixtures import RawTables
 
@@ -121,7 +121,7 @@ def materialised_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _lock:
         path = _MATERIALISED.get(key)
     if path is None:
-        mart = fixture_mart(spark, sf_dir)  # size checks run here, once
+        mart = fixture_mart(spark, sf_dir)
         with _lock:
             path = _MATERIALISED.get(key)
             if path is None:
@@ -166,8 +166,7 @@ def run_full(spark: SparkSession, raw: RawTables, root: str, load_date,
     params = params or M.MartParams(load_date=load_date)
     for n in RAW_NAMES:
         TB.overwrite(getattr(raw, n), TB.table_path(root, "raw", n))
-    raw_stored = RawTables(**{n: TB.read(spark, TB.table_path(root, "raw", n), raw_schema(n))
-                              for n in RAW_NAMES})
+    raw_stored = RawTables(**{n: TB.read_evolved(spark, TB.table_path(root, "raw", n)) for n in RAW_NAMES})
     staged = write_staged(stage(raw_stored, load_date), root)
     write_mart(build_mart(staged, params), TB.table_path(root, *MART_TABLE))
     cov = TB.table_path(root, *COVERAGE_TABLE)
@@ -176,27 +175,22 @@ def run_full(spark: SparkSession, raw: RawTables, root: str, load_date,
 
 
 def run_incremental(spark: SparkSession, batch: RawTables, root: str, load_date,
-                    snapshot_ts: tuple[str, str], params: M.MartParams | None = None) -> None:
+                    snapshot_ts: tuple[str, str], params: M.MartParams | None = None,
+                    replace_window: bool = False) -> None:
     """One incremental batch through all layers, with before/after coverage
-    snapshots around the mart upsert."""
+    snapshots around the mart upsert.  With ``replace_window`` the mart rows of
+    the affected days are replaced whole, so groups that vanished go; by
+    default rows are replaced by key and such groups stay (source behaviour)."""
     params = params or M.MartParams(load_date=load_date)
     p = lambda layer, n: TB.table_path(root, layer, n)
 
     # raw: contracts merge on d_id (only newer created), charges keep only
     # unseen contracts (delete+insert on d_id); dimensions fully refreshed
-    raw_dp = TB.read(spark, p("raw", "datapoints"), raw_schema("datapoints"))
-    TB.replace_via_stage(I.upsert(raw_dp, I.incremental_new_rows(batch.datapoints, raw_dp), "d_id"),
-                         p("raw", "datapoints"))
-    # delete+insert on d_id where every inserted d_id is absent by the NOT IN
-    # filter: the delete is empty, so the upsert is an append
-    raw_ch = TB.read(spark, p("raw", "charges"), raw_schema("charges"))
-    new_ch = I.charges_new_only(batch.charges, raw_ch)
-    staged_ch = scratch_path(spark, "staged")
-    TB.overwrite(new_ch, staged_ch)  # materialise before appending to the table it reads
-    TB.append(TB.read(spark, staged_ch, raw_schema("charges")), p("raw", "charges"))
+    merge_raw_datapoints(spark, batch.datapoints, p("raw", "datapoints"))
+    append_raw_charges(spark, batch.charges, p("raw", "charges"))
     for n in ("ports", "regions", "exchange_rates"):
         TB.overwrite(getattr(batch, n), p("raw", n))
-    raw = RawTables(**{n: TB.read(spark, p("raw", n), raw_schema(n)) for n in RAW_NAMES})
+    raw = RawTables(**{n: TB.read_evolved(spark, p("raw", n)) for n in RAW_NAMES})
 
     # staging: dimensions rebuilt, facts take the load_date delta and upsert
     regions = S.stg_regions(raw.regions, load_date)
@@ -212,9 +206,9 @@ def run_incremental(spark: SparkSession, batch: RawTables, root: str, load_date,
     # delete+insert on datapoint_id deletes nothing and is an append
     stg_ch = TB.read(spark, p("staging", "charges"), schemas.STG_CHARGES)
     delta_ch = S.stg_charges(I.staging_delta(raw.charges, stg_ch), load_date)
-    staged_delta = scratch_path(spark, "staged")
-    TB.overwrite(delta_ch, staged_delta)  # materialise before appending to the table it reads
-    TB.append(TB.read(spark, staged_delta, schemas.STG_CHARGES), p("staging", "charges"))
+    delta_ch, scratch = TB.stored_once(delta_ch)  # before appending to the table it reads
+    TB.append(delta_ch, p("staging", "charges"))
+    TB.drop(spark, scratch)
     staged = stored_staged(spark, root)
 
     # final: snapshot, recompute the affected days, upsert, snapshot
@@ -225,14 +219,50 @@ def run_incremental(spark: SparkSession, batch: RawTables, root: str, load_date,
     fresh = affected_rows(staged, mart, params)
     if fresh is not None:
         rows, (lo, hi) = fresh
-        touched = mart.filter(F.col("valid_month").between(F.trunc(F.lit(lo), "month"),
-                                                           F.trunc(F.lit(hi), "month")))
-        merged = I.upsert(touched.drop("valid_month"), rows, schemas.MART_KEY)
-        TB.replace_via_stage(merged.withColumn("valid_month", F.trunc("valid_day", "month")),
-                             mart_path, partition_by=["valid_month"])
+        rows, scratch = TB.stored_once(rows)  # its keys and its rows come from one computation
+        touched = mart.filter(F.col("valid_month").between(F.trunc(F.lit(lo), "month"), F.trunc(F.lit(hi), "month")))
+        if replace_window:
+            merged = touched.filter(~F.col("valid_day").between(F.lit(lo), F.lit(hi))).drop("valid_month").unionByName(rows)
+        else:
+            merged = I.upsert(touched.drop("valid_month"), rows, schemas.MART_KEY)
+        TB.replace_via_stage(merged.withColumn("valid_month", F.trunc("valid_day", "month")), mart_path,
+                             partition_by=["valid_month"], sort_by=schemas.MART_KEY)
+        TB.drop(spark, scratch)
     TB.append(C.coverage_snapshot(stored_mart(spark, root), "after", snapshot_ts[1]), cov_path)
 
 
+def merge_raw_datapoints(spark: SparkSession, batch: DataFrame, path: str) -> None:
+    """Contracts newer than the newest loaded one, merged on d_id.  New source
+    columns stay, NULL in older rows; a batch may lack columns."""
+    known = TB.read_evolved(spark, path)
+    new, scratch = TB.stored_once(I.incremental_new_rows(batch, known))
+    TB.replace_via_stage(I.upsert(known, new, "d_id"), path)
+    TB.drop(spark, scratch)
+
+
+def append_raw_charges(spark: SparkSession, batch: DataFrame, path: str) -> None:
+    """Charge lines of unseen contracts.  The delete+insert on d_id deletes
+    nothing (every inserted d_id is absent by the NOT IN filter): an append."""
+    new, scratch = TB.stored_once(I.charges_new_only(batch, TB.read_evolved(spark, path)))
+    TB.append(new, path)
+    TB.drop(spark, scratch)
+
+
+def run_full_from(spark: SparkSession, input_root: str, root: str, load_date,
+                  file_path: dict[str, str] | None = None) -> None:
+    """The full build from a CSV input folder (``file_path`` overrides the glob of a table)."""
+    from lanecast.sources import csv as CSV
+    run_full(spark, RawTables(**CSV.load_raw(spark, input_root, "full", load_date, file_path=file_path)), root, load_date)
+
+
+def run_incremental_from(spark: SparkSession, input_root: str, root: str, load_date, snapshot_ts: tuple[str, str],
+                         file_path: dict[str, str] | None = None, **kw) -> None:
+    """One incremental batch from a CSV input folder."""
+    from lanecast.sources import csv as CSV
+    run_incremental(spark, RawTables(**CSV.load_raw(spark, input_root, "incremental", load_date, file_path=file_path)),
+                    root, load_date, snapshot_ts, **kw)
+
+
 def affected_rows(staged: Staged, mart: DataFrame, params: M.MartParams):
     """Mart rows of every lane on the days touched by contracts newer than
     the mart, with the window (lo, hi); None when nothing is new.  The two

@@ -18,6 +18,10 @@ LANE_COLS = ["origin_port_name", "destination_port_name"]
 
 
 def _max_day(mart: DataFrame) -> Column:
+    """Latest day; of a month-partitioned mart only the latest month is read
+    (the month itself comes from the partition folders)."""
+    if "valid_month" in mart.columns:
+        mart = mart.filter(F.col("valid_month") == mart.select(F.max("valid_month")).scalar())
     return mart.select(F.max("valid_day")).scalar()
 
 

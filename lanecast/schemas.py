@@ -17,10 +17,11 @@ RAW_PORTS = _st(("pid", L), ("code", S), ("slug", S), ("name", S), ("country", S
                 ("country_code", S))
 RAW_REGIONS = _st(("slug", S), ("name", S), ("parent", S))
 RAW_EXCHANGE_RATES = _st(("day", D), ("currency", S), ("rate", DB))
-RAW_DATAPOINTS = _st(("d_id", L), ("created", TS), ("origin_pid", L), ("destination_pid", L),
+RAW_DATAPOINTS = _st(("d_id", L), ("created", T.TimestampType()),  # delivered with a zone
+                     ("origin_pid", L), ("destination_pid", L),
                      ("valid_from", D), ("valid_to", D), ("company_id", L),
                      ("supplier_id", L), ("equipment_id", L))
-RAW_CHARGES = _st(("d_id", L), ("currency", S), ("charge_value", L))
+RAW_CHARGES = _st(("d_id", L), ("currency", S), ("charge_value", DB))  # cast to whole units in staging
 
 AUDIT = _st(("file_path", S), ("load_type", S), ("load_date", D))
 

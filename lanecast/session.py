@@ -47,13 +47,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+# Settings that change results: a session that refuses them is an error.
+REQUIRED = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")
+
+
 def apply_conf(spark: SparkSession) -> None:
     """Pin the runtime settings on a session the caller created."""
     for k, v in SESSION_CONF.items():
         try:
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings stay as the cluster set them
-            pass
+        except Exception:  # other static or locked settings stay as the cluster set them
+            if k in REQUIRED and spark.conf.get(k, None) != v:
+                raise
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lanecast import schemas
 from lanecast.functions.compat import as_date, file_stem, table_name_from_file
+from lanecast.sources import tables as TB
 
 # File name prefix, the two load folders and the per-table globs.
 PREFIX = "DE_casestudy_"
@@ -32,8 +33,10 @@ FULL_ONLY = ("ports", "regions", "exchange_rates")
 
 # An unquoted empty field is NULL, a quoted "" is the empty string: the
 # sentinel nullValue keeps Spark from turning "" into NULL as well.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
-               "nullValue": "\u0000"}
+# A header that does not name the schema's columns in order, or a value that
+# is not of its column's type, fails the scan.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST",
+               "enforceSchema": "false", "nullValue": "\u0000"}
 
 
 def reader(spark: SparkSession, schema):
@@ -48,11 +51,14 @@ def logical_file(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+\.csv)(/[^/]+)?$", 1)
 
 
-def scan(spark: SparkSession, input_root: str, table: str, load_type: str, load_date) -> DataFrame:
-    """One table from its glob, typed by the raw schema, with
-    the audit columns (file_path is the glob, relative to the input root)."""
+def scan(spark: SparkSession, input_root: str, table: str, load_type: str, load_date,
+         file_path: str | None = None) -> DataFrame:
+    """One table from its glob, or from ``file_path`` (relative to the
+    input root), typed by the raw schema, with the audit columns."""
+    if load_date is None:
+        raise ValueError("load_date must not be null")
     folder = LOAD_DIRS[load_type] if table not in FULL_ONLY else LOAD_DIRS["full"]
-    rel = f"{folder}/{GLOBS[table]}"
+    rel = file_path or f"{folder}/{GLOBS[table]}"
     df = reader(spark, schemas.RAW[table]).csv(f"{input_root.rstrip('/')}/{rel}")
     return (df.withColumn("file_path", F.lit(rel))
               .withColumn("load_type", F.lit(folder))
@@ -61,25 +67,35 @@ def scan(spark: SparkSession, input_root: str, table: str, load_type: str, load_
 
 def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
     """Every CSV under ``folder`` with its table name and number of
-    data rows (header excluded).  Counting is a distributed scan grouped by
-    the file each row came from."""
-    rows = (spark.read.option("header", "true").csv(f"{folder.rstrip('/')}/*.csv")
-            .select(logical_file(F.col("_metadata.file_path")).alias("file_name")))
-    return (rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("row_count"))
-                .withColumn("table_name", table_name_from_file(file_stem("file_name")))
-                .select("file_name", "table_name", "row_count"))
+    data rows (header excluded), counted by file before any name is parsed."""
+    parts = (spark.read.option("header", "true").csv(f"{folder.rstrip('/')}/*.csv")
+             .groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n")))
+    return (parts.groupBy(logical_file(F.col("path")).alias("file_name")).agg(F.sum("n").alias("row_count"))
+                 .withColumn("table_name", table_name_from_file(file_stem("file_name")))
+                 .select("file_name", "table_name", "row_count"))
 
 
 def load_raw(spark: SparkSession, input_root: str, load_type: str, load_date,
-             tables=tuple(GLOBS)) -> dict[str, DataFrame]:
-    """S9/S11/S12 re-aimed: files grouped by table, one scan per table.
-    Full loads read every table from ``full_load``; incremental loads read
-    the fact tables from ``incremental`` (dimensions stay full)."""
-    out = {}
-    for t in tables:
-        df = scan(spark, input_root, t, load_type, load_date)
-        out[t] = df.filter(F.col("load_date").isNotNull())  # load_date is non-nullable
-    return out
+             tables=tuple(GLOBS), file_path: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Files grouped by table, one scan per table.  Full loads
+    read every table from ``full_load``; incremental loads read the fact
+    tables from ``incremental`` (dimensions stay full)."""
+    return {t: scan(spark, input_root, t, load_type, load_date, (file_path or {}).get(t)) for t in tables}
+
+
+def load_tables(spark: SparkSession, input_root: str, root: str, load_type: str, load_date,
+                tables=tuple(GLOBS)) -> None:
+    """Write the raw tables below ``root``; a full load replaces them,
+    an incremental one appends the fact tables.  A missing folder is an error."""
+    folder = f"{input_root.rstrip('/')}/{LOAD_DIRS[load_type]}"
+    if not TB.exists(spark, folder):
+        raise FileNotFoundError(f"no input folder {folder}")
+    for name, df in load_raw(spark, input_root, load_type, load_date, tables).items():
+        path = TB.table_path(root, "raw", name)
+        if load_type == "full":
+            TB.replace_via_stage(df, path)
+        elif name not in FULL_ONLY:
+            TB.append(df, path)
 
 
 def write_inputs(spark: SparkSession, batches, input_root: str) -> None:

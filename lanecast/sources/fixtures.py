@@ -9,7 +9,6 @@ the columns it needs.
 
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,8 +52,8 @@ def raw_regions(spark, sf_dir, load_date=FULL_LOAD_DATE) -> DataFrame:
 def raw_ports(spark, sf_dir, load_date=FULL_LOAD_DATE) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
 
-    def ports(where):
-        return n.filter(where).select(
+    def ports(rows):
+        return rows.select(
             F.col("n_nationkey").cast("bigint").alias("pid"),
             F.lower("n_name").alias("code"),
             F.concat(F.lit("region_"), F.col("n_regionkey").cast("string")).alias("slug"),
@@ -63,8 +62,8 @@ def raw_ports(spark, sf_dir, load_date=FULL_LOAD_DATE) -> DataFrame:
             F.concat(F.lit("c"), F.col("n_regionkey").cast("string")).alias("country_code"),
         )
 
-    # ten ports plus two exact duplicate rows
-    df = ports(F.col("n_nationkey") < 10).unionByName(ports(F.col("n_nationkey").isin(2, 7)))
+    # every port, two of them delivered twice
+    df = ports(n).unionByName(ports(n.filter(F.col("n_nationkey").isin(2, 7))))
     return _audit(df, f"{sf_dir}/nation.parquet", "full_load", load_date)
 
 
@@ -74,15 +73,18 @@ def _base_datapoints(spark, sf_dir) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
     base = o.select(
         k.alias("d_id"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("created"),
-        (F.col("o_custkey") % 5).cast("bigint").alias("origin_pid"),
-        F.when(k % 97 == 0, F.lit(99)).otherwise(k % 5 + 5).cast("bigint").alias("destination_pid"),
+        F.col("o_orderdate").cast("timestamp").alias("created"),
+        # a few busy lanes hold most contracts, the rest spread over all ports
+        F.when(F.col("o_custkey") % 4 == 0, F.col("o_custkey") % 13).otherwise(F.col("o_custkey") % 3)
+         .cast("bigint").alias("origin_pid"),
+        F.when(k % 97 == 0, F.lit(99)).when(k % 4 == 1, k % 12 + 13).otherwise(k % 2 + 13)
+         .cast("bigint").alias("destination_pid"),
         day.alias("valid_from"),
         F.date_add(day, F.when(k % 50 == 0, F.lit(-1)).otherwise((k * 7) % 60).cast("int"))
          .alias("valid_to"),
         F.col("o_custkey").alias("company_id"),
         (k % 4).cast("bigint").alias("supplier_id"),
-        (1 + k % 2).cast("bigint").alias("equipment_id"),
+        F.when(k % 5 == 0, 1 + F.floor(k / 5) % 6).otherwise(1 + k % 2).cast("bigint").alias("equipment_id"),
     )
     # re-sent versions: one day newer, another supplier, same lane and validity
     resent = (base.filter(F.col("d_id") % 10 == 3)
@@ -106,7 +108,7 @@ def _base_charges(spark, sf_dir) -> DataFrame:
     return li.select(
         F.col("l_orderkey").alias("d_id"),
         currency.alias("currency"),
-        F.floor("l_extendedprice").cast("bigint").alias("charge_value"),
+        F.floor("l_extendedprice").cast("double").alias("charge_value"),
     )
 
 
@@ -164,7 +166,7 @@ def batches(spark, sf_dir, cut: str = BATCH_CUT,
     """Two delivery batches: contracts created before ``cut`` with their
     charges, then the rest with charges only for contracts new in batch 2.
     Rates, ports and regions are delivered whole with both."""
-    cut_ts = F.lit(cut).cast("timestamp_ntz")
+    cut_ts = F.lit(cut).cast("timestamp")
     dps = _base_datapoints(spark, sf_dir)
     ch = _base_charges(spark, sf_dir)
     d1 = dps.filter(F.col("created") < cut_ts)
@@ -183,7 +185,3 @@ def batches(spark, sf_dir, cut: str = BATCH_CUT,
             charges=_audit(c, f"{sf_dir}/lineitem.parquet", tag, ld),
         ))
     return out[0], out[1]
-
-
-def as_of(value: str) -> _dt.date:
-    return _dt.date.fromisoformat(value)

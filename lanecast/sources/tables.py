@@ -1,9 +1,10 @@
 """Layer tables as Parquet folders under one root in the shared folder.
 
-``<root>/<layer>/<table>``.  Writes never read and overwrite the same path
-in one plan: a merged result is first written to a fresh staged folder and
-then copied over the table (whole table, or only the touched partitions of
-a partitioned table through dynamic partition overwrite).
+``<root>/<layer>/<table>``.  A replaced table is first written whole beside
+the live one, which is then swapped in by two renames; a run that ended
+between them is completed by the next access.  Partitioned tables replace
+only the touched partitions (dynamic partition overwrite from a stored copy).
+Renames must be atomic, as they are in the file systems Spark's own commits rely on.
 """
 
 from __future__ import annotations
@@ -18,16 +19,69 @@ def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
+class Folder:
+    """A folder of the file system a path belongs to."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.fs = self.hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self.fs.exists(self.hadoop)
+
+    def delete(self) -> None:
+        if self.exists() and not self.fs.delete(self.hadoop, True):
+            raise OSError(f"cannot delete {self.hadoop}")
+
+    def rename(self, to: Folder) -> None:
+        if not self.fs.rename(self.hadoop, to.hadoop):
+            raise OSError(f"cannot rename {self.hadoop} to {to.hadoop}")
+
+
+def _next(path: str) -> str:
+    return f"{path}__next"
+
+
+def _previous(path: str) -> str:
+    return f"{path}__previous"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Complete a swap that ended between its renames."""
+    live = Folder(spark, path)
+    if not live.exists() and Folder(spark, _previous(path)).exists():
+        done = Folder(spark, f"{_next(path)}/_SUCCESS").exists()
+        Folder(spark, _next(path) if done else _previous(path)).rename(live)
+
+
+def swap_in(spark: SparkSession, path: str) -> None:
+    """Make the table written beside ``path`` the live one; drop the old one."""
+    live, previous = Folder(spark, path), Folder(spark, _previous(path))
+    previous.delete()
+    if live.exists():
+        live.rename(previous)
+    Folder(spark, _next(path)).rename(live)
+    previous.delete()
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    Folder(spark, path).delete()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet table."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - touches the footer only
-        return True
-    except Exception:  # AnalysisException: path missing or empty
-        return False
+    """True when there is a table at ``path``, readable or not."""
+    recover(spark, path)
+    return Folder(spark, path).exists()
+
+
+def read_evolved(spark: SparkSession, path: str) -> DataFrame:
+    """The table with every column any of its files has."""
+    recover(spark, path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    recover(spark, path)
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
@@ -43,13 +97,15 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None,
-              only_present_partitions: bool = False) -> None:
+              only_present_partitions: bool = False, sort_by: list[str] | None = None) -> None:
     """Replace the table.  With ``only_present_partitions`` (dynamic mode)
     only the partitions present in ``df`` are replaced; otherwise the whole
     table is, whatever the session's default mode is."""
     if partition_by:
         # few folders per task; AQE splits oversized partitions
         df = df.hint("rebalance", *partition_by)
+        if sort_by:
+            df = df.sortWithinPartitions(*partition_by, *sort_by)
         mode = "dynamic" if only_present_partitions else "static"
         (df.write.mode("overwrite").option("partitionOverwriteMode", mode)
            .partitionBy(*partition_by).parquet(path))
@@ -62,13 +118,23 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def replace_via_stage(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                      schema: T.StructType | None = None) -> None:
+                      sort_by: list[str] | None = None) -> None:
     """Replace the table (or, when partitioned, only the partitions present
-    in ``df``) with ``df``, which may itself read ``path``.  The result is
-    materialised in a fresh staged folder first, which also cuts lineage."""
+    in ``df``) with ``df``, which may itself read ``path``."""
     spark = df.sparkSession
+    if not partition_by:
+        recover(spark, path)
+        df.write.mode("overwrite").parquet(_next(path))
+        swap_in(spark, path)
+        return
     staged = scratch_path(spark, "staged")
     overwrite(df, staged, partition_by)  # fresh folder: static == full write
-    back = read(spark, staged, schema)
-    # partitioned: only the partitions present in ``back`` are replaced
-    overwrite(back, path, partition_by, only_present_partitions=bool(partition_by))
+    overwrite(read(spark, staged, df.schema), path, partition_by, only_present_partitions=True, sort_by=sort_by)
+    drop(spark, staged)
+
+
+def stored_once(df: DataFrame) -> tuple[DataFrame, str]:
+    """df written to a scratch folder, and that folder (for ``drop``)."""
+    path = scratch_path(df.sparkSession, "staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path

@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from lanecast import schemas
 from lanecast.functions.compat import as_date
-from lanecast.operators import incremental as I
+from lanecast.plans.pipeline import merge_raw_datapoints
 from lanecast.sources import csv as CSV
-from lanecast.sources import tables as TB
 
 
 def datapoint_stream(spark: SparkSession, input_root: str, load_date) -> DataFrame:
@@ -35,12 +34,10 @@ def datapoint_stream(spark: SparkSession, input_root: str, load_date) -> DataFra
 
 
 def upsert_raw_datapoints(target_path: str):
-    """foreachBatch sink: newer contracts only, merged on d_id."""
+    """foreachBatch sink: newer contracts only, merged on d_id; the table is
+    swapped in whole, so a replayed micro-batch finds the old or the new one."""
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        target = TB.read(spark, target_path, schemas.with_audit(schemas.RAW_DATAPOINTS))
-        new = I.incremental_new_rows(batch, target)
-        TB.replace_via_stage(I.upsert(target, new, "d_id"), target_path)
+        merge_raw_datapoints(batch.sparkSession, batch, target_path)
     return sink
 
 

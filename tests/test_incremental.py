@@ -96,3 +96,65 @@ def test_full_write_replaces_all_months_swap_only_present(spark):
     TB.replace_via_stage(swap, path, partition_by=["valid_month"])
     got = sorted((r.valid_day.month, r.avg_price_usd) for r in P.read_mart(spark, path).collect())
     assert got == [(1, 1.0), (2, 9.0), (3, 1.0)]
+
+
+def test_aborted_replacement_keeps_a_whole_table(spark, monkeypatch):
+    from lanecast.sources import tables as TB
+    path = scratch_path(spark, "test-abort") + "/t"
+    TB.overwrite(spark.range(3), path)
+
+    def fail(self, to):
+        raise OSError("lost")
+    with monkeypatch.context() as m:  # before any rename
+        m.setattr(TB.Folder, "rename", fail)
+        try:
+            TB.replace_via_stage(spark.range(5), path)
+        except OSError:
+            pass
+    assert TB.read(spark, path).count() == 3
+    TB.Folder(spark, path).rename(TB.Folder(spark, TB._previous(path)))  # between the renames
+    assert TB.read(spark, path).count() == 5
+    TB.replace_via_stage(TB.read(spark, path).limit(1), path)
+    assert TB.read(spark, path).count() == 1 and not TB.exists(spark, TB._previous(path))
+
+
+def test_unreadable_log_is_an_error(spark):
+    import os
+    path = scratch_path(spark, "test-broken") + "/log"
+    os.makedirs(path)
+    with open(f"{path}/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    import pytest
+    with pytest.raises(Exception):
+        P.TB.read_or_empty(spark, path, schemas.COVERAGE).collect()
+
+
+def test_raw_columns_come_and_go(spark):
+    def batch(ids, day, **extra):
+        df = spark.createDataFrame([(i, dt.datetime(2020, 1, day)) for i in ids], "d_id long, created timestamp")
+        return df.withColumns({k: F.lit(v) for k, v in extra.items()})
+    path = scratch_path(spark, "test-evolve") + "/t"
+    P.TB.overwrite(batch([1, 2], 1), path)
+    P.merge_raw_datapoints(spark, batch([2, 3], 2, tier=7), path)
+    P.merge_raw_datapoints(spark, batch([4], 3), path)
+    got = {r.d_id: r.tier for r in P.TB.read_evolved(spark, path).collect()}
+    assert got == {1: None, 2: 7, 3: 7, 4: None}
+
+
+def test_replace_window_drops_vanished_groups(spark):
+    """A contract's newer version shrinks: by key its old days stay, with
+    replace_window they go."""
+    from dataclasses import replace
+    b1, _ = fx.batches(spark, SF_SMALL)
+    one = b1.datapoints.filter(F.col("valid_from") < F.col("valid_to")).orderBy("d_id").limit(1)
+    raw = replace(b1, datapoints=one)
+    newer = replace(b1, datapoints=one.withColumn("created", F.col("created") + F.expr("INTERVAL 9 DAYS"))
+                    .withColumn("equipment_id", F.lit(6).cast("bigint")).withColumn("load_date", F.lit("2025-09-06").cast("date")))
+    counts = []
+    for window in (False, True):
+        root = scratch_path(spark, "test-window")
+        P.run_full(spark, raw, root, fx.BATCH1_LOAD_DATE)
+        before = P.stored_mart(spark, root).count()
+        P.run_incremental(spark, newer, root, fx.BATCH2_LOAD_DATE, P.SNAPSHOT_TS, replace_window=window)
+        counts.append(P.stored_mart(spark, root).count() - before)
+    assert counts[1] == 0 and counts[0] > 0

@@ -117,7 +117,7 @@ def test_rounding_half_like_oracle(spark):
 
     from lanecast.functions.compat import duck_round
     rnd = random.Random(7)
-    xs = [1.005, 2.675, -1.005, 0.125, 0.285, 1.115, 1234567.125, 0.0, -0.5]
+    xs = [0.00499999999999999, 45035996273704.97, 9.3e16, 1e308, float("inf"), 1.005, 2.675, -1.005, 0.125, 0.285, 1.115, 1234567.125, 0.0, -0.5]
     xs += [round(rnd.uniform(-1e6, 1e6), 3) for _ in range(2000)]
     xs += [rnd.randint(0, 10**6) / 200 for _ in range(2000)]
     df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double")

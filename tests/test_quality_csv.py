@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from lanecast import schemas
 from lanecast.functions.compat import file_stem, table_name_from_file
 from lanecast.operators import quality as Q
@@ -32,8 +34,8 @@ def test_checks_count_failures(spark):
 def test_contract_check(spark):
     ok = spark.createDataFrame([], schemas.STG_REGIONS)
     bad = ok.withColumnRenamed("name", "nom")
-    assert Q.contract_check(spark, "regions", ok, schemas.STG_REGIONS).first().failures == 0
-    assert Q.contract_check(spark, "regions", bad, schemas.STG_REGIONS).first().failures == 1
+    got = Q.contract_checks(spark, [("a", ok, schemas.STG_REGIONS), ("b", bad, schemas.STG_REGIONS)]).collect()
+    assert [(r.model, r.failures) for r in got] == [("a", 0), ("b", 1)]
 
 
 def test_table_name_from_file(spark):
@@ -59,3 +61,41 @@ def test_csv_scan_quotes_nulls_and_folders(spark):
     inv = {r.file_name: (r.table_name, r.row_count)
            for r in CSV.file_inventory(spark, f"{root}/full_load").collect()}
     assert inv == {"DE_casestudy_ports.csv": ("ports", 2)}
+
+
+def _file(root, name, text):
+    import os
+    os.makedirs(f"{root}/full_load", exist_ok=True)
+    with open(f"{root}/full_load/{name}", "w") as f:
+        f.write(text)
+
+
+def test_csv_zoned_times_and_decimal_charges(spark):
+    root = scratch_path(spark, "csvtypes")
+    head = "D_ID,CREATED,ORIGIN_PID,DESTINATION_PID,VALID_FROM,VALID_TO,COMPANY_ID,SUPPLIER_ID,EQUIPMENT_ID\n"
+    times = ["2021-03-01 05:12:11+00", "2021-03-01 05:12:11.123456+00:00", "2021-03-01T05:12:11Z", "2021-03-01 07:12:11+02"]
+    _file(root, "DE_casestudy_datapoints_1.csv", head + "".join(
+        f"{i},{t},1,2,2021-03-01,2021-03-02,1,1,1\n" for i, t in enumerate(times)))
+    _file(root, "DE_casestudy_charges_1.csv", "D_ID,CURRENCY,CHARGE_VALUE\n1,USD,12.5\n2,USD,1e3\n3,USD,7\n")
+    from lanecast.operators import staging as S
+    rows = S.stg_datapoints(CSV.scan(spark, root, "datapoints", "full", "2025-01-01"), "2025-01-01").collect()
+    assert {r.created.replace(microsecond=0) for r in rows} == {dt.datetime(2021, 3, 1, 5, 12, 11)} and len(rows) == 4
+    raw = CSV.scan(spark, root, "charges", "full", "2025-01-01")
+    assert sorted(r.charge_value for r in raw.collect()) == [7.0, 12.5, 1000.0]
+    assert sorted(r.charge_value for r in S.stg_charges(raw, "2025-01-01").collect()) == [7, 12, 1000]
+
+
+def test_csv_bad_input_is_an_error(spark):
+    root = scratch_path(spark, "csvbad")
+    _file(root, "DE_casestudy_charges_1.csv", "CURRENCY,D_ID,CHARGE_VALUE\nUSD,9,1\n")
+    with pytest.raises(Exception, match="header|CSV"):
+        CSV.scan(spark, root, "charges", "full", "2025-01-01").collect()
+    _file(root, "DE_casestudy_charges_1.csv", "D_ID,CURRENCY,CHARGE_VALUE\nx,USD,1\n")
+    with pytest.raises(Exception, match="[Mm]alformed"):
+        CSV.scan(spark, root, "charges", "full", "2025-01-01").collect()
+    with pytest.raises(ValueError):
+        CSV.scan(spark, root, "charges", "full", None)
+    with pytest.raises(FileNotFoundError):
+        CSV.load_tables(spark, f"{root}/nowhere", root, "full", "2025-01-01")
+    _file(root, "other.csv", "D_ID,CURRENCY,CHARGE_VALUE\n4,USD,1\n")
+    assert CSV.scan(spark, root, "charges", "full", "2025-01-01", "full_load/other.csv").first().d_id == 4
