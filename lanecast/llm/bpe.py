@@ -41,7 +41,6 @@ ODD_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() takes these for space, the file's
 CACHE_WORDS = 350_000
 CACHE_WORD_CHARS = 64
 LAST = 1 << 60
-INNER, FINAL = 0, 1
 
 
 def byte_alphabet() -> list[str]:
@@ -136,15 +135,19 @@ class Encoder:
         self.vocab, self.end, self.special = files["vocab"], files["end"], files["special"]
         self.auto = Automaton.compile(self.vocab, files["merges"])
         self.names = {i: s for s, i in (self.vocab | self.special).items()}
-        self.trie: dict = {}  # characters to nodes; INNER and FINAL to the token that ends there
+        self.root: dict = {}  # character: [characters that follow, token that ends inside, token that ends a word]
         for s, i in self.vocab.items():
             if i in self.auto.dead:
                 continue
-            node, last = self.trie, s.endswith(self.end)
+            last = s.endswith(self.end)
+            follow, node = self.root, None
             for c in s.removesuffix(self.end) if last else s:
-                node = node.setdefault(c, {})
-            node[FINAL if last else INNER] = i
-        self.bytes = byte_alphabet()
+                node = follow.setdefault(c, [{}, None, None])
+                follow = node[0]
+            if node:
+                node[2 if last else 1] = i
+        self.bytes = dict(enumerate(byte_alphabet()))
+        self.digits = {i: str(i) for i in self.names}
         self.piece = regex.compile(PIECE.format(letter=char_class("L"), number=char_class("N")))
         self.space = regex.compile(r"\s+")
         self.mark = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")") if self.special else None
@@ -156,10 +159,22 @@ class Encoder:
 
         Follows arcs from the start, the longest label first.  A prefix has one
         tokenization, so a place from which the end is not reached never is."""
-        n, arcs, arc = len(chars), self.auto.arcs, self.auto.arc
-        path, dead, at, state = [], set(), 0, -1
-        labels = self.labels_from(chars, 0, n)
+        n, arcs, arc, root = len(chars), self.auto.arcs, self.auto.arc, self.root
+        path: list = []
+        dead: set = set()
+        at, state, labels = 0, -1, None
         while at < n:
+            if labels is None:  # spelled from here on, the longest last
+                labels, follow = [], root
+                for j in range(at, n):
+                    node = follow.get(chars[j])
+                    if node is None:
+                        break
+                    follow, t, final = node
+                    if j + 1 == n:
+                        t = final
+                    if t is not None:
+                        labels.append((j + 1, t))
             while labels:
                 end, t = labels.pop()
                 if end in dead:
@@ -169,31 +184,17 @@ class Encoder:
                     if not (arc(state, t) if ok is None else ok):
                         continue
                 path.append((at, state, labels, t))
-                at, state = end, t
-                if at < n:
-                    labels = self.labels_from(chars, at, n)
+                at, state, labels = end, t, None
                 break
             else:
                 dead.add(at)
                 at, state, labels, _ = path.pop()
         return [p[3] for p in path]
 
-    def labels_from(self, chars: str, at: int, n: int) -> list[tuple[int, int]]:
-        """(end, token) of the labels spelled from a place, the longest last."""
-        out, node = [], self.trie
-        for j in range(at, n):
-            node = node.get(chars[j])
-            if node is None:
-                break
-            t = node.get(INNER if j + 1 < n else FINAL)
-            if t is not None:
-                out.append((j + 1, t))
-        return out
-
     def text_piece(self, piece: str) -> tuple[str, str]:
         """Ids and labels of a pre-split word, each joined by one space."""
-        ids = self.word("".join([self.bytes[b] for b in piece.encode()]))
-        got = " ".join(map(str, ids)), " ".join([self.names[i] for i in ids])
+        ids = self.word(piece.encode().decode("latin-1").translate(self.bytes))
+        got = " ".join([self.digits[i] for i in ids]), " ".join([self.names[i] for i in ids])
         if len(self.pieces) < CACHE_WORDS and len(piece) <= CACHE_WORD_CHARS:
             self.pieces[piece] = got
         return got
@@ -263,8 +264,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(b: pa.RecordBatch) -> dict:
         e = encoder_of(files)
-        ids = [np.array(e.encode(t)[0].split(), dtype=np.int32) for t in b.column(1).to_pylist()]
-        return {id_col: b.column(0), "n_tokens": [len(i) for i in ids], "ids": ids}
+        ids = [np.fromstring(e.encode(t)[0], dtype=np.int32, sep=" ") for t in b.column(1).to_pylist()]
+        n = np.array([len(i) for i in ids])
+        return {id_col: b.column(0), "n_tokens": n,
+                "ids": pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(n))).astype(np.int32), np.concatenate(ids))}
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_batches(docs.select(id_col, text_of(text_col).alias("text")), run,
