@@ -70,6 +70,12 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+def hash_share(key: Column, wanted: int, rows: int) -> Column:
+    """True for about `wanted` of `rows` rows, picked by the hash of a key: a
+    bounded sample that is the same in every run and needs no sort."""
+    return F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(min(1 << 30, -(-(wanted << 30) // max(1, rows))))
+
+
 def as_array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanecast.llm.common import LOWER_AZ, map_batches, stored, text_of
+from lanecast.llm.common import LOWER_AZ, hash_share, map_batches, stored, text_of
 from lanecast.llm.components import components
 
 # Fixed value: seed of the shingle hash.
@@ -36,7 +36,7 @@ HALVES = (np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFF00000000))
 @dataclass(frozen=True)
 class Near:
     """shingle words, largest bit distance, fingerprints of a shard (about),
-    most sampled fingerprints the driver builds a tree from (8 bytes each)."""
+    most sampled fingerprints (about) the driver builds a tree from (8 bytes each)."""
 
     words: int = 3
     bits: int = 3
@@ -168,12 +168,13 @@ def _join(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 def edges(distinct: DataFrame, near: Near = Near()) -> DataFrame:
     """a, b: fingerprints linked in some shard, each to one representative.
 
-    distinct: fp, one row per fingerprint.  The driver holds a sample of at
-    most near.most_sampled fingerprints and the trees built from it.
+    distinct: fp, one row per fingerprint.  The driver holds a sample of about
+    near.most_sampled fingerprints at most and the trees built from it.
     """
     spark, reach = distinct.sparkSession, near.bits // 2
-    leaves = max(1, -(-distinct.count() // near.shard_rows))
-    sample = distinct.orderBy(F.xxhash64("fp")).limit(min(near.most_sampled, 32 * leaves))
+    n = distinct.count()
+    leaves = max(1, -(-n // near.shard_rows))
+    sample = distinct.filter(hash_share(F.col("fp"), min(near.most_sampled, 32 * leaves), n)).orderBy("fp")
     points = np.array([r.fp for r in sample.toLocalIterator()], dtype=np.int64).view(np.uint64)
     shipped = spark.sparkContext.broadcast([build_tree(np.unique(points & m), leaves, reach) for m in HALVES])
 
