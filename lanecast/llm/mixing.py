@@ -13,7 +13,8 @@ Targets: the sources, ordered by code point with null last, weigh 5, 2, 1,
 source's words, and what is cut off is shared again by weight until none does.
 Documents are taken whole: all of them floor(T_i / words) times, then a prefix
 of the order that fits what is left, then the one document that fits the
-last gap best.
+gap best, and so on with a prefix of the documents that fit the new gap, until
+the gap is less than the smallest document not taken.  Two rounds halve a gap.
 
 The running totals over a source are built from totals of small hash buckets
 of its documents, so a source that holds most rows is spread over many tasks.
@@ -22,6 +23,7 @@ of its documents, so a source that holds most rows is spread over many tasks.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,44 +88,76 @@ def plan(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: st
     sized = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("src"),
                                F.xxhash64(text).alias("text_hash"), n_words(text).alias("size"))
                    .groupBy("id", "text_hash").agg(F.max("size").alias("size"), F.min("src").alias("src")), "mix")
-    # place in the source's order: the hash h; u is h as a share of the hash range
-    h = F.xxhash64("id", "text_hash", F.lit("mix"))
-    u = F.shiftrightunsigned(h, 11) / F.lit(float(1 << 53))
-    bucket = F.floor(u * F.ceil(F.col("n_docs") / F.lit(float(mix.bucket_rows)))).cast("long")
-    d = _by_source(sized, targets(sized, mix)).select("*", h.alias("h"), u.alias("u"), bucket.alias("bucket"))
-    # words of the source before a document: in earlier buckets, and in its own bucket
-    earlier = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    inside = Window.partitionBy("src", "bucket").orderBy("u", "id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (d.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
-               .select(F.col("src").alias("b_src"), F.col("bucket").alias("b_bucket"),
-                       F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset")))
-    start = F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    placed = stored(d.join(buckets, F.col("src").eqNullSafe(F.col("b_src")) & (F.col("bucket") == F.col("b_bucket")))
-                    .withColumn("start", start).withColumn("passes", passes)
-                    .withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
-                    .withColumn("fits", (F.col("size") > 0) & (F.col("start") + F.col("size") <= F.col("rest")))
-                    .drop("b_src", "b_bucket", "offset", "bucket", "u", "n_docs"), "mix")
-    filled = placed.groupBy("src").agg(F.coalesce(F.max(F.when(F.col("fits"), F.col("start") + F.col("size"))), F.lit(0)).alias("filled"))
-    placed = _by_source(placed, filled)
-    gap = ~F.col("fits") & (F.col("size") > 0) & (F.col("size") <= F.col("rest") - F.col("filled"))
-    last = placed.groupBy("src").agg(F.max(F.when(gap, F.struct("size", "h", "text_hash", "id"))).alias("last"))
-    placed = _by_source(placed, last)
-    is_last = F.coalesce(F.struct("size", "h", "text_hash", "id").eqNullSafe(F.col("last")) & gap, F.lit(False))
+    rows = (_by_source(sized, targets(sized, mix)).withColumn("h", F.xxhash64("id", "text_hash", F.lit("mix")))
+            .withColumn("passes", passes).withColumn("gap", F.col("target") - F.col("passes") * F.col("source_size"))
+            .withColumn("base", F.lit(0).cast("long")))
+    placed = stored(_placed(rows, mix), "mix")
+    laid, later = _laid(placed), []
+    left = _still_fit(laid)
+    while not left.isEmpty():
+        more = stored(_laid(_placed(left, mix)), "mix")
+        later.append(more.filter("begin is not null").select(
+            F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("begin").alias("_begin")))
+        left = _still_fit(more)
+    if later:
+        picked = reduce(DataFrame.unionByName, later)
+        laid = (laid.join(picked, (F.col("text_hash") == F.col("_hash")) & F.col("id").eqNullSafe(F.col("_id")), "left")
+                .withColumn("begin", F.coalesce("begin", "_begin")).drop("_id", "_hash", "_begin"))
     middle = F.col("size") / 2.0
-    once_more = (F.when(F.col("fits"), F.array(F.col("start") + middle))
-                 .when(is_last, F.array(F.col("filled") + middle)).otherwise(F.array().cast("array<double>")))
+    once_more = F.when(F.col("begin").isNotNull(), F.array(F.col("begin") + middle)).otherwise(F.array().cast("array<double>"))
     words_at = F.concat(
         F.when(F.col("passes") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1),
                                                 lambda p: p * F.col("source_size") + F.col("start") + middle))
         .otherwise(F.array().cast("array<double>")),
         F.transform(once_more, lambda c: F.col("passes") * F.col("source_size") + c))
     times = F.transform(words_at, lambda c: training_time(c / F.col("target"), F.col("slope")))
-    return (placed.withColumn("times", times)
+    return (laid.withColumn("times", times)
             .select(F.col("id").alias(id_col), "text_hash", "src", "size", "source_size", "target",
                     (F.col("size") * F.size("times")).cast("long").alias("taken"), "times"))
 
 
+def _placed(rows: DataFrame, mix: Mix) -> DataFrame:
+    """rows (src, n_docs, h, id, text_hash, size) with start: the words of the
+    source's rows before each one, in earlier buckets and in its own bucket."""
+    # place in the source's order: the hash h; u is h as a share of the hash range
+    u = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
+    bucket = F.floor(u * F.ceil(F.col("n_docs") / F.lit(float(mix.bucket_rows)))).cast("long")
+    d = rows.select("*", u.alias("u"), bucket.alias("bucket"))
+    earlier = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("src", "bucket").orderBy("u", "id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = (d.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
+               .select(F.col("src").alias("b_src"), F.col("bucket").alias("b_bucket"),
+                       F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset")))
+    start = F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+    return (d.join(buckets, F.col("src").eqNullSafe(F.col("b_src")) & (F.col("bucket") == F.col("b_bucket")))
+            .withColumn("start", start).drop("b_src", "b_bucket", "offset", "bucket", "u", "n_docs"))
+
+
+def _laid(placed: DataFrame) -> DataFrame:
+    """placed with filled (words of the gap that this round takes) and begin
+    (the word of the remainder at which a document lies, null if not taken):
+    the prefix that fits the gap, then the one document that fits the rest best."""
+    end = F.col("start") + F.col("size")
+    fits = (F.col("size") > 0) & (end <= F.col("gap"))
+    laid = _by_source(placed, placed.groupBy("src").agg(F.coalesce(F.max(F.when(fits, end)), F.lit(0)).alias("prefix")))
+    best = ~fits & (F.col("size") > 0) & (F.col("size") <= F.col("gap") - F.col("prefix"))
+    key = F.struct("size", "h", "text_hash", "id")
+    laid = _by_source(laid, laid.groupBy("src").agg(F.max(F.when(best, key)).alias("last")))
+    is_last = F.coalesce(key.eqNullSafe(F.col("last")) & best, F.lit(False))
+    begin = F.when(fits, F.col("base") + F.col("start")).when(is_last, F.col("base") + F.col("prefix"))
+    return (laid.withColumn("begin", begin)
+            .withColumn("filled", F.col("prefix") + F.coalesce(F.col("last.size"), F.lit(0))).drop("prefix", "last"))
+
+
+def _still_fit(laid: DataFrame) -> DataFrame:
+    """Documents that were not taken and fit what is left of their source's gap."""
+    left = (laid.withColumn("base", F.col("base") + F.col("filled")).withColumn("gap", F.col("gap") - F.col("filled"))
+            .filter(F.col("begin").isNull() & (F.col("size") > 0) & (F.col("size") <= F.col("gap")))
+            .select("id", "text_hash", "src", "size", "h", "base", "gap"))
+    return _by_source(left, left.groupBy("src").agg(F.count(F.lit(1)).alias("n_docs")))
+
+
 def _by_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """Join one row per source; the planner broadcasts it while it is small."""
     keyed = sources.withColumnRenamed("src", "_src")

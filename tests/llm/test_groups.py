@@ -213,3 +213,29 @@ def test_mix_cases(odd, odd_rows, none):
     out = mixing.mix(odd)
     assert out.columns == odd.columns and out.count() == sum(len(r.times) for r in rows)
     assert mixing.plan(none).count() == mixing.mix(none).count() == 0
+
+
+def test_mix_fills_behind_a_long_document(spark):
+    """A document that does not fit ends no source's remainder: what is left of
+    the target is less than the smallest document not taken."""
+    rng = random.Random(6)
+    rows = [(i, "w " * 30_000, "en", "a", 0) for i in range(4)]
+    rows += [(10 + i, f"x{i} " + "w " * rng.randrange(1, 40), "en", "a", 0) for i in range(3000)]
+    rows += [(9000 + i, f"y{i} " + "w " * 50, "en", "b", 0) for i in range(800)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for how in (mixing.Mix(share=s, weights=(1.0, 2.0), bucket_rows=50) for s in (0.25, 1.5)):
+        got = mixing.plan(df, how).collect()
+        for src in "ab":
+            own = [r for r in got if r.src == src]
+            passes = own[0].target // own[0].source_size
+            left = own[0].target - sum(r.taken for r in own)
+            assert 0 <= left < min((r.size for r in own if len(r.times) == passes), default=left + 1)
+            # one pass and the remainder lie end to end: no two documents overlap on the word line
+            if how.share < 1 and passes == 0:
+                t = lambda x: own[0].target * ((1 - slope) * x + slope * x * x)
+                slope = how.slopes["ab".index(src)]
+                mids = sorted((t(r.times[0]), r.size) for r in own if r.times)
+                at = 0
+                for mid, size in mids:
+                    assert abs(mid - (at + size / 2)) < 0.01
+                    at += size
