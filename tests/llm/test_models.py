@@ -111,6 +111,22 @@ def test_held_out_score_beats_base(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) + 10 * len(held)
 
 
+def test_long_documents_train_states(spark):
+    """Only documents longer than a window of the first estimate: windows of them are its sample."""
+    rng = random.Random(5)
+    words = [[f"a{i}" for i in range(200)], [f"b{i}" for i in range(200)]]
+    rows = [(i, " ".join(rng.choice(words[i % 2]) for _ in range(150))) for i in range(200)]
+    how = hmm.Model(states=2, start_tokens=100, start_docs=64)
+    held = [r for r in hmm.scores(spark.createDataFrame(rows, "doc_id bigint, text string"), how).collect() if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) + 20 * len(held)
+
+
+def test_start_without_sample_has_unequal_states():
+    base = hmm.Base(90, 9, np.array([60.0, 39.0, 0.0]))
+    h = hmm.start_model([], base, hmm.Model(states=3))
+    assert np.abs(h.emit[0] - h.emit[1]).max() > 1e-3 and np.allclose(h.emit.sum(axis=1), 1)
+
+
 def brute_top(rows, k, every):
     seen = {}
     for i, v in rows:
