@@ -8,6 +8,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lanecast.llm import bpe, pii, secrets
@@ -150,6 +151,21 @@ def test_network_learns(spark):
     assert secrets.redact(spark.createDataFrame([("password=abcdefabcdef123 x",), (None,)], "text string"), model).collect()[0].text == "[SECRET] x"
 
 
+def test_copies_do_not_thin_the_sample(spark, monkeypatch):
+    """All distinct labelled windows train, however often they are copied."""
+    rng = random.Random(9)
+    texts = ["password=" + "".join(rng.choice("abcdef012345") for _ in range(20)) for _ in range(30)]
+    texts += ["see " + "".join(rng.choice("GHIJK6789") for _ in range(20)) + " here" for _ in range(30)]
+    got = {}
+    monkeypatch.setattr(secrets, "fit", lambda x, y, net: got.update(x=x, y=y))
+    once = spark.createDataFrame([(t,) for t in texts], "text string")
+    secrets.train(once, secrets.Net(sample_rows=25))
+    want = got["x"].tobytes(), got["y"].tolist()
+    assert want[1] == [0] * 25 + [1] * 25
+    secrets.train(once.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(2000)))), secrets.Net(sample_rows=25))
+    assert (got["x"].tobytes(), got["y"].tolist()) == want
+
+
 def test_gradient_step_lowers_loss():
     rng = np.random.default_rng(0)
     x = rng.integers(1, 98, (64, secrets.SIZE)).astype(np.uint8)
