@@ -70,8 +70,14 @@ def iban_end(text: str, start: int) -> int | None:
     m = _IBAN.match(text, start)
     if not m:
         return None
-    s = m[0].replace(" ", "")
-    return m.end() if int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1 else None
+    # the match may run on into the next words: it may also end before any of its spaces
+    for end in (m.end(), *(i for i in range(m.end() - 1, start, -1) if text[i] == " ")):
+        s = text[start:end].replace(" ", "")
+        if len(s) < 15:
+            return None
+        if int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1:
+            return end
+    return None
 
 
 def find(text: str) -> list[tuple[str, int, int]]:

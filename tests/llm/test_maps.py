@@ -123,6 +123,15 @@ def test_added_personal_data():
     assert "".join(pii.redact("mail a@b.cd now", pii.find("mail a@b.cd now"))) == "mail [EMAIL] now"
 
 
+def test_account_numbers_end_before_capitals_and_digits():
+    plain, grouped = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    for number, tail in itertools.product((plain, grouped), (" BIC COBADEFFXXX", " EUR 500", " 2024", " A", ", x", "")):
+        for head in ("IBAN ", "pay ", ""):
+            got = [s for s in pii.find(head + number + tail) if s[0] == "account"]
+            assert got == [("account", len(head), len(head) + len(number))], (head, number, tail)
+    assert not [s for s in pii.find("IBAN DE88 3704 0044 0532 0130 00 BIC COBADEFFXXX") if s[0] == "account"]
+
+
 def test_scan_frames(odd, odd_rows, none):
     rows = pii.scan(odd).collect()
     assert len(rows) == len(odd_rows) and pii.scan(none).count() == 0
