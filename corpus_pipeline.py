@@ -19,9 +19,11 @@ from lanecast.llm.common import prepare, stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are not depleted of their own lines."""
+    """Documents that pass the base rules and are not depleted of their own lines,
+    their texts without boilerplate lines; n_chars follows the text."""
     prepare(spark)
-    return quality.accepted(docs)
+    kept = quality.accepted(docs)
+    return kept.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -116,12 +116,20 @@ def verdicts(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", te
     gives no rows; other columns are not looked at.
     """
     rows = stored(measured(docs, rules, id_col, text_col, host_col), "quality")
+    return _verdicts(rows, removed_lines(rows, rules), rules, id_col)
+
+
+def removed_lines(rows: DataFrame, rules: Rules) -> DataFrame:
+    """host, id, text_hash, h, w: the boilerplate lines of all documents but the first."""
     lines = rows.select("host", "id", "text_hash", F.explode("lines").alias("line")).select(
         "host", "id", "text_hash", F.col("line.h").alias("h"), F.col("line.w").alias("w"))
     often = boilerplate(rows, rules).withColumnsRenamed({"host": "_host", "h": "_h"})
-    removed = (lines.join(often, F.col("host").eqNullSafe(F.col("_host")) & (F.col("h") == F.col("_h")))
-               .filter(~F.col("id").eqNullSafe(F.col("first")))
-               .groupBy(F.col("id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.sum("w").alias("words")))
+    return (lines.join(often, F.col("host").eqNullSafe(F.col("_host")) & (F.col("h") == F.col("_h")))
+            .filter(~F.col("id").eqNullSafe(F.col("first"))).select("host", "id", "text_hash", "h", "w"))
+
+
+def _verdicts(rows: DataFrame, gone: DataFrame, rules: Rules, id_col: str) -> DataFrame:
+    removed = gone.groupBy(F.col("id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.sum("w").alias("words"))
     base = rows.groupBy("id", "text_hash").agg(*[F.max(c).alias(c) for c in COUNTS], F.count(F.lit(1)).alias("copies"))
     n, repeat = F.col("n_words"), F.col("n_repeat_words")
     failed = (n < rules.least_words) | (100 * repeat > rules.repeat_percent * n)
@@ -136,8 +144,19 @@ def verdicts(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", te
 
 def accepted(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text",
              host_col: str = "source") -> DataFrame:
-    """The rows of docs that are kept, with all their columns."""
-    v = verdicts(docs, rules, id_col, text_col, host_col).filter("not kept")
-    v = v.select(F.col(id_col).alias("__quality_id"), F.col("text_hash").alias("__quality_hash"))
+    """The rows of docs that are kept, with all their columns, their texts without
+    the boilerplate lines of their host (but in the first document that holds one)."""
+    rows = stored(measured(docs, rules, id_col, text_col, host_col), "quality")
+    gone = removed_lines(rows, rules)
+    rejected = _verdicts(rows, gone, rules, "_id").filter("not kept").select(
+        F.col("_id").alias("__quality_id"), F.col("text_hash").alias("__quality_hash"))
+    # at most as many hashes as the text has lines
+    cut = gone.groupBy(F.col("id").alias("__quality_id"), F.col("text_hash").alias("__quality_hash"),
+                       F.col("host").alias("__quality_host")).agg(F.collect_set("h").alias("__quality_gone"))
     same = F.col(id_col).eqNullSafe(F.col("__quality_id")) & (F.xxhash64(text_of(text_col)) == F.col("__quality_hash"))
-    return docs.join(v, same, "left_anti")
+    lines = F.filter(F.split(text_col, "\n"),
+                     lambda x: ~(x.rlike(WORD_CLASS) & F.array_contains("__quality_gone", line_hash(x))))
+    text = F.when(F.col("__quality_gone").isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n"))
+    return (docs.join(rejected, same, "left_anti")
+            .join(cut, same & F.col(host_col).eqNullSafe(F.col("__quality_host")), "left")
+            .withColumn(text_col, text).select(*docs.columns))

@@ -147,6 +147,18 @@ def test_quality_lines(spark):
     assert all(got[i].kept for i in range(61, 91))
 
 
+def test_quality_lines_leave_the_texts(spark):
+    """Boilerplate goes from the accepted texts of its host but the first; other
+    lines, blank ones and other hosts stay as they are."""
+    own = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x{chr(97 + j)}" for j in range(25)) for i in range(60)]
+    notice = "Shared Notice 12 of this site"
+    texts = [f"{o}\n\n {notice}{i} \nlast line {chr(97 + i % 26)}{'z' * (i // 26)}\n" for i, o in enumerate(own)]
+    rows = [(i, t, "en", None, 7) for i, t in enumerate(texts)] + [(100, texts[3], "en", "b", 7), (3, texts[3], "en", None, 7)]
+    got = quality.accepted(spark.createDataFrame(rows, SCHEMA)).collect()
+    want = [(i, t if i in (0, 100) else "\n".join(x for x in t.split("\n") if "Notice" not in x)) for i, t, *_ in rows]
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(want)
+
+
 def test_quality_cases(odd, odd_rows, none):
     rows = quality.verdicts(odd).collect()
     assert len(rows) == len({r[:2] for r in odd_rows})
