@@ -12,14 +12,20 @@ Plan shape:
    exploded into days; the window also reaches the contract scan.
 4. A sort-merge join brings charges to contracts and leaves rows partitioned by
    contract, so the contract-day aggregate adds no shuffle.
-5. Contract-day prices are written once, then ordered once by (mart key,
-   price).  Averages, distinct counts and the exact median all read that
-   order; no group of any size is buffered or sorted in one task.
+5. Contract-days are shuffled once, by mart key, and one aggregate takes all
+   measures of a group from its rows: no distinct expansion, no second read.
+6. A lane whose groups could be too large for one task is cut into chunks by
+   the hash of the contract; how many follows from its contracts per month, which
+   are counted before the expansion.  Groups of one chunk are finished by that
+   aggregate.  The chunks of larger ones are merged from their states: counts
+   and sums add up, ids are counted over the chunks, the median is picked from
+   the chunks' prices by rank, in an order that range partitions cut anywhere.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +37,7 @@ from lanecast.session import scratch_path
 
 LANE = ["equipment_id", "origin_port_id", "destination_port_id"]
 KEY = schemas.MART_KEY
+CHUNK = ["chunks", "chunk"]
 
 
 @dataclass(frozen=True)
@@ -38,6 +45,7 @@ class MartParams:
     load_date: object = None          # stamped as load_date (source: current_date)
     min_companies: int = 5
     min_suppliers: int = 2
+    chunk_rows: int = 50_000          # contracts of a group that one task aggregates, about
 
 
 def charges_by_currency(charges: DataFrame) -> DataFrame:
@@ -55,24 +63,48 @@ def known_port_contracts(datapoints: DataFrame, ports: DataFrame) -> DataFrame:
                    "left_semi")
 
 
-def contract_days(datapoints: DataFrame, charges: DataFrame, window=None) -> DataFrame:
-    """(contract attrs, currency, charge_total, valid_day) for each day of the
-    contract's validity, clipped to ``window`` = (lo, hi) Columns if given."""
-    cols = ["datapoint_id", "created", "company_id", "supplier_id", *LANE, "valid_from", "valid_to"]
+def clipped(datapoints: DataFrame, window=None) -> DataFrame:
+    """Contracts with their days of validity, _lo to _hi, clipped to ``window``
+    = (lo, hi) Columns if given; a NULL window selects nothing."""
     lo, hi = F.col("valid_from"), F.col("valid_to")
     if window is not None:
-        # plain comparisons that reach the scan; a NULL window selects nothing
+        # plain comparisons that reach the scan
         datapoints = datapoints.filter((lo <= window[1]) & (hi >= window[0]))
-        charges = charges.join(datapoints.select("datapoint_id"), "datapoint_id", "left_semi")
         lo, hi = F.greatest(lo, window[0]), F.least(hi, window[1])
+    return datapoints.withColumn("_lo", lo).withColumn("_hi", hi).filter(F.col("_lo") <= F.col("_hi"))
+
+
+def chunked(contracts: DataFrame, chunk_rows: int) -> DataFrame:
+    """``clipped`` contracts with the number of chunks of their lane and the
+    chunk they are in.  A group (lane and day) has at most the contracts that
+    touch its month; only lanes above ``chunk_rows`` are joined back."""
+    months = F.sequence(F.trunc("_lo", "month"), F.trunc("_hi", "month"), F.expr("INTERVAL 1 MONTH"))
+    busy = (contracts.select(*LANE, F.explode(months).alias("_month")).groupBy(*LANE, "_month").agg(F.count(F.lit(1)).alias("_n"))
+            .groupBy(*LANE).agg(F.max("_n").alias("_n")).filter(F.col("_n") > chunk_rows)
+            .select(*[F.col(c).alias(f"_{c}") for c in LANE], F.ceil(F.col("_n") / chunk_rows).alias("_chunks")))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in LANE])
+    chunks = F.coalesce("_chunks", F.lit(1))
+    return (contracts.join(busy, same, "left").withColumn("chunks", chunks)
+            .withColumn("chunk", F.pmod(F.xxhash64("datapoint_id"), chunks))
+            .drop("_chunks", *[f"_{c}" for c in LANE]))
+
+
+def contract_days(datapoints: DataFrame, charges: DataFrame, window=None, chunk_rows: int | None = None) -> DataFrame:
+    """(contract attrs, currency, charge_total, valid_day) for each day of the
+    contract's validity, clipped to ``window``; with ``chunk_rows`` also the
+    columns of ``chunked``."""
+    dp = clipped(datapoints, window)
+    extra = []
+    if chunk_rows is not None:
+        dp, extra = chunked(dp, chunk_rows), CHUNK
+    if window is not None:
+        charges = charges.join(dp.select("datapoint_id"), "datapoint_id", "left_semi")
+    cols = ["datapoint_id", "created", "company_id", "supplier_id", *LANE, *extra, "_lo", "_hi"]
     # sort-merge on the contract id: it can spill, and its output stays
     # partitioned by datapoint_id, which lets the explode and the contract-day
     # aggregate run without shuffling the exploded rows
-    joined = datapoints.select(*cols).hint("merge").join(charges_by_currency(charges), "datapoint_id")
-    return (joined.withColumn("_lo", lo).withColumn("_hi", hi)
-                  .filter(F.col("_lo") <= F.col("_hi"))
-                  .withColumn("valid_day", F.explode(safe_day_series("_lo", "_hi")))
-                  .drop("_lo", "_hi", "valid_from", "valid_to"))
+    joined = dp.select(*cols).hint("merge").join(charges_by_currency(charges), "datapoint_id")
+    return joined.withColumn("valid_day", F.explode(safe_day_series("_lo", "_hi"))).drop("_lo", "_hi")
 
 
 def validity_expand(datapoints: DataFrame) -> DataFrame:
@@ -91,25 +123,62 @@ def contract_daily_price(days: DataFrame, rates: DataFrame) -> DataFrame:
     priced = (days.join(r, ["valid_day", "currency"])
                   .withColumn("charge_value_usd", F.col("charge_total").cast("double") / F.col("rate"))
                   .filter(F.col("charge_value_usd").isNotNull()))
-    return (priced.groupBy("datapoint_id", "valid_day", "company_id", "supplier_id", *LANE)
+    extra = [c for c in CHUNK if c in days.columns]
+    return (priced.groupBy("datapoint_id", "valid_day", "company_id", "supplier_id", *LANE, *extra)
                   .agg(F.max("created").alias("created"),
                        F.sum("charge_value_usd").alias("total_usd_price")))
 
 
+def lane_states(prices: DataFrame) -> DataFrame:
+    """One row per mart key and chunk of ``contract_daily_price`` rows: rows,
+    total, created, and of a whole group (one chunk) the numbers of companies
+    and suppliers and the median, of a part the ids and the sorted prices."""
+    whole, n, sorted_prices = F.col("chunks") == 1, F.col("rows"), F.col("prices")
+    states = (prices.repartition(*KEY, "chunk").groupBy(*KEY, *CHUNK).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("total_usd_price").alias("total"), F.max("created").alias("created"),
+        F.collect_set("company_id").alias("company_ids"), F.collect_set("supplier_id").alias("supplier_ids"),
+        F.sort_array(F.collect_list("total_usd_price")).alias("prices")))
+    at = lambda i: F.get(sorted_prices, i.cast("int"))
+    median = at(F.floor((n - 1) / 2)) * 0.5 + at(F.floor(n / 2)) * 0.5  # the interpolation of percentile(0.5)
+    return states.select(
+        *KEY, *CHUNK, "rows", "total", "created",
+        F.when(whole, F.size("company_ids")).alias("companies"), F.when(whole, F.size("supplier_ids")).alias("suppliers"),
+        F.when(whole, median).alias("median_price_usd"),
+        *[F.when(~whole, F.col(c)).alias(c) for c in ("company_ids", "supplier_ids", "prices")])
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """One row per mart key from the stored states of groups of several chunks."""
+    def distinct(ids: str, out: str) -> DataFrame:
+        return parts.select(*KEY, F.explode(ids).alias("_id")).distinct().groupBy(*KEY).agg(F.count(F.lit(1)).alias(out))
+
+    def with_(left: DataFrame, right: DataFrame) -> DataFrame:  # equipment may be NULL
+        right = right.withColumnsRenamed({c: f"_{c}" for c in KEY})
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEY])
+        return left.join(right, same, "left").drop(*[f"_{c}" for c in KEY])
+
+    sums = parts.groupBy(*KEY).agg(F.sum("rows").alias("rows"), F.sum("total").alias("total"), F.max("created").alias("created"))
+    rows = ordered_rows(parts.select(*KEY, "chunk", F.posexplode("prices").alias("_pos", "_price")), KEY, "_price", ["chunk", "_pos"])
+    out = with_(sums, exact_median(rows, KEY, "_price", "median_price_usd"))
+    for ids, name in (("company_ids", "companies"), ("supplier_ids", "suppliers")):
+        out = with_(out, distinct(ids, name)).withColumn(name, F.coalesce(name, F.lit(0)))
+    return out
+
+
 def lane_aggregate(prices: DataFrame) -> DataFrame:
-    """One row per mart key.  Rows arrive ordered by the key, so partial
-    aggregates shrink them to one row per key and task before each shuffle;
-    distinct counts are two-level aggregates keyed by (group, id)."""
-    path = scratch_path(prices.sparkSession, "prices")
-    prices.write.parquet(path)  # once: the ordering samples it, then reads it
-    rows = ordered_rows(prices.sparkSession.read.schema(prices.schema).parquet(path), KEY,
-                        "total_usd_price", "datapoint_id")
-    stats = rows.groupBy(*KEY).agg(
-        F.avg("total_usd_price").alias("avg_price_usd"),
-        F.countDistinct("company_id").alias("distinct_companies_count"),
-        F.countDistinct("supplier_id").alias("distinct_suppliers_count"),
-        F.max("created").alias("created"))
-    return stats.join(exact_median(rows, KEY, "total_usd_price", "median_price_usd"), KEY)
+    """One row per mart key.  The states are stored (about one row per group):
+    the chunks of large groups are read several times."""
+    path = scratch_path(prices.sparkSession, "states")
+    lane_states(prices).write.parquet(path)
+    states = prices.sparkSession.read.parquet(path)
+    cols = [*KEY, "rows", "total", "created", "companies", "suppliers", "median_price_usd"]
+    out = states.filter("chunks = 1").select(*cols)
+    parts = states.filter("chunks > 1")
+    if not parts.isEmpty():
+        out = out.unionByName(merged_parts(parts).select(*cols))
+    return out.select(*KEY, (F.col("total") / F.col("rows")).alias("avg_price_usd"),
+                      F.col("companies").cast("bigint").alias("distinct_companies_count"),
+                      F.col("suppliers").cast("bigint").alias("distinct_suppliers_count"), "created", "median_price_usd")
 
 
 def enrich_and_finish(agg: DataFrame, ports: DataFrame, params: MartParams) -> DataFrame:
@@ -133,8 +202,9 @@ def daily_lane_equipment_prices(datapoints: DataFrame, charges: DataFrame, rates
                                 ports: DataFrame, params: MartParams = MartParams(),
                                 window=None) -> DataFrame:
     """The mart from staged tables.  ``window`` = (lo, hi) date Columns
-    restricts the recomputed days (incremental run).  Contract-day prices are
-    written to the shared folder when this is called."""
+    restricts the recomputed days (incremental run).  The states of the groups
+    are computed and written to the shared folder when this is called
+    (``session.scratch_scope`` drops them)."""
     dp = known_port_contracts(datapoints, ports)
-    prices = contract_daily_price(contract_days(dp, charges, window), rates)
+    prices = contract_daily_price(contract_days(dp, charges, window, params.chunk_rows), rates)
     return enrich_and_finish(lane_aggregate(prices), ports, params)

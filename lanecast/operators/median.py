@@ -17,9 +17,9 @@ from lanecast.session import scratch_path
 PLACE = "_place"  # partition << 33 | position in the partition
 
 
-def ordered_rows(df: DataFrame, keys: list[str], value: str, tie: str) -> DataFrame:
+def ordered_rows(df: DataFrame, keys: list[str], value: str, tie: str | list[str]) -> DataFrame:
     """df in (keys, value, tie) order, stored in the shared folder, with PLACE."""
-    order = [*keys, value, tie]
+    order = [*keys, value, *([tie] if isinstance(tie, str) else tie)]
     path = scratch_path(df.sparkSession, "ordered")
     (df.repartitionByRange(*order).sortWithinPartitions(*order)
        .withColumn(PLACE, F.monotonically_increasing_id()).write.parquet(path))

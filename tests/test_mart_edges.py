@@ -148,3 +148,37 @@ def test_lane_label_skips_null(spark):
     from lanecast.functions.compat import lane_label
     df = spark.createDataFrame([("A", None), ("A", "B")], "origin_port_name string, destination_port_name string")
     assert [r[0] for r in df.select(lane_label()).collect()] == ["A to ", "A to B"]
+
+
+def test_hot_lane_in_chunks_equals_whole_groups(spark):
+    """A lane cut into chunks (ties, days of one row, a NULL equipment) gives
+    the rows of whole groups and of plain Python."""
+    import random
+    import statistics
+    rnd = random.Random(11)
+    dps = [(i, rnd.randrange(40), rnd.randrange(9), 0, rnd.randrange(10)) for i in range(1, 400)]
+    dps += [(1000 + i, i, i, i, i) for i in range(10)]
+    chs = [(d[0], "USD", rnd.choice([1, 2, 3, 500, rnd.randrange(1, 10**6)])) for d in dps]
+    rows = contracts(spark, dps)
+    rows = rows.unionByName(rows.filter("datapoint_id <= 150").withColumns(
+        {"datapoint_id": F.col("datapoint_id") + 5000, "equipment_id": F.lit(None).cast("bigint")}))
+    chs += [(i + 5000, c, v) for i, c, v in chs if i <= 150]
+    made = [M.daily_lane_equipment_prices(rows, charges(spark, chs), rates(spark), ports(spark),
+                                          M.MartParams(load_date=D0, chunk_rows=n)).collect() for n in (50_000, 7)]
+    assert sorted(map(str, made[0])) == sorted(map(str, made[1])) and len(made[0]) == 20
+    value = dict((i, v) for i, _, v in chs)
+    for r in made[1]:
+        if r.equipment_id is None:
+            continue
+        on = [d for d in dps if day(d[3]) <= r.valid_day <= day(d[4])]
+        assert r.median_price_usd == statistics.median(value[d[0]] for d in on)
+        assert r.distinct_companies_count == len({d[1] for d in on}) and r.distinct_suppliers_count == len({d[2] for d in on})
+        assert abs(r.avg_price_usd - sum(value[d[0]] for d in on) / len(on)) < 0.006
+        assert r.created == TS + dt.timedelta(hours=max(d[0] for d in on))
+
+
+def test_only_busy_lanes_have_chunks(spark):
+    dps = [(i, 1, 1, 0, 0) for i in range(20)] + [(100, 1, 1, 0, 9, 2, 1)]
+    got = M.chunked(M.clipped(contracts(spark, dps)), 5).collect()
+    assert {(r.origin_port_id, r.chunks) for r in got} == {(1, 4), (2, 1)}
+    assert {r.chunk for r in got if r.origin_port_id == 1} <= set(range(4)) and all(r.chunk == 0 for r in got if r.origin_port_id == 2)

@@ -45,3 +45,14 @@ def test_date_range_report_prunes_partitions(spark):
     df = catalog.QUERIES["port_pair_series"](spark, SF_SMALL)
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in text and "valid_month" in text.split("PartitionFilters: [")[1][:300]
+
+
+def test_mart_states_plan(spark):
+    """Contract-days are shuffled once and not expanded for the distinct counts."""
+    st = P.materialised_staging(spark, SF_SMALL)
+    days = P.M.contract_days(st.datapoints, st.charges, None, 50_000)
+    text = plan_text(P.M.lane_states(P.M.contract_daily_price(days, st.exchange_rates)))
+    assert "Expand" not in text
+    above = text.split("HashAggregate(keys=[datapoint_id")[0]
+    assert above.count("Exchange") == 1 and "Exchange hashpartitioning(valid_day" in above
+    assert "ArrowEvalPython" not in text and "MapInArrow" not in text
