@@ -58,7 +58,11 @@ def evolve_schema(existing: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def affected_window(datapoints: DataFrame, mart: DataFrame) -> DataFrame:
-    """I4: one row (lo, hi) = min(valid_from), max(valid_to) over contracts
-    created after the mart's newest ``created``; NULLs when there are none."""
-    new = newer_than_target(datapoints, mart, "created")
-    return new.agg(F.min("valid_from").alias("lo"), F.max("valid_to").alias("hi"))
+    """I4: one row (lo, hi) over contracts created after the mart's newest
+    ``created``; NULLs when there are none."""
+    return window_of(newer_than_target(datapoints, mart, "created"))
+
+
+def window_of(contracts: DataFrame) -> DataFrame:
+    """One row (lo, hi) = min(valid_from), max(valid_to)."""
+    return contracts.agg(F.min("valid_from").alias("lo"), F.max("valid_to").alias("hi"))

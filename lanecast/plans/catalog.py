@@ -232,20 +232,19 @@ register("charges_upsert", O.with_batches("SELECT * FROM stg_charges2", _B))(
     lambda spark, sf_dir: _batch_staged(spark, sf_dir).charges)
 
 
-def _mart1(spark, sf_dir):
-    """The mart as it stood after batch 1 (snapshot written by the run)."""
+def _mart1_paths(spark, sf_dir):
+    """The run's root and the mart as it stood after batch 1 (a snapshot the run wrote)."""
     root = P.materialised_batches(spark, sf_dir)
-    return P.read_mart(spark, P.TB.table_path(root, *P.MART_B1_TABLE))
+    return root, P.TB.table_path(root, *P.MART_B1_TABLE)
 
 
 register("affected_window", O.with_batches("SELECT lo, hi FROM win", _B))(
-    lambda spark, sf_dir: I.affected_window(_batch_staged(spark, sf_dir).datapoints, _mart1(spark, sf_dir)))
+    lambda spark, sf_dir: P.affected_window(spark, *_mart1_paths(spark, sf_dir)))
 
 
 @register("affected_window_expand", O.with_batches("SELECT * FROM mart2", _B))
 def _q_affected_rows(spark, sf_dir):
-    rows, _ = P.affected_rows(_batch_staged(spark, sf_dir), _mart1(spark, sf_dir),
-                              P.M.MartParams(load_date=FX.BATCH2_LOAD_DATE))
+    rows, _ = P.affected_rows(spark, *_mart1_paths(spark, sf_dir), P.M.MartParams(load_date=FX.BATCH2_LOAD_DATE))
     return rows
 
 
@@ -384,7 +383,7 @@ def _q_stream_ingest(spark, sf_dir):
     from lanecast.session import scratch_path
     root = P.materialised_inputs(spark, sf_dir)
     target = scratch_path(spark, "stream", "raw_datapoints")
-    CSV.scan(spark, root, "datapoints", "full", FX.BATCH1_LOAD_DATE).write.parquet(target)
+    P.TB.overwrite(CSV.scan(spark, root, "datapoints", "full", FX.BATCH1_LOAD_DATE), target)
     ST.run_datapoint_stream(spark, root, target, scratch_path(spark, "stream", "checkpoint"),
                             FX.BATCH2_LOAD_DATE)
     return P.TB.read(spark, target, P.raw_schema("datapoints"))

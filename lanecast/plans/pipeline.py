@@ -5,17 +5,22 @@ from __future__ import annotations
 import threading
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanecast import schemas
+from lanecast.operators import coverage as C
+from lanecast.operators import incremental as I
 from lanecast.operators import mart as M
 from lanecast.operators import staging as S
-from lanecast.session import shared_dir
+from lanecast.session import scratch_scope, shared_dir
 from lanecast.sources import fixtures as fx
+from lanecast.sources import tables as TB
 from lanecast.sources.fixtures import RawTables
 
+RAW_NAMES = ("ports", "regions", "exchange_rates", "datapoints", "charges")
+
 
 @dataclass(frozen=True)
 class Staged:
@@ -47,16 +52,11 @@ def fixture_staged(spark: SparkSession, sf_dir: str, load_date=fx.FULL_LOAD_DATE
 
 
 def write_staged(staged: Staged, root: str) -> Staged:
-    """Write the five staging tables under ``root/staging`` and return
+    """Replace the five staging tables under ``root/staging`` and return
     readers over them (the layer boundary also cuts the lineage)."""
-    spark = staged.datapoints.sparkSession
-    out = {}
-    for name in ("regions", "ports", "exchange_rates", "datapoints", "charges"):
-        path = f"{root}/staging/{name}"
-        df = getattr(staged, name)
-        df.write.mode("overwrite").parquet(path)
-        out[name] = spark.read.schema(schemas.STAGING[name]).parquet(path)
-    return Staged(**out)
+    for name in RAW_NAMES:
+        TB.overwrite(getattr(staged, name), TB.table_path(root, "staging", name))
+    return stored_staged(staged.datapoints.sparkSession, root)
 
 
 _MATERIALISED: dict[tuple, object] = {}
@@ -100,17 +100,14 @@ def write_mart(df: DataFrame, path: str) -> None:
     folders, while AQE splits an oversized month over several tasks and
     merges small ones; it needs no sampling pass (range partitioning would
     compute the whole mart plan twice)."""
-    (df.withColumn("valid_month", F.trunc("valid_day", "month"))
-       .hint("rebalance", "valid_month")
-       .sortWithinPartitions("valid_month", *schemas.MART_KEY)
-       .write.mode("overwrite").option("partitionOverwriteMode", "static")  # full refresh
-       .partitionBy("valid_month").parquet(path))
+    TB.overwrite(df.withColumn("valid_month", F.trunc("valid_day", "month")), path,
+                 partition_by=["valid_month"], sort_by=schemas.MART_KEY)
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
     """The stored mart; ``valid_month`` stays available for partition pruning."""
     stored = T.StructType(list(schemas.MART.fields) + [T.StructField("valid_month", schemas.D)])
-    return spark.read.schema(stored).parquet(path)
+    return TB.read(spark, path, stored)
 
 
 def materialised_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,23 +118,18 @@ def materialised_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _lock:
         path = _MATERIALISED.get(key)
     if path is None:
-        mart = fixture_mart(spark, sf_dir)
-        with _lock:
+        staged = materialised_staging(spark, sf_dir)
+        with _lock, scratch_scope(spark):
             path = _MATERIALISED.get(key)
             if path is None:
                 path = _root(spark, sf_dir, "full") + "/final/daily_lane_equipment_prices"
-                write_mart(mart, path)
+                write_mart(build_mart(staged, M.MartParams(load_date=fx.FULL_LOAD_DATE)), path)
             _MATERIALISED[key] = path
     return read_mart(spark, path)
 
 
 # ---- layered runs on stored tables -----------------------------------------
 
-from lanecast.operators import coverage as C  # noqa: E402
-from lanecast.operators import incremental as I  # noqa: E402
-from lanecast.sources import tables as TB  # noqa: E402
-
-RAW_NAMES = ("ports", "regions", "exchange_rates", "datapoints", "charges")
 MART_TABLE = ("final", "daily_lane_equipment_prices")
 MART_B1_TABLE = ("snapshots", "daily_lane_equipment_prices_batch1")
 COVERAGE_TABLE = ("final", "metadata_coverage")
@@ -152,6 +144,11 @@ def stored_staged(spark: SparkSession, root: str) -> Staged:
                      for n in RAW_NAMES})
 
 
+def newest(spark: SparkSession, path: str, col: str, kind: T.DataType) -> Column:
+    """The greatest ``col`` of a stored table as a literal, from its manifest: no scan."""
+    return TB.mark_value(TB.mark(spark, path, col), kind)
+
+
 def stored_mart(spark: SparkSession, root: str) -> DataFrame:
     return read_mart(spark, TB.table_path(root, *MART_TABLE))
 
@@ -166,9 +163,10 @@ def run_full(spark: SparkSession, raw: RawTables, root: str, load_date,
     params = params or M.MartParams(load_date=load_date)
     for n in RAW_NAMES:
         TB.overwrite(getattr(raw, n), TB.table_path(root, "raw", n))
-    raw_stored = RawTables(**{n: TB.read_evolved(spark, TB.table_path(root, "raw", n)) for n in RAW_NAMES})
+    raw_stored = RawTables(**{n: TB.read(spark, TB.table_path(root, "raw", n)) for n in RAW_NAMES})
     staged = write_staged(stage(raw_stored, load_date), root)
-    write_mart(build_mart(staged, params), TB.table_path(root, *MART_TABLE))
+    with scratch_scope(spark):
+        write_mart(build_mart(staged, params), TB.table_path(root, *MART_TABLE))
     cov = TB.table_path(root, *COVERAGE_TABLE)
     if not TB.exists(spark, cov):
         TB.overwrite(spark.createDataFrame([], schemas.COVERAGE), cov)
@@ -180,7 +178,8 @@ def run_incremental(spark: SparkSession, batch: RawTables, root: str, load_date,
     """One incremental batch through all layers, with before/after coverage
     snapshots around the mart upsert.  With ``replace_window`` the mart rows of
     the affected days are replaced whole, so groups that vanished go; by
-    default rows are replaced by key and such groups stay (source behaviour)."""
+    default rows are replaced by key and such groups stay (source behaviour).
+    Repeating a run changes nothing; a snapshot is logged once a stage and time."""
     params = params or M.MartParams(load_date=load_date)
     p = lambda layer, n: TB.table_path(root, layer, n)
 
@@ -190,62 +189,68 @@ def run_incremental(spark: SparkSession, batch: RawTables, root: str, load_date,
     append_raw_charges(spark, batch.charges, p("raw", "charges"))
     for n in ("ports", "regions", "exchange_rates"):
         TB.overwrite(getattr(batch, n), p("raw", n))
-    raw = RawTables(**{n: TB.read_evolved(spark, p("raw", n)) for n in RAW_NAMES})
 
     # staging: dimensions rebuilt, facts take the load_date delta and upsert
-    regions = S.stg_regions(raw.regions, load_date)
+    regions = S.stg_regions(TB.read(spark, p("raw", "regions")), load_date)
     TB.overwrite(regions, p("staging", "regions"))
     regions = TB.read(spark, p("staging", "regions"), schemas.STG_REGIONS)
-    TB.overwrite(S.stg_ports(raw.ports, regions, load_date), p("staging", "ports"))
-    TB.overwrite(S.stg_exchange_rates(raw.exchange_rates, load_date), p("staging", "exchange_rates"))
-    stg_dp = TB.read(spark, p("staging", "datapoints"), schemas.STG_DATAPOINTS)
-    delta_dp = S.stg_datapoints(I.staging_delta(raw.datapoints, stg_dp), load_date)
-    TB.replace_via_stage(I.upsert(stg_dp, delta_dp, "datapoint_id"), p("staging", "datapoints"))
+    TB.overwrite(S.stg_ports(TB.read(spark, p("raw", "ports")), regions, load_date), p("staging", "ports"))
+    TB.overwrite(S.stg_exchange_rates(TB.read(spark, p("raw", "exchange_rates")), load_date), p("staging", "exchange_rates"))
+    TB.upsert(S.stg_datapoints(staging_delta(spark, root, "datapoints"), load_date), p("staging", "datapoints"), "datapoint_id")
     # charges: the delta's ids entered raw only through the NOT IN filter, so
     # none of them is in staging yet (staging ids are earlier raw ids): the
     # delete+insert on datapoint_id deletes nothing and is an append
-    stg_ch = TB.read(spark, p("staging", "charges"), schemas.STG_CHARGES)
-    delta_ch = S.stg_charges(I.staging_delta(raw.charges, stg_ch), load_date)
-    delta_ch, scratch = TB.stored_once(delta_ch)  # before appending to the table it reads
-    TB.append(delta_ch, p("staging", "charges"))
-    TB.drop(spark, scratch)
-    staged = stored_staged(spark, root)
+    TB.append(S.stg_charges(staging_delta(spark, root, "charges"), load_date), p("staging", "charges"))
 
     # final: snapshot, recompute the affected days, upsert, snapshot
-    mart_path = TB.table_path(root, *MART_TABLE)
-    cov_path = TB.table_path(root, *COVERAGE_TABLE)
-    mart = stored_mart(spark, root)
-    TB.append(C.coverage_snapshot(mart, "before", snapshot_ts[0]), cov_path)
-    fresh = affected_rows(staged, mart, params)
-    if fresh is not None:
-        rows, (lo, hi) = fresh
-        rows, scratch = TB.stored_once(rows)  # its keys and its rows come from one computation
-        touched = mart.filter(F.col("valid_month").between(F.trunc(F.lit(lo), "month"), F.trunc(F.lit(hi), "month")))
-        if replace_window:
-            merged = touched.filter(~F.col("valid_day").between(F.lit(lo), F.lit(hi))).drop("valid_month").unionByName(rows)
-        else:
-            merged = I.upsert(touched.drop("valid_month"), rows, schemas.MART_KEY)
-        TB.replace_via_stage(merged.withColumn("valid_month", F.trunc("valid_day", "month")), mart_path,
-                             partition_by=["valid_month"], sort_by=schemas.MART_KEY)
-        TB.drop(spark, scratch)
-    TB.append(C.coverage_snapshot(stored_mart(spark, root), "after", snapshot_ts[1]), cov_path)
+    mart_path, cov_path = TB.table_path(root, *MART_TABLE), TB.table_path(root, *COVERAGE_TABLE)
+
+    def snapshot(kind: str, ts: str) -> None:
+        TB.append(C.coverage_snapshot(stored_mart(spark, root), kind, ts), cov_path, run=f"{kind} {ts}")
+
+    snapshot("before", snapshot_ts[0])
+    with scratch_scope(spark):
+        fresh = affected_rows(spark, root, mart_path, params)
+        if fresh is not None:
+            rows, (lo, hi) = fresh
+            upsert_mart(spark, rows, mart_path, lo, hi, replace_window)
+    snapshot("after", snapshot_ts[1])
+
+
+def staging_delta(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Raw rows loaded after the staging table's newest load_date; only the
+    raw segments that hold such rows are read."""
+    done = TB.mark(spark, TB.table_path(root, "staging", name), "load_date")
+    raw = TB.read(spark, TB.table_path(root, "raw", name), newer=("load_date", done))
+    return raw.filter(F.col("load_date") > TB.mark_value(done, T.DateType()))
+
+
+def upsert_mart(spark: SparkSession, rows: DataFrame, path: str, lo, hi, replace_window: bool = False) -> None:
+    """Rows of the days lo to hi into the stored mart: by key, or in place of
+    all rows of those days.  The months of these days are written once, as a
+    segment that replaces them; no other month is read."""
+    rows, _ = TB.stored_once(rows)  # its keys and its rows come from one computation
+    touched = read_mart(spark, path).filter(
+        F.col("valid_month").between(F.trunc(F.lit(lo), "month"), F.trunc(F.lit(hi), "month"))).drop("valid_month")
+    if replace_window:
+        merged = touched.filter(~F.col("valid_day").between(F.lit(lo), F.lit(hi))).unionByName(rows)
+    else:
+        merged = I.upsert(touched, rows, schemas.MART_KEY)
+    months = [f"{i // 12:04d}-{i % 12 + 1:02d}-01" for i in range(lo.year * 12 + lo.month - 1, hi.year * 12 + hi.month)]
+    TB.replace_partitions(merged.withColumn("valid_month", F.trunc("valid_day", "month")), path, sort_by=schemas.MART_KEY, gone=months)
 
 
 def merge_raw_datapoints(spark: SparkSession, batch: DataFrame, path: str) -> None:
-    """Contracts newer than the newest loaded one, merged on d_id.  New source
-    columns stay, NULL in older rows; a batch may lack columns."""
-    known = TB.read_evolved(spark, path)
-    new, scratch = TB.stored_once(I.incremental_new_rows(batch, known))
-    TB.replace_via_stage(I.upsert(known, new, "d_id"), path)
-    TB.drop(spark, scratch)
+    """Contracts newer than the newest loaded one, merged on d_id.  New
+    source columns stay, NULL in older rows; a batch may lack columns."""
+    kind = batch.schema["created"].dataType
+    TB.upsert(batch.filter(F.col("created") > newest(spark, path, "created", kind)), path, "d_id")
 
 
 def append_raw_charges(spark: SparkSession, batch: DataFrame, path: str) -> None:
-    """Charge lines of unseen contracts.  The delete+insert on d_id deletes
+    """Charge lines of unseen contracts.  The delete+insert on d_id deletes
     nothing (every inserted d_id is absent by the NOT IN filter): an append."""
-    new, scratch = TB.stored_once(I.charges_new_only(batch, TB.read_evolved(spark, path)))
-    TB.append(new, path)
-    TB.drop(spark, scratch)
+    TB.append(I.charges_new_only(batch, TB.read(spark, path)), path)
 
 
 def run_full_from(spark: SparkSession, input_root: str, root: str, load_date,
@@ -263,14 +268,25 @@ def run_incremental_from(spark: SparkSession, input_root: str, root: str, load_d
                     root, load_date, snapshot_ts, **kw)
 
 
-def affected_rows(staged: Staged, mart: DataFrame, params: M.MartParams):
+def affected_window(spark: SparkSession, root: str, mart_path: str) -> DataFrame:
+    """I4: one row (lo, hi) over the contracts created after the newest one in
+    the mart.  Both marks come from manifests and only the staged segments that
+    hold newer contracts are read."""
+    done = TB.mark(spark, mart_path, "created")
+    path = TB.table_path(root, "staging", "datapoints")
+    staged = TB.read(spark, path, schemas.STG_DATAPOINTS, newer=("created", done))
+    return I.window_of(staged.filter(F.col("created") > TB.mark_value(done, schemas.TS)))
+
+
+def affected_rows(spark: SparkSession, root: str, mart_path: str, params: M.MartParams):
     """Mart rows of every lane on the days touched by contracts newer than
     the mart, with the window (lo, hi); None when nothing is new.  The two
     window dates are the only values brought to the driver: they become
     literals, so the stored mart is read only in the touched months."""
-    w = I.affected_window(staged.datapoints, mart).first()
+    w = affected_window(spark, root, mart_path).first()
     if w is None or w["lo"] is None:
         return None
+    staged = stored_staged(spark, root)
     rows = M.daily_lane_equipment_prices(
         staged.datapoints, staged.charges, staged.exchange_rates, staged.ports, params,
         window=(F.lit(w["lo"]), F.lit(w["hi"])))

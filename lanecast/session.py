@@ -12,6 +12,7 @@ import os
 import tempfile
 import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -84,6 +85,61 @@ def shared_dir(spark: SparkSession) -> str:
         return d.rstrip("/")
 
 
+class Folder:
+    """A file or folder of the file system a path belongs to."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.hadoop = spark, spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.fs = self.hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self.fs.exists(self.hadoop)
+
+    def names(self) -> list[str]:
+        """Names in the folder, hidden ones left out; none if it is missing."""
+        found = self.fs.listStatus(self.hadoop) if self.exists() else []
+        return [n for n in (f.getPath().getName() for f in found) if not n.startswith(".")]
+
+    def delete(self) -> None:
+        if self.exists() and not self.fs.delete(self.hadoop, True):
+            raise OSError(f"cannot delete {self.hadoop}")
+
+    def rename(self, to: Folder) -> None:
+        if not self.fs.rename(self.hadoop, to.hadoop):
+            raise OSError(f"cannot rename {self.hadoop} to {to.hadoop}")
+
+    def read_text(self) -> str:
+        stream = self.fs.open(self.hadoop)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write_text(self, text: str) -> None:
+        stream = self.fs.create(self.hadoop, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+
+_scopes = threading.local()
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A new unique folder under the shared dir (for staged writes)."""
-    return "/".join([shared_dir(spark), "lanecast", *parts, uuid.uuid4().hex])
+    path = "/".join([shared_dir(spark), "lanecast", *parts, uuid.uuid4().hex])
+    for made in getattr(_scopes, "open", [])[-1:]:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch folders named inside are removed at the end."""
+    _scopes.open = [*getattr(_scopes, "open", []), []]
+    try:
+        yield
+    finally:
+        for path in _scopes.open.pop():
+            Folder(spark, path).delete()

@@ -93,7 +93,7 @@ def load_tables(spark: SparkSession, input_root: str, root: str, load_type: str,
     for name, df in load_raw(spark, input_root, load_type, load_date, tables).items():
         path = TB.table_path(root, "raw", name)
         if load_type == "full":
-            TB.replace_via_stage(df, path)
+            TB.overwrite(df, path)
         elif name not in FULL_ONLY:
             TB.append(df, path)
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from lanecast import schemas
@@ -65,6 +66,12 @@ def test_batches_equal_full_build_and_rerun_is_noop(spark):
     log = P.coverage_log_table(spark, root).orderBy("snapshot_ts").collect()
     assert [r.stage for r in log] == ["before", "after", "before", "after"]
     assert log[1].covered_lane_count == log[2].covered_lane_count == log[3].covered_lane_count
+    # a run repeated with its own times logs nothing twice
+    P.run_incremental(spark, b2, root, fx.BATCH2_LOAD_DATE, P.SNAPSHOT_TS)
+    assert P.coverage_log_table(spark, root).count() == 4
+    # an incremental run scans no history for its marks
+    text = P.affected_window(spark, root, P.TB.table_path(root, *P.MART_TABLE))._jdf.queryExecution().executedPlan().toString()
+    assert "daily_lane_equipment_prices" not in text
 
 
 def test_affected_window_none_when_nothing_new(spark):
@@ -93,29 +100,151 @@ def test_full_write_replaces_all_months_swap_only_present(spark):
     P.write_mart(rows([1, 2, 3]), path)
     swap = rows([2]).withColumn("avg_price_usd", F.lit(9.0)).withColumn(
         "valid_month", F.trunc("valid_day", "month"))
-    TB.replace_via_stage(swap, path, partition_by=["valid_month"])
+    TB.replace_partitions(swap, path)
     got = sorted((r.valid_day.month, r.avg_price_usd) for r in P.read_mart(spark, path).collect())
     assert got == [(1, 1.0), (2, 9.0), (3, 1.0)]
 
 
-def test_aborted_replacement_keeps_a_whole_table(spark, monkeypatch):
+def _pairs(spark, path):
+    from lanecast.sources import tables as TB
+    return sorted(tuple(r) for r in TB.read(spark, path).collect())
+
+
+def _kv(spark, pairs):
+    return spark.createDataFrame(pairs, "k long, v string")
+
+
+WRITES = {
+    "overwrite": (lambda TB, df, path: TB.overwrite(df, path), [(2, "x"), (9, "y")]),
+    "append": (lambda TB, df, path: TB.append(df, path), [(1, "a"), (2, "b"), (2, "x"), (9, "y")]),
+    "upsert": (lambda TB, df, path: TB.upsert(df, path, "k"), [(1, "a"), (2, "x"), (9, "y")]),
+}
+
+
+@pytest.mark.parametrize("kind", WRITES)
+def test_aborted_write_keeps_the_table(spark, monkeypatch, kind):
+    """A write that is lost in its data, its manifest or the last rename leaves
+    the version before; the next one leaves no orphans."""
     from lanecast.sources import tables as TB
+    write, after = WRITES[kind]
     path = scratch_path(spark, "test-abort") + "/t"
-    TB.overwrite(spark.range(3), path)
+    TB.overwrite(_kv(spark, [(1, "a"), (2, "b")]), path)
+    batch = _kv(spark, [(2, "x"), (9, "y")])
 
-    def fail(self, to):
+    def lost(*a, **k):
         raise OSError("lost")
-    with monkeypatch.context() as m:  # before any rename
-        m.setattr(TB.Folder, "rename", fail)
-        try:
-            TB.replace_via_stage(spark.range(5), path)
-        except OSError:
-            pass
-    assert TB.read(spark, path).count() == 3
-    TB.Folder(spark, path).rename(TB.Folder(spark, TB._previous(path)))  # between the renames
-    assert TB.read(spark, path).count() == 5
-    TB.replace_via_stage(TB.read(spark, path).limit(1), path)
-    assert TB.read(spark, path).count() == 1 and not TB.exists(spark, TB._previous(path))
+    for owner, name in ((TB.Folder, "rename"), (TB.Folder, "write_text"), (TB, "_evolved" if kind != "overwrite" else "_commit")):
+        with monkeypatch.context() as m:
+            m.setattr(owner, name, lost)
+            with pytest.raises(OSError):
+                write(TB, batch, path)
+        assert _pairs(spark, path) == [(1, "a"), (2, "b")]
+    write(TB, batch, path)
+    assert _pairs(spark, path) == after
+    named = TB.manifest(spark, path).folders()
+    TB.append(_kv(spark, [(7, "z")]), path)
+    kept = {n for n in TB.Folder(spark, path).names() if "=" in n}
+    assert kept == named | TB.manifest(spark, path).folders()
+
+
+def test_every_lost_commit_of_a_rebuild_leaves_readable_tables(spark, monkeypatch):
+    from dataclasses import replace
+    from lanecast.sources import tables as TB
+    b1, _ = fx.batches(spark, SF_SMALL)
+    raw = replace(b1, datapoints=b1.datapoints.filter("d_id < 200"))
+    root = scratch_path(spark, "test-rebuild")
+    P.run_full(spark, raw, root, fx.BATCH1_LOAD_DATE)
+    tables = [TB.table_path(root, layer, n) for layer in ("raw", "staging") for n in P.RAW_NAMES] + [TB.table_path(root, *P.MART_TABLE)]
+    state = lambda: {t: TB.read(spark, t).count() for t in tables}
+    old, commit, done = state(), TB._commit, []
+    fewer = replace(b1, datapoints=b1.datapoints.filter("d_id < 100"))
+    for at in range(0, len(tables), 2):
+        calls = []
+
+        def lost(*args, at=at):
+            calls.append(1)
+            if len(calls) > at:
+                raise OSError("lost")
+            return commit(*args)
+        with monkeypatch.context() as m:
+            m.setattr(TB, "_commit", lost)
+            with pytest.raises(OSError):
+                P.run_full(spark, fewer, root, fx.BATCH1_LOAD_DATE)
+        now = state()
+        assert sum(now[t] != old[t] for t in tables) <= at and now[tables[-1]] == old[tables[-1]] > 0
+        done.append(now)
+    P.run_full(spark, fewer, root, fx.BATCH1_LOAD_DATE)
+    assert 0 < state()[tables[-1]] < old[tables[-1]]
+
+
+def test_bytes_written_grow_with_the_batch(spark):
+    import os
+    from lanecast.sources import tables as TB
+    path = scratch_path(spark, "test-bytes") + "/t"
+
+    def size():
+        return {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    rows = lambda a, b: spark.range(a, b, 1, 1).select(
+        F.col("id").alias("d_id"), F.timestamp_seconds(F.col("id")).alias("created"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    TB.overwrite(rows(0, 50_000), path)
+    written = []
+    for a, b in ((49_990, 50_010), (49_000, 52_000)):
+        before = size()
+        P.merge_raw_datapoints(spark, rows(a, b).withColumn("created", F.col("created") + F.expr("INTERVAL 1 DAY")), path)
+        after = size()
+        assert before.items() <= after.items()  # nothing is written again
+        written.append(sum(after.values()) - sum(before.values()))
+    assert written[0] < sum(before.values()) / 100 and written[0] * 10 < written[1]
+    assert TB.read(spark, path).count() == 52_000 and TB.read(spark, path).select("d_id").distinct().count() == 52_000
+
+
+def test_marks_need_no_scan(spark):
+    from lanecast.sources import tables as TB
+    path = scratch_path(spark, "test-marks") + "/t"
+    one = lambda k, day: spark.createDataFrame([(k, dt.datetime(2020, 1, day), dt.date(2020, 2, day))],
+                                               "d_id long, created timestamp_ntz, load_date date")
+    TB.overwrite(one(1, 1).limit(0), path)
+    assert TB.mark(spark, path, "created") is None and TB.read(spark, path, newer=("created", None)).count() == 0
+    for day in (3, 2):
+        TB.append(one(day, day), path)
+    for folder in TB.segment_paths(spark, path)[1:]:
+        assert TB.mark(spark, path, "created") == "2020-01-03 00:00:00.000000" and TB.mark(spark, path, "load_date") == "2020-02-03"
+        got = TB.read(spark, path, newer=("load_date", "2020-02-02")).collect()
+        assert [r.d_id for r in got] == [3]  # the other segment is not read
+    TB.Folder(spark, TB.segment_paths(spark, path)[-1]).delete()
+    assert TB.mark(spark, path, "created") == "2020-01-03 00:00:00.000000"
+
+
+def test_many_writes_are_compacted(spark, monkeypatch):
+    from lanecast.sources import tables as TB
+    monkeypatch.setattr(TB, "MAX_SEGMENTS", 3)
+    path, want = scratch_path(spark, "test-compact") + "/t", {}
+    for i in range(8):
+        rows = [(i, f"v{i}"), (i % 3, f"w{i}")] if i % 3 != i else [(i, f"v{i}")]
+        TB.upsert(_kv(spark, rows), path, "k")
+        want.update(rows)
+        assert dict(_pairs(spark, path)) == want and len(TB.segment_paths(spark, path)) <= 3
+    TB.upsert(_kv(spark, [(None, "n"), (None, "m")]), path, "k")
+    TB.upsert(_kv(spark, [(None, "o")]), path, "k")  # a NULL key replaces nothing
+    assert TB.read(spark, path).filter("k IS NULL").count() == 3
+
+
+def test_plain_folder_is_taken_over(spark):
+    from lanecast.sources import tables as TB
+    path = scratch_path(spark, "test-plain") + "/t"
+    _kv(spark, [(1, "a"), (2, "b")]).write.parquet(path)
+    assert _pairs(spark, path) == [(1, "a"), (2, "b")]
+    TB.upsert(_kv(spark, [(2, "c")]), path, "k")
+    assert _pairs(spark, path) == [(1, "a"), (2, "c")]
+
+
+def test_another_type_is_an_error(spark):
+    from lanecast.sources import tables as TB
+    path = scratch_path(spark, "test-types") + "/t"
+    TB.overwrite(_kv(spark, [(1, "a")]), path)
+    with pytest.raises(TypeError, match="column v is string"):
+        TB.append(spark.createDataFrame([(1, 2)], "k long, v int"), path)
+    assert _pairs(spark, path) == [(1, "a")]
 
 
 def test_unreadable_log_is_an_error(spark):
@@ -124,7 +253,6 @@ def test_unreadable_log_is_an_error(spark):
     os.makedirs(path)
     with open(f"{path}/part-0.parquet", "w") as f:
         f.write("not parquet")
-    import pytest
     with pytest.raises(Exception):
         P.TB.read_or_empty(spark, path, schemas.COVERAGE).collect()
 
