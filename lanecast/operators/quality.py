@@ -15,11 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RESULT = T.StructType([
-    T.StructField("test_name", T.StringType()), T.StructField("model", T.StringType()),
-    T.StructField("column_name", T.StringType()), T.StructField("failures", T.LongType()),
-])
-
 # The declared checks of the staging and final models.
 NOT_NULL = {
     "charges": ["datapoint_id", "currency"],
@@ -77,13 +72,24 @@ def accepted_values(model: str, df: DataFrame, column: str, values: list) -> Dat
         *_row("accepted_values", model, column, F.col("n")))
 
 
-def contract_checks(spark: SparkSession, tables: list[tuple[str, DataFrame, T.StructType]]) -> DataFrame:
-    """Schema contracts: 0 when a table's names and types equal its contract,
-    else 1 (a driver-side comparison of schemas, no data read)."""
-    def shape(s: T.StructType) -> list:
-        return [(f.name, f.dataType) for f in s.fields]
-    return spark.createDataFrame([("contract", m, "*", int(shape(df.schema) != shape(want)))
-                                  for m, df, want in tables], RESULT)
+def contract_checks(spark: SparkSession, tables: list[tuple[str, list[str], T.StructType]]) -> DataFrame:
+    """C5, schema contracts of stored tables, given as (model, folders of their
+    files, contract): one row per model and column, declared or found, with
+    the rows stored and, as failures, those in folders where the column is
+    missing, undeclared or of another type (at least 1 where there are no
+    rows).  Schemas come from the files, not from the readers of the library;
+    files of one folder that differ in a type fail to be read."""
+    counts = []
+    for model, folders, contract in tables:
+        want = {f.name: f.dataType for f in contract.fields}
+        for folder in folders:
+            files = spark.read.option("mergeSchema", "true").parquet(folder)
+            got = {f.name: f.dataType for f in files.schema.fields}
+            cells = [F.struct(F.lit(c).alias("column_name"), F.lit(got.get(c) != want.get(c)).alias("bad")) for c in [*want, *(got.keys() - want.keys())]]
+            counts.append(files.agg(F.count(F.lit(1)).alias("n")).select(F.lit(model).alias("model"), "n", F.explode(F.array(*cells)).alias("c"))
+                          .select("model", "c.*", "n"))
+    return (_union(counts).groupBy(F.lit("contract").alias("test_name"), "model", "column_name")
+            .agg(F.sum("n").alias("rows_checked"), F.sum(F.when(F.col("bad"), F.greatest("n", F.lit(1))).otherwise(0)).alias("failures")))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,7 @@ from lanecast.sources import tables as TB
 from lanecast.sources.fixtures import RawTables
 
 RAW_NAMES = ("ports", "regions", "exchange_rates", "datapoints", "charges")
+DIMENSIONS = RAW_NAMES[:3]
 
 
 @dataclass(frozen=True)
@@ -51,11 +55,23 @@ def fixture_staged(spark: SparkSession, sf_dir: str, load_date=fx.FULL_LOAD_DATE
     return stage(fx.full_load(spark, sf_dir, load_date), load_date)
 
 
+def together(*writes: Callable[[], None]) -> None:
+    """Independent writes at the same time: a small one does not leave the
+    cluster idle.  All are ended before the first error is raised."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(w) for w in writes]:
+            done.result()
+
+
+def write_layer(frames, root: str, layer: str, names=RAW_NAMES) -> None:
+    """Replace tables of a layer by the attributes of ``frames``."""
+    together(*[partial(TB.overwrite, getattr(frames, n), TB.table_path(root, layer, n)) for n in names])
+
+
 def write_staged(staged: Staged, root: str) -> Staged:
     """Replace the five staging tables under ``root/staging`` and return
     readers over them (the layer boundary also cuts the lineage)."""
-    for name in RAW_NAMES:
-        TB.overwrite(getattr(staged, name), TB.table_path(root, "staging", name))
+    write_layer(staged, root, "staging")
     return stored_staged(staged.datapoints.sparkSession, root)
 
 
@@ -70,6 +86,10 @@ def _root(spark: SparkSession, sf_dir: str, kind: str) -> str:
     return f"{shared_dir(spark)}/lanecast/{kind}/{tag}"
 
 
+def materialised_root(spark: SparkSession, sf_dir: str, load_date=fx.FULL_LOAD_DATE) -> str:
+    return _root(spark, sf_dir, f"full-{load_date}")
+
+
 def materialised_staging(spark: SparkSession, sf_dir: str,
                          load_date=fx.FULL_LOAD_DATE) -> Staged:
     """Staging layer of the full fixture load, written once per application."""
@@ -77,8 +97,7 @@ def materialised_staging(spark: SparkSession, sf_dir: str,
     with _lock:
         st = _MATERIALISED.get(key)
         if st is None:
-            st = write_staged(fixture_staged(spark, sf_dir, load_date),
-                              _root(spark, sf_dir, f"full-{load_date}"))
+            st = write_staged(fixture_staged(spark, sf_dir, load_date), materialised_root(spark, sf_dir, load_date))
             _MATERIALISED[key] = st
     return st
 
@@ -122,7 +141,7 @@ def materialised_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
         with _lock, scratch_scope(spark):
             path = _MATERIALISED.get(key)
             if path is None:
-                path = _root(spark, sf_dir, "full") + "/final/daily_lane_equipment_prices"
+                path = TB.table_path(materialised_root(spark, sf_dir), *MART_TABLE)
                 write_mart(build_mart(staged, M.MartParams(load_date=fx.FULL_LOAD_DATE)), path)
             _MATERIALISED[key] = path
     return read_mart(spark, path)
@@ -144,6 +163,12 @@ def stored_staged(spark: SparkSession, root: str) -> Staged:
                      for n in RAW_NAMES})
 
 
+def contract_folders(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """The folders that hold the files of every staging table and of the mart."""
+    tables = {n: ("staging", n) for n in RAW_NAMES} | {MART_TABLE[1]: MART_TABLE}
+    return {n: TB.segment_paths(spark, TB.table_path(root, *t)) for n, t in tables.items()}
+
+
 def newest(spark: SparkSession, path: str, col: str, kind: T.DataType) -> Column:
     """The greatest ``col`` of a stored table as a literal, from its manifest: no scan."""
     return TB.mark_value(TB.mark(spark, path, col), kind)
@@ -161,8 +186,7 @@ def run_full(spark: SparkSession, raw: RawTables, root: str, load_date,
              params: M.MartParams | None = None) -> None:
     """First build: every layer replaced; the coverage log is only created."""
     params = params or M.MartParams(load_date=load_date)
-    for n in RAW_NAMES:
-        TB.overwrite(getattr(raw, n), TB.table_path(root, "raw", n))
+    write_layer(raw, root, "raw")
     raw_stored = RawTables(**{n: TB.read(spark, TB.table_path(root, "raw", n)) for n in RAW_NAMES})
     staged = write_staged(stage(raw_stored, load_date), root)
     with scratch_scope(spark):
@@ -185,22 +209,18 @@ def run_incremental(spark: SparkSession, batch: RawTables, root: str, load_date,
 
     # raw: contracts merge on d_id (only newer created), charges keep only
     # unseen contracts (delete+insert on d_id); dimensions fully refreshed
-    merge_raw_datapoints(spark, batch.datapoints, p("raw", "datapoints"))
-    append_raw_charges(spark, batch.charges, p("raw", "charges"))
-    for n in ("ports", "regions", "exchange_rates"):
-        TB.overwrite(getattr(batch, n), p("raw", n))
-
-    # staging: dimensions rebuilt, facts take the load_date delta and upsert
-    regions = S.stg_regions(TB.read(spark, p("raw", "regions")), load_date)
-    TB.overwrite(regions, p("staging", "regions"))
-    regions = TB.read(spark, p("staging", "regions"), schemas.STG_REGIONS)
-    TB.overwrite(S.stg_ports(TB.read(spark, p("raw", "ports")), regions, load_date), p("staging", "ports"))
-    TB.overwrite(S.stg_exchange_rates(TB.read(spark, p("raw", "exchange_rates")), load_date), p("staging", "exchange_rates"))
-    TB.upsert(S.stg_datapoints(staging_delta(spark, root, "datapoints"), load_date), p("staging", "datapoints"), "datapoint_id")
+    together(partial(merge_raw_datapoints, spark, batch.datapoints, p("raw", "datapoints")),
+             partial(append_raw_charges, spark, batch.charges, p("raw", "charges")),
+             partial(write_layer, batch, root, "raw", DIMENSIONS))
+
+    # staging: dimensions rebuilt, facts take the load_date delta and upsert;
     # charges: the delta's ids entered raw only through the NOT IN filter, so
     # none of them is in staging yet (staging ids are earlier raw ids): the
     # delete+insert on datapoint_id deletes nothing and is an append
-    TB.append(S.stg_charges(staging_delta(spark, root, "charges"), load_date), p("staging", "charges"))
+    raw = RawTables(**{n: TB.read(spark, p("raw", n)) for n in RAW_NAMES})
+    together(partial(write_layer, stage(raw, load_date), root, "staging", DIMENSIONS),
+             partial(TB.upsert, S.stg_datapoints(staging_delta(spark, root, "datapoints"), load_date), p("staging", "datapoints"), "datapoint_id"),
+             partial(TB.append, S.stg_charges(staging_delta(spark, root, "charges"), load_date), p("staging", "charges")))
 
     # final: snapshot, recompute the affected days, upsert, snapshot
     mart_path, cov_path = TB.table_path(root, *MART_TABLE), TB.table_path(root, *COVERAGE_TABLE)
