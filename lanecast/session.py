@@ -100,6 +100,20 @@ class Folder:
         found = self.fs.listStatus(self.hadoop) if self.exists() else []
         return [n for n in (f.getPath().getName() for f in found) if not n.startswith(".")]
 
+    def files(self) -> list[str]:
+        """Files that this glob names, or that lie in a folder it names; hidden ones left out."""
+        found = self.fs.globStatus(self.hadoop) or []
+        inside = [f for s in found for f in (self.fs.listStatus(s.getPath()) if s.isDirectory() else [s])]
+        return sorted(f.getPath().toString() for f in inside if f.isFile() and not f.getPath().getName().startswith(("_", ".")))
+
+    def first_line(self) -> str:
+        stream = self.fs.open(self.hadoop)
+        try:
+            lines = self.spark._jvm.java.io.BufferedReader(self.spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            return lines.readLine() or ""
+        finally:
+            stream.close()
+
     def delete(self) -> None:
         if self.exists() and not self.fs.delete(self.hadoop, True):
             raise OSError(f"cannot delete {self.hadoop}")

@@ -12,11 +12,16 @@ name; ``logical_file`` maps both to the same name.
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lanecast import schemas
 from lanecast.functions.compat import as_date, file_stem, table_name_from_file
+from lanecast.session import Folder
 from lanecast.sources import tables as TB
 
 # File name prefix, the two load folders and the per-table globs.
@@ -33,8 +38,7 @@ FULL_ONLY = ("ports", "regions", "exchange_rates")
 
 # An unquoted empty field is NULL, a quoted "" is the empty string: the
 # sentinel nullValue keeps Spark from turning "" into NULL as well.
-# A header that does not name the schema's columns in order, or a value that
-# is not of its column's type, fails the scan.
+# A value that is not of its column's type fails the scan.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST",
                "enforceSchema": "false", "nullValue": "\u0000"}
 
@@ -51,18 +55,56 @@ def logical_file(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+\.csv)(/[^/]+)?$", 1)
 
 
+def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files under a glob by their header, names in lower case.  Of each
+    file the first line is read, several at a time; files without one are left out."""
+    def first_line(file: str) -> tuple[str, ...]:
+        line = Folder(spark, file).first_line().removeprefix("\ufeff")
+        return tuple(c.strip().lower() for c in next(csv.reader([line]), []))
+
+    files = Folder(spark, path).files()
+    found: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, names in zip(files, pool.map(first_line, files)):
+            if names:
+                found.setdefault(names, []).append(file)
+    return found
+
+
+def by_name(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The CSV files under a glob, columns found by the names in each file's
+    header: one scan for each distinct header.  Columns the schema does not
+    know come behind its own, as text, NULL where a file lacks them; a file
+    that lacks a column of the schema is an error."""
+    groups = headers(spark, path)
+    known = schema.fieldNames()
+    out = None
+    for names, files in sorted(groups.items()):
+        missing, repeated = [c for c in known if c not in names], len(set(names)) < len(names)
+        if missing or repeated:
+            raise ValueError(f"CSV header of {files[0]} {'repeats a name' if repeated else f'lacks {missing}'}")
+        kinds = T.StructType([schema[c] if c in known else T.StructField(c, T.StringType()) for c in names])
+        source = path if len(groups) == 1 else files
+        df = reader(spark, kinds).csv(source).select(*known, *[c for c in names if c not in known])
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out if out is not None else reader(spark, schema).csv(path)  # no file at all: Spark's own error
+
+
 def scan(spark: SparkSession, input_root: str, table: str, load_type: str, load_date,
          file_path: str | None = None) -> DataFrame:
     """One table from its glob, or from ``file_path`` (relative to the
-    input root), typed by the raw schema, with the audit columns."""
+    input root), typed by the raw schema, columns by header name, with the
+    audit columns; new source columns come last."""
     if load_date is None:
         raise ValueError("load_date must not be null")
     folder = LOAD_DIRS[load_type] if table not in FULL_ONLY else LOAD_DIRS["full"]
     rel = file_path or f"{folder}/{GLOBS[table]}"
-    df = reader(spark, schemas.RAW[table]).csv(f"{input_root.rstrip('/')}/{rel}")
+    df = by_name(spark, f"{input_root.rstrip('/')}/{rel}", schemas.RAW[table])
+    own = schemas.RAW[table].fieldNames()
     return (df.withColumn("file_path", F.lit(rel))
               .withColumn("load_type", F.lit(folder))
-              .withColumn("load_date", as_date(load_date)))
+              .withColumn("load_date", as_date(load_date))
+              .select(*own, *schemas.AUDIT.fieldNames(), *[c for c in df.columns if c not in own]))
 
 
 def file_inventory(spark: SparkSession, folder: str) -> DataFrame:

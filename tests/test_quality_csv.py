@@ -113,9 +113,10 @@ def test_csv_zoned_times_and_decimal_charges(spark):
 
 def test_csv_bad_input_is_an_error(spark):
     root = scratch_path(spark, "csvbad")
-    _file(root, "DE_casestudy_charges_1.csv", "CURRENCY,D_ID,CHARGE_VALUE\nUSD,9,1\n")
-    with pytest.raises(Exception, match="header|CSV"):
-        CSV.scan(spark, root, "charges", "full", "2025-01-01").collect()
+    for head in ("CURRENCY,D_ID,VALUE", "D_ID,CURRENCY", "D_ID,CURRENCY,CHARGE_VALUE,d_id"):
+        _file(root, "DE_casestudy_charges_1.csv", f"{head}\nUSD,9,1\n")
+        with pytest.raises(ValueError, match="CSV header"):
+            CSV.scan(spark, root, "charges", "full", "2025-01-01")
     _file(root, "DE_casestudy_charges_1.csv", "D_ID,CURRENCY,CHARGE_VALUE\nx,USD,1\n")
     with pytest.raises(Exception, match="[Mm]alformed"):
         CSV.scan(spark, root, "charges", "full", "2025-01-01").collect()
@@ -125,3 +126,25 @@ def test_csv_bad_input_is_an_error(spark):
         CSV.load_tables(spark, f"{root}/nowhere", root, "full", "2025-01-01")
     _file(root, "other.csv", "D_ID,CURRENCY,CHARGE_VALUE\n4,USD,1\n")
     assert CSV.scan(spark, root, "charges", "full", "2025-01-01", "full_load/other.csv").first().d_id == 4
+
+
+def test_csv_columns_are_found_by_name(spark):
+    """Files whose headers differ in order, and one with a new column, give the
+    rows of files in the schema's order; the new column reaches the raw table."""
+    from lanecast.plans import pipeline as P
+    from lanecast.sources import tables as TB
+    root = scratch_path(spark, "csvnames")
+    _file(root, "DE_casestudy_charges_1.csv", "D_ID,CURRENCY,CHARGE_VALUE\n1,USD,10\n2,\"\",20\n")
+    _file(root, "DE_casestudy_charges_2.csv", "\ufeffCharge_Value,D_ID,CURRENCY\n30,3,EUR\n")
+    _file(root, "DE_casestudy_charges_3.csv", "CURRENCY,NOTE,CHARGE_VALUE,D_ID\nNOK,\"a, b\",40,4\n,,50,5\n")
+    _file(root, "DE_casestudy_charges_4.csv", "")
+    df = CSV.scan(spark, root, "charges", "full", "2025-01-01")
+    assert df.columns == ["d_id", "currency", "charge_value", "file_path", "load_type", "load_date", "note"]
+    got = sorted((r.d_id, r.currency, r.charge_value, r.note) for r in df.collect())
+    assert got == [(1, "USD", 10.0, None), (2, "", 20.0, None), (3, "EUR", 30.0, None), (4, "NOK", 40.0, "a, b"), (5, None, 50.0, None)]
+    path = f"{root}/raw"
+    TB.overwrite(df.filter("d_id < 4").drop("note"), path)
+    P.append_raw_charges(spark, df, path)
+    assert sorted((r.d_id, r.note) for r in TB.read(spark, path).collect()) == [(1, None), (2, None), (3, None), (4, "a, b"), (5, None)]
+    with pytest.raises(Exception):
+        CSV.scan(spark, root, "charges", "full", "2025-01-01", "full_load/none.csv").collect()
