@@ -25,32 +25,33 @@ def coverage_changes(log: DataFrame) -> DataFrame:
     before count is 0 or NULL).  A 'before' without a later 'after' has no
     row; befores sharing one timestamp yield one row (larger count kept).
 
-    No pair enumeration: the next 'after' is found with an ordered window
-    inside each calendar month, and for befores with none left in their
-    month from the first 'after' of the next month that has one (a window
-    over one row per month)."""
+    No pair enumeration: one pass over each calendar month in descending time
+    carries the last 'after' it has seen (a running frame, linear in the month);
+    befores with none left in their month take the first 'after' of the next
+    month that has one, from a table of one row per month."""
     t = F.unix_micros(F.col("snapshot_ts").cast("timestamp"))
+    n = F.col("covered_lane_count")
     rows = log.select("snapshot_ts", "stage", "covered_lane_count",
                       t.alias("_t"), F.trunc("snapshot_ts", "month").alias("_m"))
-    after = F.when(F.col("stage") == "after",
-                   F.struct(F.col("_t"), F.col("snapshot_ts").alias("ts"),
-                            F.col("covered_lane_count").alias("n")))
-    later = Window.partitionBy("_m").orderBy("_t").rangeBetween(1, Window.unboundedFollowing)
-    rows = rows.withColumn("_next", F.min(after).over(later))
-
-    # first 'after' of each month, then carried back to earlier months
-    firsts = (rows.filter(F.col("stage") == "after").groupBy("_m")
-                  .agg(F.min(after).alias("_first")))
-    # one row per calendar month present in the log: a bounded, tiny window
-    by_month = Window.orderBy("_m").rowsBetween(1, Window.unboundedFollowing)
-    months = rows.select("_m").distinct().join(firsts, "_m", "left")
-    # the next 'after' strictly after month m = first 'after' of a later month
-    months = months.withColumn("_carry", F.first("_first", ignorenulls=True).over(by_month))
-
-    paired = (rows.filter(F.col("stage") == "before")
-                  .join(months.select("_m", "_carry"), "_m", "left")
-                  .withColumn("_a", F.coalesce("_next", "_carry"))
-                  .filter(F.col("_a").isNotNull()))
+    is_after = F.coalesce(F.col("stage") == "after", F.lit(False))
+    after = F.when(is_after, F.struct(F.col("_t"), F.col("snapshot_ts").alias("ts"), n.alias("n")))
+    # at one time befores come first, so they do not see its afters; of several
+    # afters at one time the smallest is seen last
+    later = (Window.partitionBy("_m").orderBy(F.col("_t").desc(), is_after, n.desc_nulls_last())
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    paired = rows.withColumn("_next", F.last(after, ignorenulls=True).over(later)).filter(F.col("stage") == "before")
+
+    # each month with an 'after' serves the months back to the one before it that has one
+    months = rows.groupBy("_m").agg(F.min(after).alias("_first"))
+    firsts = F.collect_list(F.when(F.col("_first").isNotNull(), F.struct("_m", "_first")))  # one entry a month
+    lists = months.agg(F.min("_m").alias("lo"), F.sort_array(firsts).alias("l"))
+    spans = lists.select("lo", F.posexplode("l").alias("i", "x"), F.transform("l", lambda x: x["_m"]).alias("ms")).select(
+        F.explode(F.sequence(F.coalesce(F.get("ms", F.col("i") - 1), F.least("lo", F.add_months("x._m", -1))),
+                             F.add_months("x._m", -1), F.expr("INTERVAL 1 MONTH"))).alias("_m"), "x._first")
+    paired = paired.join(spans, "_m", "left")
+    carried = F.col("_first")
+    paired = (paired.withColumn("_a", F.when(F.col("_next").isNotNull(), F.col("_next")).otherwise(carried))
+                    .filter(F.col("_a").isNotNull()))
     one = (paired.groupBy("snapshot_ts")
                  .agg(F.max_by("_a", "covered_lane_count").alias("_a"),
                       F.max("covered_lane_count").alias("before_count")))

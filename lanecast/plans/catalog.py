@@ -25,7 +25,8 @@ LANE = "concat(origin_port_name, ' to ', destination_port_name)"
 # Report parameters for the fixture tables (port and region
 # names of the fixture come from nation / region rows).
 ONE_LANE = ("NATION_0", "NATION_13")
-DEST_REGION = "AMERICA"
+DEST_REGION = "EUROPE"
+DEST_COUNTRY = "C3"
 
 
 def register(key: str, sql: str | None = None):
@@ -144,8 +145,8 @@ mart_report("data_coverage", D.data_coverage, O.with_mart(_D4.format(eq="equipme
 mart_report("data_coverage_eq1", D.data_coverage, O.with_mart(_D4.format(eq="equipment_id = 1")), equipment_id=1)
 mart_report("dq_failure_reason", D.dq_failure_reason, O.with_mart(
     "SELECT valid_day, origin_port_code, destination_port_code, equipment_id, "
-    "coalesce(if(distinct_companies_count < 5, 'Needs more companies', NULL), "
-    "if(distinct_suppliers_count < 2, 'Needs more suppliers', NULL), 'OK') AS dq_issue "
+    "CASE WHEN distinct_companies_count < 5 THEN 'Needs more companies' "
+    "WHEN distinct_suppliers_count < 2 THEN 'Needs more suppliers' ELSE 'OK' END AS dq_issue "
     f"FROM mart WHERE NOT dq_ok AND valid_day > DATE '{AFTER_DAY}'"), after=AFTER_DAY)
 mart_report("port_pair_series", D.port_pair_series, O.with_mart(
     "SELECT valid_day, avg_price_usd, median_price_usd FROM mart "
@@ -177,9 +178,9 @@ mart_report("most_expensive_lanes", D.most_expensive_lanes, O.with_mart(
     start=RANGE_C[0], end=RANGE_C[1])
 mart_report("country_lanes", D.country_lanes, O.with_mart(
     "SELECT valid_day, origin_country_code, origin_port_code, equipment_id, avg_price_usd FROM mart "
-    f"WHERE destination_country_code LIKE 'C1' AND dq_ok = TRUE "
+    f"WHERE destination_country_code LIKE '{DEST_COUNTRY}' AND dq_ok = TRUE "
     f"AND valid_day BETWEEN '{RANGE_D[0]}' AND '{RANGE_D[1]}'"),
-    destination_country="C1", start=RANGE_D[0], end=RANGE_D[1])
+    destination_country=DEST_COUNTRY, start=RANGE_D[0], end=RANGE_D[1])
 
 
 def staged_report(key: str, fn, table: str, sql: str):

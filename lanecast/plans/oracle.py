@@ -39,8 +39,9 @@ base_dp AS (
          CAST(CASE WHEN o_orderkey % 97 = 0 THEN 99 WHEN o_orderkey % 4 = 1 THEN o_orderkey % 12 + 13
                    ELSE o_orderkey % 2 + 13 END AS BIGINT) AS destination_pid,
          CAST(o_orderdate AS DATE) AS valid_from,
-         CAST(CAST(o_orderdate AS DATE)
-              + CAST(CASE WHEN o_orderkey % 50 = 0 THEN -1 ELSE (o_orderkey * 7) % 60 END AS INTEGER) AS DATE) AS valid_to,
+         least(CAST(CAST(o_orderdate AS DATE)
+                    + CAST(CASE WHEN o_orderkey % 50 = 0 THEN -1 ELSE (o_orderkey * 7) % 60 END AS INTEGER) AS DATE),
+               DATE '{fx.LAST_DAY}') AS valid_to,
          o_custkey AS company_id, CAST(o_orderkey % 4 AS BIGINT) AS supplier_id,
          CAST(if(o_orderkey % 5 = 0, 1 + (o_orderkey // 5) % 6, 1 + o_orderkey % 2) AS BIGINT) AS equipment_id
   FROM orders
@@ -130,7 +131,7 @@ def mart_ctes(name: str = "mart", dp: str = "stg_datapoints", ch: str = "stg_cha
   SELECT g.valid_day, g.equipment_id, concat(a.name, ' to ', z.name) AS port_lane, {side('a', 'origin')},
          {side('z', 'destination')}, round(g.mean, 2) AS avg_price_usd, round(g.middle, 2) AS median_price_usd,
          g.companies AS distinct_companies_count, g.suppliers AS distinct_suppliers_count,
-         least(g.companies / 5, g.suppliers / 2) >= 1 AS dq_ok, g.created, DATE '{load_date}' AS load_date
+         g.companies >= 5 AND g.suppliers >= 2 AS dq_ok, g.created, DATE '{load_date}' AS load_date
   FROM (SELECT valid_day, equipment_id, origin_port_id AS o, destination_port_id AS t,
                avg(total_usd_price) AS mean, quantile_cont(total_usd_price, 0.5) AS middle,
                count(DISTINCT company_id) AS companies, count(DISTINCT supplier_id) AS suppliers,
