@@ -2,20 +2,24 @@
 
 Words and one end form a document's tokens.  The corpus counts of all training
 tokens give a base model: (c + 1) / (N + V + 1) for a token seen c times, one
-unseen type included.  The hidden Markov model keeps the base model's
-distribution inside a class of words and learns which class follows from which
-latent state: P(w | s) = E[s, class(w)] * (c(w) + 1) / sum of (c + 1) over the class.
-The `top_words` most frequent words are classes of their own, the others share
-`tail_classes` classes by their last two characters; unseen words have the
-base model's probability in every state.  So the trained tables have a fixed
-size, while the counts grow with the corpus and stay distributed.
+unseen type included.  The hidden Markov model gives every word of the training
+text an emission of its own in every latent state s, from the expected count
+E(w, s) of Baum-Welch and the state's share q(s) of all tokens:
+
+    P(w | s) = (1 - u) (E(w, s) + prior q(s)) / (sum of E(., s) + prior q(s) V)
+
+A word that s has not emitted is as likely there as a rare word of the corpus,
+so rare words are smoothed and frequent ones are not; an unseen word has the
+base model's u = 1 / (N + V + 1) in every state.  The table of E grows with the
+vocabulary and is never in one place: it is stored by word and joined to the
+words of each chunk, as the counts c are.
 
 Steps: (1) tasks cut their documents into chunks of a bounded number of tokens,
-each with its own word list; (2) the words of all chunks are shuffled by word,
-counted, and sent back to their chunks, which turn tokens into classes;
-(3) Baum-Welch: each chunk runs the scaled forward and backward recursions and
-gives expected counts, which are summed across partitions; (4) the scaled
-forward recursion gives the exact log likelihood of every document.
+each with its own word list; (2) the words of all chunks are counted, numbered
+and sent back to their chunks; (3) Baum-Welch: each chunk meets the emissions of
+its words, runs the scaled forward and backward recursions and gives expected
+counts, which are summed by word across partitions; (4) the scaled forward
+recursion gives the exact log likelihood of every document.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanecast.llm.common import LOWER_AZ, arrow_schema, as_array, map_batches, stored, text_of
@@ -37,22 +41,20 @@ END = "\n"  # the end; white space is never a word
 
 CHUNKS = ("chunk bigint, ids array<bigint>, held array<boolean>, lengths array<int>, tokens binary, "
           "words array<string>, counts array<bigint>")
-CLASSED = ("chunk bigint, ids array<bigint>, held array<boolean>, lengths array<int>, classes binary, "
-           "known array<bigint>, base array<double>, within array<double>")
+CORPUS = ("chunk bigint, ids array<bigint>, held array<boolean>, lengths array<int>, tokens binary, "
+          "known array<bigint>, base array<double>, wids array<bigint>, counts array<bigint>")
 
 
 @dataclass(frozen=True)
 class Model:
-    """Latent states, classes, full Baum-Welch rounds over all training text,
-    weight of the base model in the estimates, tokens of a chunk (about).
+    """Latent states, Baum-Welch rounds over all training text, pseudo
+    occurrences of a word in the estimates, tokens of a chunk (about).
     The first estimate comes from `start_docs` windows of at most `start_tokens`
     tokens of training documents of any length (the smallest hashes)."""
 
     states: int = 6
-    top_words: int = 4096
-    tail_classes: int = 1024
     rounds: int = 2
-    prior: float = 200.0
+    prior: float = 1.0
     chunk_tokens: int = 4_000_000
     start_docs: int = 256
     start_tokens: int = 1000
@@ -103,89 +105,89 @@ def chunks(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFra
 
 @dataclass
 class Base:
-    """Base model: training tokens, distinct ones, and sum of (c + 1) by class."""
+    """Base model: training tokens and distinct ones."""
 
     tokens: int
     types: int
-    mass: np.ndarray
 
     @property
     def total(self) -> float:
         return float(self.tokens + self.types + 1)
 
-    @property
-    def share(self) -> np.ndarray:
-        """Base probability of each class; the last class is the unseen type."""
-        return np.append(self.mass[:-1], 1.0) / self.total
-
 
-def counted(cut: DataFrame, model: Model) -> tuple[DataFrame, Base]:
-    """chunk, idx, c, class of every word of every chunk; the base model."""
+def counted(cut: DataFrame) -> tuple[DataFrame, Base]:
+    """chunk, idx, wid (a number of the word), c of every word of every chunk;
+    the base model.  Counts are pre-aggregated; a word is one row per chunk in
+    the join that brings them back, which Spark may split."""
     words = cut.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("idx", "x")).select(
         "chunk", "idx", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
-    same = Window.partitionBy("word")
-    w = stored(words.select("chunk", "idx", "word", F.sum("n").over(same).alias("c"),
-                            (F.row_number().over(same.orderBy("chunk")) == 1).alias("first")), "hmm")
-    seen = w.filter("first and c > 0")
-    top = seen.select("word", "c").orderBy(F.desc("c"), "word").limit(model.top_words).collect()
-    spark = cut.sparkSession
-    ranks = spark.createDataFrame([(r.word, i) for i, r in enumerate(top)], "word string, rank int")
-    tail = model.top_words + F.pmod(F.crc32(F.substring("word", -2, 2)), F.lit(model.tail_classes)).cast("int")
-    unseen = model.top_words + model.tail_classes
-    w = w.join(F.broadcast(ranks), "word", "left").withColumn(  # at most top_words rows
-        "class", F.when(F.col("c") == 0, unseen).otherwise(F.coalesce("rank", tail)))
-    mass = np.zeros(unseen + 1)
-    tokens = types = 0
-    for r in w.filter("first and c > 0").groupBy("class").agg(F.sum("c").alias("n"), F.count("c").alias("v")).collect():
-        mass[r["class"]] = r.n + r.v
-        tokens, types = tokens + r.n, types + r.v
-    return w.select("chunk", "idx", "c", "class"), Base(tokens, types, mass)
-
-
-def classed(cut: DataFrame, words: DataFrame, base: Base) -> DataFrame:
-    """Chunks with the class of each token and, by document, the tokens known,
-    the base score and the part of the score that no state changes."""
-    shipped = cut.sparkSession.sparkContext.broadcast(base)
-    schema = arrow_schema(CLASSED)
+    vocabulary = stored(words.groupBy("word").agg(F.sum("n").alias("c")).withColumn("wid", F.monotonically_increasing_id()), "hmm", "words")
+    base = vocabulary.filter("c > 0").agg(F.sum("c").alias("n"), F.count("c").alias("v")).first()
+    return (stored(words.drop("n").join(vocabulary, "word").select("chunk", "idx", "wid", "c"), "hmm", "uses"),
+            Base(base["n"] or 0, base["v"]))
+
+
+def numbered(cut: DataFrame, uses: DataFrame, base: Base) -> DataFrame:
+    """Chunks with the number and count of each of their words and, by
+    document, the tokens known and the base score."""
+    total, schema = base.total, arrow_schema(CORPUS)
 
     def run(c: pa.Table, w: pa.Table) -> pa.Table:
-        b, out = shipped.value, {f: [] for f in ("chunk", "ids", "held", "lengths", "classes", "known", "base", "within")}
+        out = {f.name: [] for f in schema}
         idx = w["idx"].to_numpy()
-        count, kind = np.zeros(len(idx), np.int64), np.zeros(len(idx), np.int64)
-        count[idx], kind[idx] = w["c"].to_numpy(), w["class"].to_numpy()
-        log_count = np.log10(count + 1.0)
-        with np.errstate(divide="ignore"):
-            inside = np.where(count > 0, log_count - np.log10(b.mass)[kind], 0.0)
+        count, wid = np.zeros(len(idx), np.int64), np.zeros(len(idx), np.int64)
+        count[idx], wid[idx] = w["c"].to_numpy(), w["wid"].to_numpy()
+        log_base = np.log10(count + 1.0) - np.log10(total)
         for row in c.to_pylist():
-            tokens = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), "<i4")
-            at = np.concatenate(([0], np.cumsum(row["lengths"])[:-1])).astype(int)
-            out["classes"].append(kind[tokens].astype("<u2").tobytes())
+            tokens, at = unpacked(row["tokens"]), begins(row["lengths"])
             out["known"].append(np.add.reduceat((count > 0).astype(np.int64)[tokens], at))
-            out["base"].append(np.add.reduceat(log_count[tokens] - np.log10(b.total), at))
-            out["within"].append(np.add.reduceat(inside[tokens], at))
-            for f in ("chunk", "ids", "held", "lengths"):
+            out["base"].append(np.add.reduceat(log_base[tokens], at))
+            out["wids"].append(wid)
+            out["counts"].append(count)
+            for f in ("chunk", "ids", "held", "lengths", "tokens"):
                 out[f].append(row[f])
         return pa.table([as_array(out[f.name], f.type) for f in schema], schema=schema)
 
     return (cut.select("chunk", "ids", "held", "lengths", "tokens").groupBy("chunk")
-            .cogroup(words.groupBy("chunk")).applyInArrow(run, CLASSED))
+            .cogroup(uses.groupBy("chunk")).applyInArrow(run, CORPUS))
 
 
-class HMM:
-    """Start, transition and class emission probabilities."""
+def unpacked(tokens: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(tokens), "<i4")
 
-    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
-        self.start, self.move, self.emit = start, move, emit
+
+def begins(lengths) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(int)
+
+
+@dataclass
+class Params:
+    """What all words share: start and transition probabilities, the expected
+    tokens of each state, the base model and the prior."""
+
+    start: np.ndarray
+    move: np.ndarray
+    totals: np.ndarray
+    base: Base
+    prior: float
 
     @classmethod
-    def estimate(cls, counts: tuple, base: Base, prior: float) -> HMM:
-        start, move, emit = counts
-        k = len(start)
-        share = base.share
-        e = emit[:, :-1] + prior * share[:-1] / max(share[:-1].sum(), 1e-300)
-        e = e / np.maximum(e.sum(axis=1, keepdims=True), 1e-300) * (1 - share[-1])
-        return cls((start + 1) / (start + 1).sum(), (move + 1) / (move + 1).sum(axis=1, keepdims=True),
-                   np.hstack([e, np.full((k, 1), share[-1])]))
+    def estimate(cls, start: np.ndarray, move: np.ndarray, totals: np.ndarray, base: Base, prior: float) -> Params:
+        return cls((start + 1) / (start + 1).sum(), (move + 1) / (move + 1).sum(axis=1, keepdims=True), totals, base, prior)
+
+    def emissions(self, expected: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """P(w | s) of words (rows) with their expected counts by state."""
+        unseen = 1 / self.base.total
+        weight = self.prior * (self.totals + 1) / (self.totals + 1).sum()
+        seen = (1 - unseen) * (expected + weight) / np.maximum(self.totals + weight * self.base.types, 1e-300)
+        return np.where(counts[:, None] > 0, seen, unseen)
+
+
+class HMM:
+    """Start, transition and emission probabilities, the latter by word (rows)."""
+
+    def __init__(self, params: Params, emit: np.ndarray):
+        self.start, self.move, self.emit = params.start, params.move, np.ascontiguousarray(emit)
 
     def layout(self, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Longest sequence first; sequences alive at each step; where steps begin."""
@@ -195,13 +197,12 @@ class HMM:
         return order, alive, np.concatenate(([0], np.cumsum(alive)))
 
     def log_likelihood(self, seq: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """log10 likelihood of the classes of each sequence (laid end to end)."""
+        """log10 likelihood of the tokens of each sequence (laid end to end)."""
         order, alive, _ = self.layout(lengths)
-        begin = (np.cumsum(lengths) - lengths)[order]
-        emit, total = np.ascontiguousarray(self.emit.T), np.zeros(len(lengths))
+        begin, total = (np.cumsum(lengths) - lengths)[order], np.zeros(len(lengths))
         a = np.broadcast_to(self.start, (len(lengths), len(self.start)))
         for t, n in enumerate(alive):
-            a = (a[:n] if t == 0 else a[:n] @ self.move) * emit[seq[begin[:n] + t]]
+            a = (a[:n] if t == 0 else a[:n] @ self.move) * self.emit[seq[begin[:n] + t]]
             scale = a.sum(axis=1)
             a /= scale[:, None]
             total[:n] += np.log10(scale)
@@ -210,14 +211,13 @@ class HMM:
         return out
 
     def expected(self, seq: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected starts, moves and emissions by the forward and backward recursions."""
-        k, g = self.emit.shape
+        """Expected starts, moves and emissions (words x states) by the forward and backward recursions."""
+        g, k = self.emit.shape
         order, alive, at = self.layout(lengths)
         begin = (np.cumsum(lengths) - lengths)[order]
-        emit = np.ascontiguousarray(self.emit.T.astype(np.float32))
-        move = self.move.astype(np.float32)
+        emit, move = self.emit.astype(np.float32), self.move.astype(np.float32)
         alpha = np.empty((at[-1], k), dtype=np.float32)   # by step, then by sequence
-        sym = np.empty(at[-1], dtype=np.uint16)
+        sym = np.empty(at[-1], dtype=np.int32)
         scale = np.empty(at[-1], dtype=np.float32)
         a = np.broadcast_to(self.start.astype(np.float32), (len(lengths), k))
         for t, n in enumerate(alive):
@@ -240,77 +240,123 @@ class HMM:
             beta = np.ones((n, k), dtype=np.float32) if len(before) < n else before
             beta[:len(before)] = before
             alpha[lo:hi] *= beta                           # now the posterior of the state
-        emits = np.stack([np.bincount(sym, weights=alpha[:, s], minlength=g) for s in range(k)])
+        emits = np.stack([np.bincount(sym, weights=alpha[:, s], minlength=g) for s in range(k)], axis=1)
         return alpha[:len(lengths)].sum(axis=0, dtype=float) if len(alpha) else np.zeros(k), moves * self.move, emits
 
 
-def start_model(rows: list[bytes], base: Base, model: Model) -> HMM:
-    """Windows clustered by their classes, then Baum-Welch on them alone; without
-    any, random emissions, as Baum-Welch never parts states that are equal."""
-    k, g = model.states, len(base.mass)
-    rng = np.random.default_rng(0)
-    seqs = [np.frombuffer(c, "<u2") for c in rows]
-    if not seqs:
-        return HMM.estimate((np.zeros(k), np.zeros((k, k)), rng.gamma(0.5, size=(k, g)) * base.mass), base, model.prior)
-    counts = np.stack([np.bincount(s, minlength=g) for s in seqs]).astype(float)
-    post = rng.dirichlet(np.full(k, 0.5), len(seqs))
+def start_model(rows: list[tuple], base: Base, model: Model) -> tuple[Params, np.ndarray, np.ndarray]:
+    """From windows (word numbers, counts): parameters, the words and their
+    expected counts.  Windows are clustered by their words, then Baum-Welch runs on
+    them alone.  Without windows no word has a count in any state."""
+    k, rng = model.states, np.random.default_rng(0)
+    if not rows:
+        return Params.estimate(np.zeros(k), rng.gamma(0.5, size=(k, k)), np.zeros(k), base, model.prior), np.zeros(0, np.int64), np.zeros((0, k))
+    lengths = np.array([len(w) for w, _ in rows])
+    wids, at, seq = np.unique(np.concatenate([w for w, _ in rows]), return_index=True, return_inverse=True)
+    counts = np.concatenate([c for _, c in rows])[at]
+    window = np.repeat(np.arange(len(rows)), lengths)
+    post = rng.dirichlet(np.full(k, 0.5), len(rows))
+
+    def estimated(start, move, expected):
+        p = Params.estimate(start, move, expected.sum(axis=0), base, model.prior)
+        return p, HMM(p, p.emissions(expected, counts))
+
     for _ in range(model.start_rounds):
-        e = HMM.estimate((post.sum(axis=0), np.eye(k), post.T @ counts), base, model.prior).emit
-        z = counts @ np.log(np.maximum(e, 1e-300)).T + np.log(post.mean(axis=0) + 1e-9)
+        expected = np.stack([np.bincount(seq, post[window, s], len(wids)) for s in range(k)], axis=1)
+        _, h = estimated(post.sum(axis=0), np.eye(k), expected)
+        log = np.log(h.emit)
+        z = np.stack([np.bincount(window, log[seq, s], len(rows)) for s in range(k)], axis=1) + np.log(post.mean(axis=0) + 1e-9)
         post = np.exp((z - z.max(axis=1, keepdims=True)) / 10)  # softened: long texts decide too early
         post /= post.sum(axis=1, keepdims=True)
-    h = HMM.estimate((post.sum(axis=0), np.eye(k) * 200 + 1, post.T @ counts), base, model.prior)
-    seq, lengths = np.concatenate(seqs), np.array([len(s) for s in seqs])
+    expected = np.stack([np.bincount(seq, post[window, s], len(wids)) for s in range(k)], axis=1)
+    p, h = estimated(post.sum(axis=0), np.eye(k) * 200 + 1, expected)
     for _ in range(model.start_rounds):
-        h = HMM.estimate(h.expected(seq, lengths), base, model.prior)
-    return h
+        start, move, expected = h.expected(seq, lengths)
+        p, h = estimated(start, move, expected)
+    return p, wids, expected
 
 
-def train(corpus: DataFrame, base: Base, model: Model) -> HMM:
-    """Baum-Welch: expected counts of all training text, summed across partitions."""
-    spark, size = corpus.sparkSession, model.start_tokens
+def sampled(corpus: DataFrame, model: Model) -> list[tuple]:
+    """Words and counts of the windows the first estimate is made of."""
+    size = model.start_tokens
     there = corpus.select(F.explode(F.arrays_zip("held", "lengths")).alias("d")).filter(~F.col("d.held"))
     windows = there.agg(F.sum(F.ceil(F.col("d.lengths") / size))).first()[0] or 0
     share = min(1.0, 4 * model.start_docs / max(1, int(windows)))
 
     def some(b: pa.RecordBatch) -> dict:
-        out: dict = {"hash": [], "classes": []}
+        out: dict = {"hash": [], "w": [], "c": []}
         for row in b.to_pylist():
-            at = np.cumsum([0, *row["lengths"]])
+            tokens, at = unpacked(row["tokens"]), np.cumsum([0, *row["lengths"]])
+            wids, counts = np.array(row["wids"]), np.array(row["counts"])
             for i in np.flatnonzero(~np.array(row["held"], dtype=bool)):
                 for j in range(at[i], at[i + 1], size):
-                    win = row["classes"][2 * j:2 * min(j + size, at[i + 1])]
-                    key = hashlib.blake2b(f"{row['ids'][i]}:{j - at[i]}:".encode() + win, digest_size=8).digest()
+                    win = tokens[j:min(j + size, at[i + 1])]
+                    key = hashlib.blake2b(f"{row['ids'][i]}:{j - at[i]}:".encode() + counts[win].tobytes(), digest_size=8).digest()
                     n = int.from_bytes(key, "little") >> 1
                     if n < share * 2**63:
                         out["hash"].append(n)
-                        out["classes"].append(win)
+                        out["w"].append(wids[win])
+                        out["c"].append(counts[win])
         return out
 
-    first = (map_batches(corpus.select("ids", "held", "lengths", "classes"), some, "hash bigint, classes binary")
-             .orderBy("hash", "classes").limit(model.start_docs).collect())
-    h = start_model([bytes(r.classes) for r in first], base, model)
-    k, g = h.emit.shape
+    got = (map_batches(corpus.select("ids", "held", "lengths", "tokens", "wids", "counts"), some, "hash bigint, w array<bigint>, c array<bigint>")
+           .orderBy("hash", "w").limit(model.start_docs).collect())
+    return [(np.array(r.w), np.array(r.c)) for r in got]
+
+
+def each_chunk(corpus: DataFrame, emitted: DataFrame, params: Params, fn, schema: str) -> DataFrame:
+    """fn(row of the corpus, its HMM) -> columns, for every chunk once the
+    expected counts of its words have been brought to it."""
+    shipped, k = corpus.sparkSession.sparkContext.broadcast(params), len(params.start)
+    kinds = arrow_schema(schema)
+    at = [f"e{s}" for s in range(k)]
+    uses = corpus.select(F.col("chunk").alias("of"), F.posexplode("wids").alias("idx", "wid")).join(emitted, "wid").select("of", "idx", *at)
+
+    def run(c: pa.Table, w: pa.Table) -> pa.Table:
+        out = []
+        for row in c.to_pylist():
+            expected = np.zeros((len(row["wids"]), k))
+            if w.num_rows:
+                expected[w["idx"].to_numpy()] = np.stack([w[f].to_numpy() for f in at], axis=1)
+            h = HMM(shipped.value, shipped.value.emissions(expected, np.array(row["counts"])))
+            cols = fn(row, h)
+            out.append(pa.table([as_array(cols[f.name], f.type) for f in kinds], schema=kinds))
+        return pa.concat_tables(out) if out else kinds.empty_table()
+
+    return corpus.groupBy("chunk").cogroup(uses.groupBy("of")).applyInArrow(run, schema)
+
+
+def train(corpus: DataFrame, base: Base, model: Model) -> tuple[Params, DataFrame]:
+    """Baum-Welch over all training text: the parameters, and the expected
+    counts by word (wid, e0, e1, ...), summed across partitions."""
+    spark, k = corpus.sparkSession, model.states
+    names = [f"e{s}" for s in range(k)]
+    schema = "wid bigint, " + ", ".join(f"{c} float" for c in names)
+    params, wids, expected = start_model(sampled(corpus, model), base, model)
+    first = pa.table([wids, *expected.astype(np.float32).T], names=["wid", *names])  # the words of a bounded sample
+    emitted = stored(spark.createDataFrame(first.to_pandas(), schema), "hmm", "emitted")
+
+    def counts(row: dict, h: HMM) -> dict:
+        lengths, keep = np.array(row["lengths"]), ~np.array(row["held"])
+        seq = unpacked(row["tokens"])[np.repeat(keep, lengths)]
+        if not len(seq):
+            return {c: [] for c in ("wid", *names)}
+        start, move, emits = h.expected(seq, lengths[keep])
+        some = np.flatnonzero(emits.any(axis=1))
+        n = np.vstack([start, move, emits[some]])
+        # starts and moves travel as words of negative numbers
+        return {"wid": np.concatenate([-1 - np.arange(k + 1), np.array(row["wids"])[some]])} | {c: n[:, s] for s, c in enumerate(names)}
+
     for _ in range(model.rounds):
-        shipped = spark.sparkContext.broadcast(h)
-
-        def counts(b: pa.RecordBatch) -> dict:
-            total = np.zeros(k + k * k + k * g)
-            for row in b.to_pylist():
-                lengths, keep = np.array(row["lengths"]), ~np.array(row["held"])
-                seq = np.frombuffer(row["classes"], "<u2")[np.repeat(keep, lengths)]
-                if len(seq):
-                    total += np.concatenate([x.ravel() for x in shipped.value.expected(seq, lengths[keep])])
-            some = np.flatnonzero(total)
-            return {"at": some, "n": total[some]}
-
-        got = (map_batches(corpus.select("held", "lengths", "classes"), counts, "at int, n double")
-               .groupBy("at").agg(F.sum("n").alias("n")).collect())  # at most k + k*k + k*g rows
-        total = np.zeros(k + k * k + k * g)
-        for r in got:
-            total[r["at"]] = r["n"]
-        h = HMM.estimate((total[:k], total[k:k + k * k].reshape(k, k), total[k + k * k:].reshape(k, g)), base, model.prior)
-    return h
+        made = each_chunk(corpus, emitted, params, counts, schema.replace("float", "double"))
+        emitted = stored(made.groupBy("wid").agg(*[F.sum(c).cast("float").alias(c) for c in names]), "hmm", "emitted")
+        shared = {r["wid"]: np.array([r[c] for c in names]) for r in emitted.filter("wid < 0").collect()}  # states + 1 rows
+        emitted = emitted.filter("wid >= 0")
+        sums = emitted.agg(*[F.sum(F.col(c).cast("double")).alias(c) for c in names]).first()
+        zero = np.zeros(k)
+        params = Params.estimate(shared.get(-1, zero), np.stack([shared.get(-2 - s, zero) for s in range(k)]),
+                                 np.array([sums[c] or 0.0 for c in names]), base, model.prior)
+    return params, emitted
 
 
 SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
@@ -325,24 +371,16 @@ def scores(docs: DataFrame, model: Model = Model(), id_col: str = "doc_id", text
     empty string); an empty table gives no rows; without training text every
     score is 0; other columns are not looked at.  Ids are integers.
     """
-    cut = stored(chunks(docs, model, id_col, text_col), "hmm")
-    words, base = counted(cut, model)
-    corpus = stored(classed(cut, words, base), "hmm")
-    shipped = docs.sparkSession.sparkContext.broadcast(train(corpus, base, model))
+    cut = stored(chunks(docs, model, id_col, text_col), "hmm", "cut")
+    uses, base = counted(cut)
+    corpus = stored(numbered(cut, uses, base), "hmm", "corpus")
+    params, emitted = train(corpus, base, model)
     trained = base.tokens
 
-    def run(b: pa.RecordBatch) -> dict:
-        out: dict = {f.split()[0]: [] for f in SCORES.split(", ")}
-        for row in b.to_pylist():
-            lengths = np.array(row["lengths"])
-            states = shipped.value.log_likelihood(np.frombuffer(row["classes"], "<u2"), lengths)
-            out["doc_id"] += row["ids"]
-            out["held_out"] += row["held"]
-            out["n_tokens"] += row["lengths"]
-            out["n_known"] += row["known"]
-            out["train_tokens"] += [trained] * len(lengths)
-            out["base_score"] += row["base"]
-            out["score"] += (states + np.array(row["within"])).tolist()
-        return out
+    def scored(row: dict, h: HMM) -> dict:
+        lengths = np.array(row["lengths"])
+        return {"doc_id": row["ids"], "held_out": row["held"], "n_tokens": row["lengths"], "n_known": row["known"],
+                "train_tokens": [trained] * len(lengths), "base_score": row["base"],
+                "score": h.log_likelihood(unpacked(row["tokens"]), lengths)}
 
-    return map_batches(corpus, run, SCORES).withColumnRenamed("doc_id", id_col)
+    return each_chunk(corpus, emitted, params, scored, SCORES).withColumnRenamed("doc_id", id_col)

@@ -61,12 +61,13 @@ def test_warc_damage_is_an_error():
 def test_forward_is_exact_and_expected_counts_match():
     rng = np.random.default_rng(0)
     k, g = 3, 4
-    h = hmm.HMM(rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), k), rng.dirichlet(np.ones(g), k))
+    params = hmm.Params(rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), k), np.ones(k), hmm.Base(1, 1), 1.0)
+    h = hmm.HMM(params, rng.dirichlet(np.ones(g), k).T)
     seqs = [[1, 0, 2, 3, 3], [2], [0, 1], [3, 2, 1]]
     lengths, flat = np.array([len(s) for s in seqs]), np.concatenate(seqs).astype(np.uint16)
-    starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros((k, g))
+    starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros((g, k))
     for s, log in zip(seqs, h.log_likelihood(flat, lengths)):
-        paths = {p: h.start[p[0]] * math.prod(h.move[a, b] for a, b in zip(p, p[1:])) * math.prod(h.emit[a, x] for a, x in zip(p, s))
+        paths = {p: h.start[p[0]] * math.prod(h.move[a, b] for a, b in zip(p, p[1:])) * math.prod(h.emit[x, a] for a, x in zip(p, s))
                  for p in itertools.product(range(k), repeat=len(s))}
         total = sum(paths.values())
         assert math.isclose(log, math.log10(total), rel_tol=1e-9)
@@ -75,15 +76,54 @@ def test_forward_is_exact_and_expected_counts_match():
             for a, b in zip(p, p[1:]):
                 moves[a, b] += n / total
             for a, x in zip(p, s):
-                emits[a, x] += n / total
+                emits[x, a] += n / total
     for mine, want in zip(h.expected(flat, lengths), (starts, moves, emits)):
         assert np.allclose(mine, want, atol=1e-4)
 
 
 def test_model_is_a_distribution():
-    base = hmm.Base(90, 9, np.array([60.0, 39.0, 0.0]))
-    h = hmm.HMM.estimate((np.ones(2), np.ones((2, 2)), np.array([[5.0, 1, 0], [0, 7, 0]])), base, 10.0)
-    assert np.allclose(h.emit.sum(axis=1), 1) and np.allclose(h.move.sum(axis=1), 1) and np.allclose(h.emit[:, -1], 1 / 100)
+    """All words of the training text and the unseen type, in every state."""
+    expected, base = np.random.default_rng(2).gamma(0.3, 20, size=(9, 2)), hmm.Base(90, 9)
+    p = hmm.Params.estimate(np.ones(2), np.ones((2, 2)), expected.sum(axis=0), base, 1.5)
+    emit = p.emissions(expected, np.full(9, 10))
+    assert np.allclose(emit.sum(axis=0) + 1 / base.total, 1) and np.allclose(p.move.sum(axis=1), 1)
+    assert (p.emissions(expected, np.zeros(9)) == 1 / base.total).all()
+
+
+def test_every_word_has_its_own_emissions(spark):
+    """A corpus of over 20,000 words: expected counts of each word add up to its
+    count, and the scores are those of a forward recursion over plain dicts."""
+    rng = random.Random(6)
+    words = [[f"{v}{i}" for i in range(8000)] for v in "abc"]
+    rows = [(i, " ".join(rng.choice(words[i % 3]) for _ in range(150))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    model = hmm.Model(states=3, chunk_tokens=7000, rounds=2)
+    cut = hmm.stored(hmm.chunks(docs, model, "doc_id", "text"), "hmm")
+    uses, base = hmm.counted(cut)
+    corpus = hmm.stored(hmm.numbered(cut, uses, base), "hmm")
+    params, emitted = hmm.train(corpus, base, model)
+    names = {r.wid: (r.word, r.c) for r in cut.select(F.explode("words").alias("word"), "chunk").distinct().join(
+        uses.join(cut.select("chunk", F.posexplode("words").alias("idx", "word")), ["chunk", "idx"]), ["chunk", "word"]).collect()}
+    e = {names[r.wid][0]: np.array([r.e0, r.e1, r.e2]) for r in emitted.collect()}
+    count = {w: c for w, c in names.values()}
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 7 == 2}
+    assert count == Counter({w: 0 for w in count}) + Counter(w for i, t in rows if i not in held for w in [*t.split(), hmm.END]) | {w: 0 for w in count if not count[w]}
+    assert len(e) > 15_000 and all(abs(e[w].sum() - c) < 1e-2 * max(1, c) for w, c in count.items() if c)
+    q = (params.totals + 1) / (params.totals + 1).sum()
+
+    def emission(w):
+        if not count[w]:
+            return np.full(3, 1 / base.total)
+        return (1 - 1 / base.total) * (e[w] + q) / (params.totals + q * base.types)
+    got = {r.doc_id: r for r in hmm.scores(docs, model).collect()}
+    for i, t in rows[::25]:
+        a, total = params.start, 0.0
+        for j, w in enumerate([*t.split(), hmm.END]):
+            a = (a if j == 0 else a @ params.move) * emission(w)
+            total += math.log10(a.sum())
+            a = a / a.sum()
+        assert math.isclose(got[i].score, total, rel_tol=1e-5)
+    assert all(got[i].score > got[i].base_score + 20 for i in held)  # the vocabularies are told apart
 
 
 def test_scores(spark, odd, odd_rows, none):
@@ -122,9 +162,10 @@ def test_long_documents_train_states(spark):
 
 
 def test_start_without_sample_has_unequal_states():
-    base = hmm.Base(90, 9, np.array([60.0, 39.0, 0.0]))
-    h = hmm.start_model([], base, hmm.Model(states=3))
-    assert np.abs(h.emit[0] - h.emit[1]).max() > 1e-3 and np.allclose(h.emit.sum(axis=1), 1)
+    params, wids, expected = hmm.start_model([], hmm.Base(90, 9), hmm.Model(states=3))
+    assert len(wids) == 0 and expected.shape == (0, 3)
+    assert len({tuple(r.round(6)) for r in params.move}) == 3
+    assert np.allclose(params.emissions(np.zeros((2, 3)), np.array([4, 0])).sum(axis=1), [3 * 0.99 / 9, 0.03])
 
 
 def brute_top(rows, k, every):
