@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanecast.llm.common import LOWER_AZ, arrow_schema, as_array, map_batches, stored, text_of
+from lanecast.session import Folder
 
 END = "\n"  # the end; white space is never a word
 
@@ -123,8 +124,9 @@ def counted(cut: DataFrame) -> tuple[DataFrame, Base]:
         "chunk", "idx", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
     vocabulary = stored(words.groupBy("word").agg(F.sum("n").alias("c")).withColumn("wid", F.monotonically_increasing_id()), "hmm", "words")
     base = vocabulary.filter("c > 0").agg(F.sum("c").alias("n"), F.count("c").alias("v")).first()
-    return (stored(words.drop("n").join(vocabulary, "word").select("chunk", "idx", "wid", "c"), "hmm", "uses"),
-            Base(base["n"] or 0, base["v"]))
+    uses = stored(words.drop("n").join(vocabulary, "word").select("chunk", "idx", "wid", "c"), "hmm", "uses")
+    release(vocabulary)
+    return uses, Base(base["n"] or 0, base["v"])
 
 
 def numbered(cut: DataFrame, uses: DataFrame, base: Base) -> DataFrame:
@@ -304,9 +306,17 @@ def sampled(corpus: DataFrame, model: Model) -> list[tuple]:
     return [(np.array(r.w), np.array(r.c)) for r in got]
 
 
-def each_chunk(corpus: DataFrame, emitted: DataFrame, params: Params, fn, schema: str) -> DataFrame:
+def release(*frames: DataFrame) -> None:
+    """Remove stored steps that later ones replace, and let the shuffles behind them go."""
+    for df in frames:
+        Folder(df.sparkSession, df.inputFiles()[0].rsplit("/", 1)[0]).delete()
+        df.sparkSession._jvm.System.gc()
+
+
+def each_chunk(corpus: DataFrame, columns: list[str], emitted: DataFrame, params: Params, fn, schema: str) -> DataFrame:
     """fn(row of the corpus, its HMM) -> columns, for every chunk once the
-    expected counts of its words have been brought to it."""
+    expected counts of its words have been brought to it; `columns` of the
+    corpus are what fn reads, with chunk and counts."""
     shipped, k = corpus.sparkSession.sparkContext.broadcast(params), len(params.start)
     kinds = arrow_schema(schema)
     at = [f"e{s}" for s in range(k)]
@@ -315,7 +325,7 @@ def each_chunk(corpus: DataFrame, emitted: DataFrame, params: Params, fn, schema
     def run(c: pa.Table, w: pa.Table) -> pa.Table:
         out = []
         for row in c.to_pylist():
-            expected = np.zeros((len(row["wids"]), k))
+            expected = np.zeros((len(row["counts"]), k))
             if w.num_rows:
                 expected[w["idx"].to_numpy()] = np.stack([w[f].to_numpy() for f in at], axis=1)
             h = HMM(shipped.value, shipped.value.emissions(expected, np.array(row["counts"])))
@@ -323,7 +333,7 @@ def each_chunk(corpus: DataFrame, emitted: DataFrame, params: Params, fn, schema
             out.append(pa.table([as_array(cols[f.name], f.type) for f in kinds], schema=kinds))
         return pa.concat_tables(out) if out else kinds.empty_table()
 
-    return corpus.groupBy("chunk").cogroup(uses.groupBy("of")).applyInArrow(run, schema)
+    return corpus.select(columns).groupBy("chunk").cogroup(uses.groupBy("of")).applyInArrow(run, schema)
 
 
 def train(corpus: DataFrame, base: Base, model: Model) -> tuple[Params, DataFrame]:
@@ -348,8 +358,10 @@ def train(corpus: DataFrame, base: Base, model: Model) -> tuple[Params, DataFram
         return {"wid": np.concatenate([-1 - np.arange(k + 1), np.array(row["wids"])[some]])} | {c: n[:, s] for s, c in enumerate(names)}
 
     for _ in range(model.rounds):
-        made = each_chunk(corpus, emitted, params, counts, schema.replace("float", "double"))
-        emitted = stored(made.groupBy("wid").agg(*[F.sum(c).cast("float").alias(c) for c in names]), "hmm", "emitted")
+        made = each_chunk(corpus, ["chunk", "held", "lengths", "tokens", "wids", "counts"], emitted, params, counts, schema)
+        last, emitted = emitted, stored(made.groupBy("wid").agg(*[F.sum(c).cast("float").alias(c) for c in names]), "hmm", "emitted")
+        del made
+        release(last)
         shared = {r["wid"]: np.array([r[c] for c in names]) for r in emitted.filter("wid < 0").collect()}  # states + 1 rows
         emitted = emitted.filter("wid >= 0")
         sums = emitted.agg(*[F.sum(F.col(c).cast("double")).alias(c) for c in names]).first()
@@ -374,6 +386,7 @@ def scores(docs: DataFrame, model: Model = Model(), id_col: str = "doc_id", text
     cut = stored(chunks(docs, model, id_col, text_col), "hmm", "cut")
     uses, base = counted(cut)
     corpus = stored(numbered(cut, uses, base), "hmm", "corpus")
+    release(cut, uses)
     params, emitted = train(corpus, base, model)
     trained = base.tokens
 
@@ -383,4 +396,5 @@ def scores(docs: DataFrame, model: Model = Model(), id_col: str = "doc_id", text
                 "train_tokens": [trained] * len(lengths), "base_score": row["base"],
                 "score": h.log_likelihood(unpacked(row["tokens"]), lengths)}
 
-    return each_chunk(corpus, emitted, params, scored, SCORES).withColumnRenamed("doc_id", id_col)
+    return each_chunk(corpus, ["chunk", "ids", "held", "lengths", "tokens", "known", "base", "counts"], emitted, params, scored,
+                      SCORES).withColumnRenamed("doc_id", id_col)
