@@ -24,7 +24,9 @@ recursion gives the exact log likelihood of every document.
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import time
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -310,6 +312,8 @@ def release(*frames: DataFrame) -> None:
     """Remove stored steps that later ones replace, and let the shuffles behind them go."""
     for df in frames:
         Folder(df.sparkSession, df.inputFiles()[0].rsplit("/", 1)[0]).delete()
+        gc.collect()
+        time.sleep(1)  # the gateway lets go of the frames in a thread of its own
         df.sparkSession._jvm.System.gc()
 
 
