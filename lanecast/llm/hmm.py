@@ -365,13 +365,13 @@ def train(corpus: DataFrame, base: Base, model: Model) -> tuple[Params, DataFram
         made = each_chunk(corpus, ["chunk", "held", "lengths", "tokens", "wids", "counts"], emitted, params, counts, schema)
         last, emitted = emitted, stored(made.groupBy("wid").agg(*[F.sum(c).cast("float").alias(c) for c in names]), "hmm", "emitted")
         del made
-        release(last)
         shared = {r["wid"]: np.array([r[c] for c in names]) for r in emitted.filter("wid < 0").collect()}  # states + 1 rows
         emitted = emitted.filter("wid >= 0")
         sums = emitted.agg(*[F.sum(F.col(c).cast("double")).alias(c) for c in names]).first()
         zero = np.zeros(k)
         params = Params.estimate(shared.get(-1, zero), np.stack([shared.get(-2 - s, zero) for s in range(k)]),
                                  np.array([sums[c] or 0.0 for c in names]), base, model.prior)
+        release(last)  # the small jobs above have taken the place of the round in what Spark still refers to
     return params, emitted
 
 
