@@ -151,8 +151,9 @@ class Encoder:
         self.piece = regex.compile(PIECE.format(letter=char_class("L"), number=char_class("N")))
         self.space = regex.compile(r"\s+")
         self.mark = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")") if self.special else None
-        self.cache: dict[str, tuple[str, str]] = {}   # runs as written
-        self.pieces: dict[str, tuple[str, str]] = {}  # pre-split words
+        self.label = {d: self.names[i] for i, d in self.digits.items()}
+        self.cache: dict[str, str] = {}   # runs as written
+        self.pieces: dict[str, str] = {}  # pre-split words
 
     def word(self, chars: str) -> list[int]:
         """Token ids of one pre-split word in the byte alphabet.
@@ -191,16 +192,15 @@ class Encoder:
                 at, state, labels, _ = path.pop()
         return [p[3] for p in path]
 
-    def text_piece(self, piece: str) -> tuple[str, str]:
-        """Ids and labels of a pre-split word, each joined by one space."""
-        ids = self.word(piece.encode().decode("latin-1").translate(self.bytes))
-        got = " ".join([self.digits[i] for i in ids]), " ".join([self.names[i] for i in ids])
+    def text_piece(self, piece: str) -> str:
+        """Ids of a pre-split word, joined by one space."""
+        got = " ".join([self.digits[i] for i in self.word(piece.encode().decode("latin-1").translate(self.bytes))])
         if len(self.pieces) < CACHE_WORDS and len(piece) <= CACHE_WORD_CHARS:
             self.pieces[piece] = got
         return got
 
-    def chunk(self, chunk: str) -> tuple[str, str]:
-        """Ids and labels, each joined by one space, of a run without space."""
+    def chunk(self, chunk: str) -> str:
+        """Ids, joined by one space, of a run without space."""
         s = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
         pieces = self.pieces
         if s.isalpha():  # only letters
@@ -210,29 +210,27 @@ class Encoder:
         else:
             split = self.piece.findall(s)
         parts = [pieces.get(p) or self.text_piece(p) for p in split]
-        got = parts[0] if len(parts) == 1 else (" ".join([p[0] for p in parts]), " ".join([p[1] for p in parts]))
+        got = parts[0] if len(parts) == 1 else " ".join(parts)
         if len(self.cache) < CACHE_WORDS and len(chunk) <= CACHE_WORD_CHARS:
             self.cache[chunk] = got
         return got
 
-    def encode(self, text: str) -> tuple[str, str]:
-        """Ids and decoded labels of a text, each joined by one space."""
-        ids, labels, cache = [], [], self.cache
+    def encode(self, text: str) -> str:
+        """Ids of a text, joined by one space."""
+        ids, cache = [], self.cache
         for part in self.mark.split(text) if self.mark and "<|" in text else (text,):
             if part in self.special:
                 ids.append(str(self.special[part]))
-                labels.append(part)
                 continue
             odd = any(c in part for c in ODD_SPACE)
-            got = [cache.get(c) or self.chunk(c) for c in (filter(None, self.space.split(part)) if odd else part.split())]
-            if got:
-                a, b = zip(*got)
-                ids += a
-                labels += b
-        return " ".join(ids), " ".join(labels)
+            ids += [cache.get(c) or self.chunk(c) for c in (filter(None, self.space.split(part)) if odd else part.split())]
+        return " ".join(ids)
 
-    def decode(self, ids: list[int]) -> str:
-        return " ".join(self.names[i] for i in ids)
+    def decode(self, ids: str) -> str:
+        """The labels of ids (joined by one space), joined by one space; an id
+        that the vocabulary does not hold emits nothing."""
+        known = self.label
+        return " ".join([known[i] for i in ids.split(" ") if i in known])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -253,8 +251,8 @@ def _broadcast(df: DataFrame, path: str) -> tuple:
     return name, df.sparkSession.sparkContext.broadcast(files)
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids array<int>: one row per input row.
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns to keep, n_tokens, ids array<int>: one row per input row.
 
     A null text is empty and has no tokens; null ids stay null; repeated rows
     are encoded each; other columns are not looked at.  ``path`` is the
@@ -264,30 +262,37 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(b: pa.RecordBatch) -> dict:
         e = encoder_of(files)
-        ids = [np.fromstring(e.encode(t)[0], dtype=np.int32, sep=" ") for t in b.column(1).to_pylist()]
+        ids = [np.fromstring(e.encode(t), dtype=np.int32, sep=" ") for t in b.column(0).to_pylist()]
         n = np.array([len(i) for i in ids])
-        return {id_col: b.column(0), "n_tokens": n,
-                "ids": pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(n))).astype(np.int32), np.concatenate(ids))}
+        lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(n))).astype(np.int32), np.concatenate(ids))
+        return dict(zip((id_col, *keep), b.columns[1:])) | {"n_tokens": n, "ids": lists}
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(id_col, text_of(text_col).alias("text")), run,
-                       f"`{id_col}` {kind}, n_tokens bigint, ids array<int>")
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in (id_col, *keep))
+    return map_batches(docs.select(text_of(text_col).alias("__text"), id_col, *keep), run, f"{kinds}, n_tokens bigint, ids array<int>")
 
 
-def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
-    """doc_id, text: the labels of the ids, joined by one space; null ids: empty."""
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """encoded with text: the labels of its ids, joined by one space.
+
+    Null or no ids give an empty text, ids that the vocabulary does not hold
+    (null ones too) emit nothing; repeated rows are decoded each, an empty
+    table gives no rows; all columns stay, but for one named text.
+    """
     files = _broadcast(encoded, path)
+    kept = encoded.drop("text")
 
     def run(b: pa.RecordBatch) -> dict:
         e = encoder_of(files)
-        return {id_col: b.column(0), "text": [e.decode(i or []) for i in b.column(1).to_pylist()]}
+        ids = b.column(b.schema.names.index("ids")).to_pylist()
+        return dict(zip(b.schema.names, b.columns)) | {"text": [e.decode(" ".join(map(str, i or ()))) for i in ids]}
 
-    kind = encoded.schema[id_col].dataType.simpleString()
-    return map_batches(encoded.select(id_col, "ids"), run, f"`{id_col}` {kind}, text string")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    return map_batches(kept, run, f"{schema}, text string")
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 without moving the ids."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 without moving the ids: each
+    text is encoded, and its ids are decoded again.  Cases as in `encode`."""
     files = _broadcast(docs, path)
 
     def sha(s: str) -> str:
@@ -297,10 +302,10 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         e = encoder_of(files)
         out: dict = {id_col: b.column(0), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
         for t in b.column(1).to_pylist():
-            ids, labels = e.encode(t)
+            ids = e.encode(t)
             out["n_tokens"].append(ids.count(" ") + 1 if ids else 0)
             out["ids_sha256"].append(sha(ids))
-            out["decoded_sha256"].append(sha(labels))
+            out["decoded_sha256"].append(sha(e.decode(ids)))
         return out
 
     kind = docs.schema[id_col].dataType.simpleString()
