@@ -125,7 +125,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 @query
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = mixing.plan(table(spark, sf_dir, "documents"))
-    return p.select("doc_id", "size", "source_size", "target", "taken", F.array_min("times").alias("first_time"))
+    return p.select("doc_id", "size", "source_size", "target", "taken", F.array_min("times").alias("first_time"),
+                    F.array_min("positions").alias("first_position"))
 
 
 @query

@@ -6,7 +6,9 @@ training time t in [0, 1]: w_i(t) = T_i * (1 + a_i * (2t - 1)), which rises
 D_i(t) = T_i * ((1 - a_i) * t + a_i * t^2), with D_i(1) = T_i.  The documents
 of a source, in a fixed pseudo-random order and pass by pass, lie end to end
 on the source's word line; a document whose middle lies at word c is trained
-on at the time t where D_i(t) = c.  The mix is range-sorted by that time.
+on at the time t where D_i(t) = c.  Its training position is the demand of all
+sources together up to t, in words: A t + B t^2 with A = sum of T_i (1 - a_i)
+and B = sum of T_i a_i.  The mix is range-sorted by position.
 
 Targets: the sources, ordered by code point with null last, weigh 5, 2, 1,
 5, 2, 1, ... and share 150 % of all words; no target exceeds twice its
@@ -31,6 +33,10 @@ from pyspark.sql import functions as F
 from lanecast.llm.common import n_words, stored, text_of
 
 
+# Keys over which a source's rows are spread in a join.
+SALTS = 32
+
+
 @dataclass(frozen=True)
 class Mix:
     """weights: repeated over the sources in order; slopes: a_i, likewise;
@@ -49,7 +55,8 @@ def _cycle(values: tuple[float, ...], at: Column) -> Column:
 
 
 def targets(sized: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """src, source_size, n_docs, target, slope: one row per source.
+    """src, source_size, n_docs, target, slope and, over all sources, the
+    coefficients of the cumulative demand (rise, bend): one row per source.
 
     The level L at which sum(min(most * size, L * weight)) is the total share
     is found by ordering the sources by the level at which each one is full.
@@ -69,14 +76,17 @@ def targets(sized: DataFrame, mix: Mix = Mix()) -> DataFrame:
          .withColumn("weight_left", F.sum("weight").over(by_full.rowsBetween(0, Window.unboundedFollowing)))
          .withColumn("own", F.col("left") / F.col("weight_left"))
          .withColumn("level", F.min(F.when(F.col("own") <= F.col("full"), F.struct("full", "src", "own"))).over(everything)["own"]))
-    return s.select("src", "source_size", "n_docs", "slope",
-                    F.least("cap", F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))).alias("target"))
+    s = s.select("src", "source_size", "n_docs", "slope",
+                 F.least("cap", F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))).alias("target"))
+    return s.select("*", F.sum(F.col("target") * (1.0 - F.col("slope"))).over(everything).alias("rise"),
+                    F.sum(F.col("target") * F.col("slope")).over(everything).alias("bend"))
 
 
 def plan(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text",
          source_col: str = "source") -> DataFrame:
     """One row per document: the id, text_hash, size, src, source_size, target,
-    taken (words), times (array of training times, one for each time it is taken).
+    taken (words), times and positions (arrays: the training time, and the words
+    that the mix demands before it, of each time the document is taken).
 
     A null text has no words; documents without words are taken zero words but
     keep their place in the passes.  A null id is an id like any other, a null source is
@@ -89,7 +99,7 @@ def plan(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: st
                                F.xxhash64(text).alias("text_hash"), n_words(text).alias("size"))
                    .groupBy("id", "text_hash").agg(F.max("size").alias("size"), F.min("src").alias("src")), "mix")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    rows = (_by_source(sized, targets(sized, mix)).withColumn("h", F.xxhash64("id", "text_hash", F.lit("mix")))
+    rows = (_by_source(sized, stored(targets(sized, mix), "mix")).withColumn("h", F.xxhash64("id", "text_hash", F.lit("mix")))
             .withColumn("passes", passes).withColumn("gap", F.col("target") - F.col("passes") * F.col("source_size"))
             .withColumn("base", F.lit(0).cast("long")))
     placed = stored(_placed(rows, mix), "mix")
@@ -112,9 +122,10 @@ def plan(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: st
         .otherwise(F.array().cast("array<double>")),
         F.transform(once_more, lambda c: F.col("passes") * F.col("source_size") + c))
     times = F.transform(words_at, lambda c: training_time(c / F.col("target"), F.col("slope")))
+    positions = F.transform("times", lambda t: t * (F.col("rise") + F.col("bend") * t))
     return (laid.withColumn("times", times)
             .select(F.col("id").alias(id_col), "text_hash", "src", "size", "source_size", "target",
-                    (F.col("size") * F.size("times")).cast("long").alias("taken"), "times"))
+                    (F.col("size") * F.size("times")).cast("long").alias("taken"), "times", positions.alias("positions")))
 
 
 def _placed(rows: DataFrame, mix: Mix) -> DataFrame:
@@ -159,9 +170,12 @@ def _still_fit(laid: DataFrame) -> DataFrame:
 
 
 def _by_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    """Join one row per source; the planner broadcasts it while it is small."""
-    keyed = sources.withColumnRenamed("src", "_src")
-    return rows.join(keyed, F.col("src").eqNullSafe(F.col("_src"))).drop("_src")
+    """Join one row per source.  A source's rows go to SALTS keys by their hash and
+    its row to each of them, so a shuffled join spreads a source that holds most rows."""
+    keyed = sources.withColumnRenamed("src", "_src").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("id", "text_hash"), F.lit(SALTS)).cast("int")
+    return (rows.withColumn("salt", salt)
+            .join(keyed, F.col("src").eqNullSafe(F.col("_src")) & (F.col("salt") == F.col("_salt"))).drop("_src", "_salt", "salt"))
 
 
 def training_time(y: Column, slope: Column) -> Column:
@@ -173,11 +187,41 @@ def training_time(y: Column, slope: Column) -> Column:
 def mix(docs: DataFrame, how: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
     """The columns of docs, one row for each time a document is trained on,
-    range-sorted by training time.  Cases as in `plan`."""
+    range-sorted by position, ties by id and text.  Cases as in `plan`; of rows that
+    repeat an id and a text the one with the smallest source, then the smallest other
+    columns (as JSON) stays.  Columns named __mix_* are not allowed.
+
+    Written to files the rows keep this order, and `in_order` gives it back."""
     p = plan(docs, how, id_col, text_col, source_col).filter(F.size("times") > 0).select(
-        F.col(id_col).alias("__mix_id"), F.col("text_hash").alias("__mix_hash"), F.col("times").alias("__mix_times"))
-    d = docs.withColumn("__mix_text", F.xxhash64(text_of(text_col))).dropDuplicates([id_col, "__mix_text"])
-    return (d.join(p, F.col(id_col).eqNullSafe(F.col("__mix_id")) & (F.col("__mix_text") == F.col("__mix_hash")))
-            .select(*docs.columns, F.explode("__mix_times").alias("__mix_time"))
-            .repartitionByRange(F.col("__mix_time"), F.col(id_col)).sortWithinPartitions("__mix_time", id_col)
-            .select(*docs.columns))
+        F.col(id_col).alias("__mix_id"), F.col("text_hash").alias("__mix_hash"), F.col("positions").alias("__mix_positions"))
+    others = [c for c in docs.columns if c not in (id_col, text_col, source_col)]
+    rank = F.struct(F.col(source_col).isNull(), F.col(source_col), F.to_json(F.struct(*others)) if others else F.lit(""))
+    d = (docs.withColumn("__mix_text", F.xxhash64(text_of(text_col))).groupBy(F.col(id_col).alias("__mix_doc"), "__mix_text")
+         .agg(F.min_by(F.struct(*docs.columns), rank).alias("__mix_row")))
+    order = ("__mix_position", id_col, "__mix_hash")
+    return (d.join(p, F.col("__mix_doc").eqNullSafe(F.col("__mix_id")) & (F.col("__mix_text") == F.col("__mix_hash")))
+            .select("__mix_row.*", "__mix_hash", F.explode("__mix_positions").alias("__mix_position"))
+            .repartitionByRange(*map(F.col, order)).sortWithinPartitions(*order).select(*docs.columns))
+
+
+def in_order(written: DataFrame) -> DataFrame:
+    """The rows of a mix read from its files, with position: their place (from 0)
+    in training order, whatever order the files are read in.
+
+    Files of a sorted write are numbered in order, so a row's place is its number in
+    the file plus the rows of earlier files; only one row per file is put in order.
+    A frame that is not read from files is written first, in its own order.  Nulls and
+    repeated rows have places like any other; an empty table gives no rows; a column
+    named position is replaced.
+    """
+    if not written.inputFiles():
+        written = stored(written, "mix")
+    part = F.regexp_extract("_metadata.file_name", "part-([0-9]+)", 1)
+    rows = written.drop("position").select("*", F.struct(F.when(part != "", part.cast("long")).alias("part"),
+                                                         F.col("_metadata.file_path").alias("path")).alias("__mix_file"),
+                                           F.col("_metadata.row_index").alias("__mix_row"))
+    before = Window.orderBy("__mix_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = (rows.groupBy("__mix_file").agg(F.count(F.lit(1)).alias("n"))
+             .select(F.col("__mix_file").alias("__mix_of"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__mix_before")))
+    return (rows.join(files, F.col("__mix_file").eqNullSafe(F.col("__mix_of")))
+            .select(*[c for c in written.columns if c != "position"], (F.col("__mix_before") + F.col("__mix_row")).alias("position")))

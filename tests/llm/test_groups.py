@@ -9,6 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from lanecast.llm import components, mixing, quality, simhash, suffix
+from lanecast.session import scratch_path
 from tests.llm.conftest import SCHEMA
 
 
@@ -137,14 +138,25 @@ def test_quality_repeated_words(spark):
 
 def test_quality_lines(spark):
     """A line of many documents goes from all but the first; documents of
-    little else are rejected; exact copies of a text count once."""
+    little else are rejected, copies among them but the one with the smallest id."""
     own = [" ".join(f"own{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + j % 26)}{j // 26 * 'z'}" for j in range(30)) for i in range(60)]
     notice = "This notice   has quite a few words 123 and comes again"
     texts = [f"{o}\n{notice}" for o in own] + [notice + "\n" + "tail words"] * 1 + [own[0] + " unique copy"] * 30
     got = {r.doc_id: r for r in quality.verdicts(frame(spark, texts, "a")).collect()}
     assert got[0].removed_words == 0 and got[1].removed_words == 11
     assert all(got[i].kept for i in range(60)) and not got[60].kept and not got[60].base_failed
-    assert all(got[i].kept for i in range(61, 91))
+    assert got[61].kept and not any(got[i].kept for i in range(62, 91))
+
+
+def test_quality_limit_is_absolute(spark):
+    """A banner in 21 documents of a large host goes, one in 20 stays; ids count
+    as documents, not rows or texts."""
+    def own(i):
+        return " ".join(f"w{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i // 100]}{'abcdefghijklmnopqrst'[j]}" for j in range(20))
+    texts = [own(i) + ("\nbanner of the site" if i < 21 else "\nrarer banner of it" if i < 41 else "") for i in range(900)]
+    df = frame(spark, texts, "a")
+    got = {r.doc_id: r.removed_words for r in quality.verdicts(df.unionByName(df.filter("doc_id = 30"))).collect()}
+    assert {i for i, n in got.items() if n} == set(range(1, 21)) and len(got) == 900
 
 
 def test_quality_lines_leave_the_texts(spark):
@@ -219,12 +231,46 @@ def test_mix_order_follows_schedule(spark):
     assert abs(mean["a"] - (0.5 - 1 / 12)) < 0.01 and abs(mean["b"] - 0.5) < 0.01 and abs(mean["c"] - (0.5 + 1 / 12)) < 0.01
 
 
+def test_positions_invert_the_demand_and_outlive_files(spark):
+    """Positions are the words demanded before; rows written and read back in any
+    split keep their place."""
+    rng = random.Random(8)
+    rows = [(i, f"d{i} " + "w " * rng.randrange(0, 60), "en", s, 0) for i, s in enumerate(rng.choices("abc", [6, 3, 1], k=3000))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    plan = mixing.plan(df).collect()
+    target = {r.src: r.target for r in plan}
+    slope = dict(zip("abc", mixing.Mix().slopes))
+    for r in plan[::50]:
+        for t, p in zip(r.times, r.positions):
+            assert abs(p - sum(target[s] * ((1 - slope[s]) * t + slope[s] * t * t) for s in target)) < 1e-6 * max(1, p)
+    want = [i for _, i in sorted((p, r.doc_id) for r in plan for p in r.positions)]
+    path = scratch_path(spark, "test", "mixed")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    mixing.mix(df).write.option("maxRecordsPerFile", 500).parquet(path)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+        read = spark.read.parquet(path)
+        got = mixing.in_order(read).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(r.position for r in got) == list(range(len(want)))
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.position)] == want
+    assert {len(read.inputFiles()) > 4, read.columns == df.columns} == {True}
+
+
+def test_repeated_rows_have_one_choice(spark):
+    rows = [(1, "one two three", "en", "b", 5), (1, "one two three", "de", "a", 9), (1, "one two three", "de", "a", 10), (1, "one two three", "aa", None, 1)]
+    got = [mixing.mix(spark.createDataFrame(r, SCHEMA)).distinct().collect() for r in (rows, rows[::-1])]
+    assert got[0] == got[1] and [(r.source, r.lang, r.n_chars) for r in got[0]] == [("a", "de", 10)]
+
+
 def test_mix_cases(odd, odd_rows, none):
     rows = mixing.plan(odd).collect()
     assert len(rows) == len({r[:2] for r in odd_rows} - {(3, None)} | {(3, "")} )
     out = mixing.mix(odd)
     assert out.columns == odd.columns and out.count() == sum(len(r.times) for r in rows)
-    assert mixing.plan(none).count() == mixing.mix(none).count() == 0
+    assert mixing.plan(none).count() == mixing.mix(none).count() == mixing.in_order(none).count() == 0
+    assert sorted(r.position for r in mixing.in_order(odd.withColumn("position", F.lit("own"))).collect()) == list(range(len(odd_rows)))
 
 
 def test_mix_fills_behind_a_long_document(spark):
