@@ -82,7 +82,7 @@ def op7_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op7_quality_lines"] = r"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(text, '') AS t, md5(coalesce(text, '')) AS th,
+  SELECT doc_id, source, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), wins AS (
   SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)
@@ -91,19 +91,16 @@ WITH d AS (
 ), repeats AS (
   SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY doc_id
 ), lines AS (
-  SELECT doc_id, source, th, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS lw,
+  SELECT doc_id, source, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS lw,
          regexp_replace(lower(trim(l, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), '[0-9]+', '0', 'g') AS k
-  FROM (SELECT doc_id, source, th, unnest(string_split(t, chr(10))) AS l FROM d)
+  FROM (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS l FROM d)
   WHERE regexp_matches(l, '[^\x20\x09-\x0D]')
 ), dup AS (
   SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY doc_id
 ), held AS (
-  SELECT source, k, count(DISTINCT th) AS texts, min(doc_id) AS first_id FROM lines GROUP BY source, k
-), hosts AS (
-  SELECT source, count(DISTINCT th) AS n FROM d GROUP BY source
+  SELECT source, k, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_id FROM lines GROUP BY source, k
 ), often AS (
-  SELECT held.* FROM held JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source
-  WHERE texts > 20 AND texts * 100.0 > hosts.n * 5.0
+  SELECT * FROM held WHERE docs > 20
 ), removed AS (
   SELECT doc_id, sum(lw) AS n FROM lines JOIN often
     ON lines.source IS NOT DISTINCT FROM often.source AND lines.k = often.k AND lines.doc_id <> often.first_id

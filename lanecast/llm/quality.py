@@ -1,10 +1,11 @@
 """Quality rules with cross-document line frequency, in DataFrame functions only.
 
 Base rules look at one document.  The method looks across documents: lines
-are normalised (trimmed, lower case, numbers as 0) and hashed; for each host (the source of a document) and line the distinct
-texts that hold it are counted.  A line above the host's limit is boilerplate
-and is removed from all documents but the one with the smallest id; a document
-that is left with too few of its words is depleted and rejected.
+are normalised (trimmed, lower case, numbers as 0) and hashed; for each host
+(the source of a document) and line the distinct documents that hold it are
+counted.  A line above the limit, the same for hosts of every size, is
+boilerplate and is removed from all documents but the one with the smallest id;
+a document that is left with too few of its words is depleted and rejected.
 
 Counts are pre-aggregated before every shuffle; one hot host or line is only a
 counter per task, and lines go back to their documents by a join that Spark
@@ -24,15 +25,14 @@ from lanecast.llm.common import SPACE_CLASS, WORD_CLASS, stored, text_of
 @dataclass(frozen=True)
 class Rules:
     """Base: least words, window of words, most repeated words in percent.
-    Method: a line is boilerplate in a host if more than line_texts texts and
-    more than line_percent of the host's texts hold it; a document is depleted
-    if less than left_percent of its words are left."""
+    Method: a line is boilerplate in a host if more than line_docs documents of
+    the host hold it; a document is depleted if less than left_percent of its
+    words are left."""
 
     least_words: int = 10
     window: int = 5
     repeat_percent: int = 20
-    line_texts: int = 20
-    line_percent: float = 5.0
+    line_docs: int = 20
     left_percent: float = 20.0
 
 
@@ -92,17 +92,11 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 def boilerplate(rows: DataFrame, rules: Rules) -> DataFrame:
     """host, h, first (the smallest id that holds the line): lines above the limit.
 
-    The texts of a host that hold a line are counted once each; every shuffle
-    is pre-aggregated."""
-    held = rows.select("host", "id", "text_hash", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
-    lines = (held.groupBy("host", "h", "text_hash").agg(F.min("id").alias("id"))
-             .groupBy("host", "h").agg(F.count(F.lit(1)).alias("texts"), F.min("id").alias("first")))
-    hosts = (rows.select("host", "text_hash").distinct()
-             .groupBy(F.col("host").alias("_host")).agg(F.count(F.lit(1)).alias("host_texts")))
-    often = lines.filter(F.col("texts") > rules.line_texts)
-    return (often.join(hosts, F.col("host").eqNullSafe(F.col("_host")))
-            .filter(F.col("texts") * 100.0 > F.col("host_texts") * F.lit(rules.line_percent))
-            .select("host", "h", "first"))
+    The documents of a host that hold a line are counted once each, by id (a null
+    id is not counted); every shuffle is pre-aggregated."""
+    held = rows.select("host", "id", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+    return (held.distinct().groupBy("host", "h").agg(F.count("id").alias("docs"), F.min("id").alias("first"))
+            .filter(F.col("docs") > rules.line_docs).select("host", "h", "first"))
 
 
 def verdicts(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text",
@@ -145,7 +139,13 @@ def _verdicts(rows: DataFrame, gone: DataFrame, rules: Rules, id_col: str) -> Da
 def accepted(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text",
              host_col: str = "source") -> DataFrame:
     """The rows of docs that are kept, with all their columns, their texts without
-    the boilerplate lines of their host (but in the first document that holds one)."""
+    the boilerplate lines of their host (but in the first document that holds one).
+
+    A null text fails the base rules and goes; a null host is a host; a null id is no
+    document in the counts and never the first; rows that repeat an id and a text
+    share its verdict and stay as often as they are there; an empty table gives no rows.
+    Columns named __quality_* are not allowed.
+    """
     rows = stored(measured(docs, rules, id_col, text_col, host_col), "quality")
     gone = removed_lines(rows, rules)
     rejected = _verdicts(rows, gone, rules, "_id").filter("not kept").select(

@@ -1,18 +1,27 @@
 """WARC archives, the language model, exact search, the pipeline."""
 
 import base64
+import glob
 import hashlib
 import itertools
 import math
 import random
+import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from lanecast.llm import hmm, vafile, warc
+from lanecast.llm.catalog import WORD_BPE
+from lanecast.llm.common import LOWER_AZ, stored
 from lanecast.session import scratch_path
 from tests.conftest import SF_SMALL
 
@@ -217,11 +226,70 @@ def test_pipeline(spark):
         assert ids and set(ids) <= had
         had = set(ids)
     final = cp.STAGES[-1][1](spark, docs, SF_SMALL)
-    assert final.count() == docs.count()
+    rows = sorted(final.collect(), key=lambda r: r.position)
+    written = pa.concat_tables([pq.read_table(f) for f in sorted(glob.glob(f"{path.removeprefix('file:')}/part-*"))]).to_pylist()
+    library = Tokenizer.from_file(public_tokenizers.path(WORD_BPE))
+    assert [r.position for r in rows] == list(range(len(written))) and [r.doc_id for r in rows] == [w["doc_id"] for w in written]
+    for r, w in zip(rows, written):
+        ids = library.encode(w["text"] or "", add_special_tokens=False).ids
+        assert r.ids == ids and r.n_tokens == len(ids)
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
     whole = cp.run(spark, SF_SMALL)
     assert sorted(map(str, whole.select("doc_id", "n_tokens").collect())) == sorted(map(str, final.select("doc_id", "n_tokens").collect()))
 
 
+def test_pipeline_filters_equal_brute_force(spark):
+    """The two filtering stages, document by document in plain Python: what is
+    kept, the texts that are left, and the one document of each near-copy group."""
+    import corpus_pipeline as cp
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    kept = stored(cp.quality_rules(spark, docs, SF_SMALL), "test")
+    near = cp.near_duplicates(spark, kept, SF_SMALL)
+
+    def words(t):
+        return t.encode().split()
+
+    def normal(line):
+        return re.sub("[0-9]+", "0", line.strip(" \t\n\x0b\x0c\r").lower())
+
+    rows = {r.doc_id: r for r in docs.collect()}
+    held = defaultdict(set)
+    for r in rows.values():
+        for line in (r.text or "").split("\n"):
+            if words(line):
+                held[r.source, normal(line)].add(r.doc_id)
+    want = {}
+    for r in rows.values():
+        text = r.text or ""
+        w, lines = words(text), text.split("\n")
+        wins = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+        many = Counter(wins)
+        covered = {i + j for i, x in enumerate(wins) if many[x] > 1 for j in range(5)}
+        gone = [x for x in lines if words(x) and len(held[r.source, normal(x)]) > 20 and min(held[r.source, normal(x)]) != r.doc_id]
+        n = sum(len(words(x)) for x in gone)
+        if len(w) >= 10 and 100 * len(covered) <= 20 * len(w) and not (n and (len(w) - n) * 100 < len(w) * 20):
+            want[r.doc_id] = "\n".join(x for x in lines if x not in gone) if gone else r.text
+    assert {r.doc_id: r.text for r in kept.collect()} == want and want.keys() <= rows.keys()
+
+    def bits(t):
+        w = [x.translate(LOWER_AZ) for x in words(t)]
+        h = [xxhash.xxh64_intdigest(b" ".join(w[i:i + 3]), 42) for i in range(max(1, len(w) - 2))] if w else []
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    prints, root = {i: bits(t or "") for i, t in want.items()}, {i: i for i in want}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(sorted(want), 2):
+        if (prints[i] ^ prints[j]).bit_count() <= 3:
+            a, b = sorted((top(i), top(j)))
+            root[b] = a
+    assert {r.doc_id: r.text for r in near.collect()} == {i: want[i] for i in want if top(i) == i}
+
+
 def test_pipeline_on_nothing(spark, odd, none):
     import corpus_pipeline as cp
     for start in (none, odd):
