@@ -20,14 +20,16 @@ from lanecast.llm.common import prepare, stored, table
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are not depleted of their own lines,
-    their texts without boilerplate lines; n_chars follows the text."""
+    their texts without boilerplate lines; n_chars follows the text.  Null and empty
+    texts fail the base rules; other cases as in `quality.accepted`."""
     prepare(spark)
     kept = quality.accepted(docs)
     return kept.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
+    """The document with the smallest id of each group of near copies; cases as in
+    `simhash.deduplicate` (null and empty texts link like any other)."""
     prepare(spark)
     return simhash.deduplicate(docs)
 
@@ -46,9 +48,14 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and ids of every document."""
+    """doc_id, position (from 0, the training order in which the mix was written),
+    n_tokens, ids and decoded_sha256 (of the text that the ids decode to) of every row.
+
+    One row per row: null texts have no tokens, null ids and repeated rows stay."""
     prepare(spark)
-    return bpe.encode(docs, public_tokenizers.path(WORD_BPE))
+    path = public_tokenizers.path(WORD_BPE)
+    decoded = bpe.decode(bpe.encode(mixing.in_order(docs), path, keep=("position",)), path)
+    return decoded.withColumn("decoded_sha256", F.sha2("text", 256)).drop("text")
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("secret_scan", secret_scan),
