@@ -16,6 +16,7 @@ from lanecast import schemas
 from lanecast.plans import oracle as O
 from lanecast.plans import pipeline as P
 from lanecast.plans import reports as R
+from lanecast.plans import rollups as RU
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,6 +43,11 @@ def mart_report(key: str, fn, sql: str | None, **kw):
     register(key, sql)(lambda spark, sf_dir: fn(P.materialised_mart(spark, sf_dir), **kw))
 
 
+def rollup_report(key: str, fn, sql: str, **kw):
+    """A report read from the stored partial aggregates of the mart."""
+    register(key, sql)(lambda spark, sf_dir: fn(RU.fixture_rollups(spark, sf_dir), **kw))
+
+
 # ---- the mart itself ----------------------------------------------------
 register("daily_lane_equipment_prices", O.with_mart("SELECT * FROM mart"))(
     lambda spark, sf_dir: P.fixture_mart(spark, sf_dir))
@@ -59,21 +65,21 @@ mart_report("daily_avg_one_lane", R.daily_avg_one_lane, O.with_mart(
     "SELECT valid_day, avg(avg_price_usd) AS daily_avg_price FROM mart "
     f"WHERE origin_port_name = '{ONE_LANE[0]}' AND destination_port_name = '{ONE_LANE[1]}' "
     "GROUP BY valid_day"), origin=ONE_LANE[0], destination=ONE_LANE[1])
-mart_report("weekly_region_trend", R.weekly_region_trend, O.with_mart(
+rollup_report("weekly_region_trend", RU.weekly_region_trend, O.with_mart(
     "SELECT CAST(date_trunc('week', valid_day) AS DATE) AS week_start, origin_region_name, "
     "destination_region_name, avg(avg_price_usd) AS weekly_avg_price FROM mart GROUP BY 1, 2, 3"))
-mart_report("mom_change", R.mom_change, O.with_mart(
+rollup_report("mom_change", RU.mom_change, O.with_mart(
     "SELECT m AS month, concat(o, ' to ', t) AS lane, p AS monthly_avg_price, q AS prev_month_price, "
     "(p - q) / nullif(q, 0) AS mom_change_pct FROM (SELECT *, lag(p) OVER months AS q FROM ("
     "SELECT CAST(date_trunc('month', valid_day) AS DATE) AS m, origin_port_name AS o, "
     "destination_port_name AS t, avg(avg_price_usd) AS p FROM mart GROUP BY ALL) "
     "WINDOW months AS (PARTITION BY o, t ORDER BY m))"))
-mart_report("lane_monthly", R.lane_monthly, O.with_mart(
+rollup_report("lane_monthly", RU.lane_monthly, O.with_mart(
     f"SELECT CAST(date_trunc('month', valid_day) AS DATE) AS month, {LANE} AS lane, "
     "avg(avg_price_usd) AS avg_price, avg(median_price_usd) AS median_price FROM mart GROUP BY 1, 2"))
 mart_report("latest_leaderboard", R.latest_leaderboard, O.with_mart(
     f"SELECT {LANE} AS lane, avg_price_usd, median_price_usd FROM mart WHERE {_LATEST}"))
-mart_report("region_monthly", R.region_monthly, O.with_mart(
+rollup_report("region_monthly", RU.region_monthly, O.with_mart(
     "SELECT CAST(date_trunc('month', valid_day) AS DATE) AS month, origin_region_name, "
     "destination_region_name, avg(avg_price_usd) AS avg_price FROM mart GROUP BY 1, 2, 3"))
 mart_report("origin_regions_90d", R.origin_regions_90d, O.with_mart(
@@ -81,36 +87,36 @@ mart_report("origin_regions_90d", R.origin_regions_90d, O.with_mart(
     "(SELECT max(valid_day) - 90 AS start_day, max(valid_day) AS max_day FROM mart) win "
     f"WHERE valid_day BETWEEN win.start_day AND win.max_day AND destination_region_name LIKE '{DEST_REGION}' "
     "GROUP BY origin_region_name"), destination_region=DEST_REGION)
-mart_report("price_by_equipment", R.price_by_equipment, O.with_mart(
+rollup_report("price_by_equipment", RU.price_by_equipment, O.with_mart(
     "SELECT equipment_id, avg(avg_price_usd) AS avg_price FROM mart GROUP BY equipment_id"))
-mart_report("lane_equipment_avg", R.lane_equipment_avg, O.with_mart(
+rollup_report("lane_equipment_avg", RU.lane_equipment_avg, O.with_mart(
     "SELECT origin_port_name, destination_port_name, equipment_id, avg(avg_price_usd) AS avg_price "
     "FROM mart GROUP BY 1, 2, 3"))
-mart_report("top10_lanes", R.top10_lanes, O.with_mart(
+rollup_report("top10_lanes", RU.top10_lanes, O.with_mart(
     f"SELECT {LANE} AS lane, avg(avg_price_usd) AS avg_price FROM mart GROUP BY lane "
     "ORDER BY avg_price DESC, lane LIMIT 10"))
-mart_report("volatile_lanes", R.volatile_lanes, O.with_mart(
+rollup_report("volatile_lanes", RU.volatile_lanes, O.with_mart(
     f"SELECT {LANE} AS lane, stddev_pop(avg_price_usd) AS price_volatility FROM mart GROUP BY lane "
     "ORDER BY price_volatility DESC, lane LIMIT 10"))
-mart_report("bad_data_rate", R.bad_data_rate, O.with_mart(
+rollup_report("bad_data_rate", RU.bad_data_rate, O.with_mart(
     f"SELECT {LANE} AS lane, avg(CASE WHEN dq_ok THEN 0 ELSE 1 END) AS bad_data_rate FROM mart GROUP BY lane"))
 mart_report("missing_price_rows", R.missing_price_rows, O.with_mart(
     "SELECT * FROM mart WHERE avg_price_usd IS NULL OR median_price_usd IS NULL "
     "ORDER BY valid_day, equipment_id, origin_port_id, destination_port_id LIMIT 100"))
-mart_report("lanes_by_equipment", R.lanes_by_equipment, O.with_mart(
+rollup_report("lanes_by_equipment", RU.lanes_by_equipment, O.with_mart(
     "SELECT equipment_id, count(DISTINCT port_lane) AS lane_count FROM mart GROUP BY equipment_id"))
 _YM = ("SELECT extract(year FROM valid_day) AS v_year, extract(month FROM valid_day) AS v_month, "
        "count(DISTINCT port_lane) AS lane_count FROM mart {where} GROUP BY 1, 2")
-mart_report("lanes_by_month", R.lanes_by_month, O.with_mart(_YM.format(where="")))
-mart_report("valid_lanes_by_month", R.valid_lanes_by_month, O.with_mart(_YM.format(where="WHERE dq_ok = true")))
-mart_report("expensive_lanes", R.expensive_lanes, O.with_mart(
+rollup_report("lanes_by_month", RU.lanes_by_month, O.with_mart(_YM.format(where="")))
+rollup_report("valid_lanes_by_month", RU.valid_lanes_by_month, O.with_mart(_YM.format(where="WHERE dq_ok = true")))
+rollup_report("expensive_lanes", RU.expensive_lanes, O.with_mart(
     "SELECT port_lane, avg(avg_price_usd) AS avg_price FROM mart GROUP BY port_lane"))
-mart_report("contract_days", R.contract_days_by_lane, O.with_mart(
+rollup_report("contract_days", RU.contract_days_by_lane, O.with_mart(
     "SELECT port_lane, count(valid_day) AS valid_days FROM mart GROUP BY port_lane"))
-mart_report("origin_activity", R.origin_activity, O.with_mart(
+rollup_report("origin_activity", RU.origin_activity, O.with_mart(
     "SELECT origin_port_name, count(destination_port_name) AS destination_ports FROM mart "
     "GROUP BY origin_port_name"))
-mart_report("destination_activity", R.destination_activity, O.with_mart(
+rollup_report("destination_activity", RU.destination_activity, O.with_mart(
     "SELECT destination_port_name, count(origin_port_name) AS origin_ports FROM mart "
     "GROUP BY destination_port_name"))
 

@@ -37,7 +37,8 @@ from pyspark.sql import types as T
 
 from lanecast.session import Folder, scratch_path
 
-MARKS = ("created", "load_date")  # columns whose greatest value is kept, where a table has them
+MARKS = ("created", "load_date", "rollup_source")  # columns whose greatest value is kept, where a table has them
+TEXT_MARKS = ("rollup_source",)  # kept as they are
 MAX_SEGMENTS = 24
 SEG, DEL = "_seg", "_del"
 
@@ -164,6 +165,26 @@ def segment_paths(spark: SparkSession, path: str) -> list[str]:
     return [path] if m is None else [f"{path}/{SEG}={s['id']}" for s in m.segments]
 
 
+def partition_segments(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """What each partition of the newest version is made of: its segments and
+    the deletes that apply to them."""
+    m, out = manifest(spark, path) or Manifest(), {}
+    for s in m.segments:
+        made_of = [s["id"], *[d["id"] for d in m.deletes if s["id"] in d["segments"]]]
+        for x in s["stats"]:
+            if x["part"] not in s["gone"]:
+                out.setdefault(x["part"], []).extend(made_of)
+    return out
+
+
+def partition_marks(spark: SparkSession, path: str, col: str) -> dict[str, str | None]:
+    """The greatest ``col`` of each partition, from the manifest; empty without a table."""
+    m, out = manifest(spark, path) or Manifest(), {}
+    for x in m.stats():
+        out[x["part"]] = max(filter(None, (out.get(x["part"]), x["marks"].get(col))), default=None)
+    return out
+
+
 def _above(value: str | None, limit: str | None) -> bool:
     return value is not None and limit is not None and value > limit
 
@@ -180,6 +201,8 @@ def mark(spark: SparkSession, path: str, col: str) -> str | None:
 
 def _mark_text(col: str) -> Column:
     """Times with all six digits and days, so that texts sort as values do."""
+    if col in TEXT_MARKS:
+        return F.max(col)
     return F.max(F.when(F.typeof(col) == "date", F.col(col).cast("string"))
                  .otherwise(F.date_format(F.col(col).cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")))
 
