@@ -12,7 +12,10 @@ A word that s has not emitted is as likely there as a rare word of the corpus,
 so rare words are smoothed and frequent ones are not; an unseen word has the
 base model's u = 1 / (N + V + 1) in every state.  The table of E grows with the
 vocabulary and is never in one place: it is stored by word and joined to the
-words of each chunk, as the counts c are.
+words of each chunk, as the counts c are.  It travels packed: words are dealt into
+buckets of a bounded number of uses, a chunk asks each bucket for its words in one
+row and gets one back; expected counts keep 16 bits of precision in the table (the
+model is what the table says, its likelihoods are exact).
 
 Steps: (1) tasks cut their documents into chunks of a bounded number of tokens,
 each with its own word list; (2) the words of all chunks are counted, numbered
@@ -51,7 +54,8 @@ CORPUS = ("chunk bigint, ids array<bigint>, held array<boolean>, lengths array<i
 @dataclass(frozen=True)
 class Model:
     """Latent states, Baum-Welch rounds over all training text, pseudo
-    occurrences of a word in the estimates, tokens of a chunk (about).
+    occurrences of a word in the estimates, tokens of a chunk (about), uses of
+    words (a word counts once per chunk) of a bucket (about).
     The first estimate comes from `start_docs` windows of at most `start_tokens`
     tokens of training documents of any length (the smallest hashes)."""
 
@@ -59,6 +63,7 @@ class Model:
     rounds: int = 2
     prior: float = 1.0
     chunk_tokens: int = 4_000_000
+    bucket_uses: int = 1 << 18
     start_docs: int = 256
     start_tokens: int = 1000
     start_rounds: int = 12
@@ -79,7 +84,7 @@ def chunks(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFra
             tokens = np.concatenate(seqs)
             train = np.repeat(~np.array(is_held), [len(s) for s in seqs])
             counts = np.bincount(tokens[train], minlength=len(index))
-            packed = zstandard.ZstdCompressor(level=1).compress(tokens.astype("<i4").tobytes())
+            packed = pack(tokens.astype("<i4"))
             words = [w if isinstance(w, str) else w.decode() for w in index]
             row = [[part << 32 | made], [ids], [is_held], [[len(s) for s in seqs]], [packed], [words], [counts]]
             return pa.record_batch([pa.array(c, f.type) for c, f in zip(row, schema)], schema=schema)
@@ -156,8 +161,44 @@ def numbered(cut: DataFrame, uses: DataFrame, base: Base) -> DataFrame:
             .cogroup(uses.groupBy("chunk")).applyInArrow(run, CORPUS))
 
 
+def pack(a: np.ndarray) -> bytes:
+    """Fixed-width rows, compressed byte by byte position (high bytes are mostly alike)."""
+    rows = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(rows.T).tobytes())
+
+
+def unpack(b: bytes, kind: str, columns: int = 1) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
+    a = np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize * columns, -1).T).view(kind)
+    return a.reshape(-1, columns) if columns > 1 else a.reshape(-1)
+
+
 def unpacked(tokens: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(tokens), "<i4")
+    return unpack(tokens, "<i4")
+
+
+def pack_words(wids: np.ndarray) -> bytes:
+    """Ascending word numbers, as differences."""
+    return pack(np.diff(wids, prepend=0).astype("<i8"))
+
+
+def unpack_words(b: bytes) -> np.ndarray:
+    return np.cumsum(unpack(b, "<i8"))
+
+
+def pack_counts(expected: np.ndarray) -> bytes:
+    """Expected counts as floats of 16 bits of precision, rounded to nearest."""
+    bits = np.ascontiguousarray(expected, dtype="<f4").view("<u4")
+    return pack((bits + np.uint32(0x80)) & np.uint32(0xFFFFFF00))
+
+
+def dealt(wids: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts words by bucket and number, the buckets present and
+    where each one begins (and the last ends)."""
+    bucket = ((wids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((wids, bucket))
+    present, at = np.unique(bucket[order], return_index=True)
+    return order, present, np.append(at, len(wids))
 
 
 def begins(lengths) -> np.ndarray:
@@ -317,62 +358,132 @@ def release(*frames: DataFrame) -> None:
         df.sparkSession._jvm.System.gc()
 
 
-def each_chunk(corpus: DataFrame, columns: list[str], emitted: DataFrame, params: Params, fn, schema: str) -> DataFrame:
+# The table of expected counts: one row per bucket.  sums: of its words, by state.
+EMITTED = "bucket bigint, wids binary, e binary, sums array<double>"
+SHARED = 64  # rows that the starts and moves of all chunks are summed into
+
+
+def emitted_row(bucket: int, wids: np.ndarray, expected: np.ndarray) -> dict:
+    """A row of the table; sums are of the rounded counts."""
+    e = pack_counts(expected)
+    return {"bucket": bucket, "wids": pack_words(wids), "e": e,
+            "sums": unpack(e, "<f4", expected.shape[1]).sum(axis=0, dtype=float).tolist()}
+
+
+def by_word(emitted: DataFrame, states: int) -> DataFrame:
+    """wid, e0, e1, ...: the table word by word."""
+    names = [f"e{s}" for s in range(states)]
+
+    def rows(b: pa.RecordBatch) -> dict:
+        e = np.concatenate([unpack(x.as_py(), "<f4", states).reshape(-1, states) for x in b.column("e")])
+        wids = np.concatenate([unpack_words(x.as_py()) for x in b.column("wids")])
+        return {"wid": wids} | {c: e[:, s] for s, c in enumerate(names)}
+
+    return map_batches(emitted.select("wids", "e"), rows, "wid bigint, " + ", ".join(f"{c} float" for c in names))
+
+
+def each_chunk(corpus: DataFrame, columns: list[str], emitted: DataFrame, params: Params, buckets: int, fn, schema: str) -> DataFrame:
     """fn(row of the corpus, its HMM) -> columns, for every chunk once the
     expected counts of its words have been brought to it; `columns` of the
-    corpus are what fn reads, with chunk and counts."""
+    corpus are what fn reads, with chunk, wids and counts."""
     shipped, k = corpus.sparkSession.sparkContext.broadcast(params), len(params.start)
     kinds = arrow_schema(schema)
-    at = [f"e{s}" for s in range(k)]
-    uses = corpus.select(F.col("chunk").alias("of"), F.posexplode("wids").alias("idx", "wid")).join(emitted, "wid").select("of", "idx", *at)
+
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                wids = b.column("wids")[i].values.to_numpy()
+                order, present, at = dealt(wids, buckets)
+                asked = [pack_words(wids[order[lo:hi]]) for lo, hi in zip(at, at[1:])]
+                yield pa.record_batch([pa.array([b.column("chunk")[i].as_py()] * len(present), pa.int64()), pa.array(present, pa.int64()),
+                                       pa.array(asked, pa.binary())], names=["of", "bucket", "asked"])
+
+    def answer(a: pa.Table, m: pa.Table) -> pa.Table:
+        known, e = np.zeros(1, np.int64), np.zeros((1, k), np.float32)
+        if m.num_rows:
+            known, e = unpack_words(m["wids"][0].as_py()), unpack(m["e"][0].as_py(), "<f4", k).reshape(-1, k)
+        out = []
+        for asked in a["asked"]:
+            wids = unpack_words(asked.as_py())
+            at = np.minimum(np.searchsorted(known, wids), len(known) - 1)
+            out.append(pack(np.where((known[at] == wids)[:, None], e[at], np.float32(0))))
+        return pa.table({"of": a["of"], "bucket": a["bucket"], "e": pa.array(out, pa.binary())})
 
     def run(c: pa.Table, w: pa.Table) -> pa.Table:
         out = []
-        for row in c.to_pylist():
-            expected = np.zeros((len(row["counts"]), k))
-            if w.num_rows:
-                expected[w["idx"].to_numpy()] = np.stack([w[f].to_numpy() for f in at], axis=1)
-            h = HMM(shipped.value, shipped.value.emissions(expected, np.array(row["counts"])))
+        w = w.sort_by("bucket")
+        for i, row in enumerate(c.drop_columns(["wids", "counts"]).to_pylist()):
+            row["wids"], row["counts"] = (c[f].combine_chunks()[i].values.to_numpy() for f in ("wids", "counts"))
+            order, _, _ = dealt(row["wids"], buckets)
+            expected = np.empty((len(order), k), np.float32)
+            expected[order] = np.concatenate([unpack(x.as_py(), "<f4", k).reshape(-1, k) for x in w["e"]])
+            h = HMM(shipped.value, shipped.value.emissions(expected, row["counts"]))
             cols = fn(row, h)
             out.append(pa.table([as_array(cols[f.name], f.type) for f in kinds], schema=kinds))
         return pa.concat_tables(out) if out else kinds.empty_table()
 
-    return corpus.select(columns).groupBy("chunk").cogroup(uses.groupBy("of")).applyInArrow(run, schema)
+    asked = corpus.select("chunk", "wids").mapInArrow(ask, "of bigint, bucket bigint, asked binary")
+    told = (asked.groupBy("bucket").cogroup(emitted.select("bucket", "wids", "e").groupBy("bucket"))
+            .applyInArrow(answer, "of bigint, bucket bigint, e binary"))
+    return corpus.select(columns).groupBy("chunk").cogroup(told.groupBy("of")).applyInArrow(run, schema)
 
 
-def train(corpus: DataFrame, base: Base, model: Model) -> tuple[Params, DataFrame]:
-    """Baum-Welch over all training text: the parameters, and the expected
-    counts by word (wid, e0, e1, ...), summed across partitions."""
-    spark, k = corpus.sparkSession, model.states
-    names = [f"e{s}" for s in range(k)]
-    schema = "wid bigint, " + ", ".join(f"{c} float" for c in names)
-    params, wids, expected = start_model(sampled(corpus, model), base, model)
-    first = pa.table([wids, *expected.astype(np.float32).T], names=["wid", *names])  # the words of a bounded sample
-    emitted = stored(spark.createDataFrame(first.to_pandas(), schema), "hmm", "emitted")
+def fit(corpus: DataFrame, base: Base, model: Model) -> tuple[Params, DataFrame, int]:
+    """Baum-Welch over all training text: the parameters, the table of expected
+    counts, summed across partitions, and its number of buckets.
+
+    A bucket holds about `bucket_uses` uses of words and at least those of one
+    word, at most one per chunk.  Starts and moves travel as words of negative
+    numbers in buckets of their own, `SHARED` of them for all chunks."""
+    spark, k, table = corpus.sparkSession, model.states, arrow_schema(EMITTED)
+    uses = corpus.agg(F.sum(F.size("wids").cast("long"))).first()[0] or 0
+    buckets = max(1, -(-int(uses) // model.bucket_uses))
+    params, wids, expected = start_model(sampled(corpus, model), base, model)  # the words of a bounded sample
+    order, present, at = dealt(wids, buckets)
+    first = [emitted_row(int(b), wids[order[lo:hi]], expected[order[lo:hi]]) for b, lo, hi in zip(present, at, at[1:])]
+    emitted = stored(spark.createDataFrame([tuple(r.values()) for r in first], EMITTED), "hmm", "emitted")
 
     def counts(row: dict, h: HMM) -> dict:
         lengths, keep = np.array(row["lengths"]), ~np.array(row["held"])
         seq = unpacked(row["tokens"])[np.repeat(keep, lengths)]
         if not len(seq):
-            return {c: [] for c in ("wid", *names)}
+            return {"bucket": [], "wids": [], "e": []}
         start, move, emits = h.expected(seq, lengths[keep])
         some = np.flatnonzero(emits.any(axis=1))
-        n = np.vstack([start, move, emits[some]])
-        # starts and moves travel as words of negative numbers
-        return {"wid": np.concatenate([-1 - np.arange(k + 1), np.array(row["wids"])[some]])} | {c: n[:, s] for s, c in enumerate(names)}
+        own = row["wids"][some]
+        order, present, at = dealt(own, buckets)
+        cut = [order[lo:hi] for lo, hi in zip(at, at[1:])]
+        share = np.vstack([start, move])[::-1]
+        return {"bucket": [-1 - (row["chunk"] + (row["chunk"] >> 32)) % SHARED, *present],
+                "wids": [pack_words(-1 - np.arange(k + 1)[::-1]), *[pack_words(own[i]) for i in cut]],
+                "e": [pack(share.astype("<f4")), *[pack_counts(emits[some[i]]) for i in cut]]}
+
+    def summed(t: pa.Table) -> pa.Table:
+        wids = np.concatenate([unpack_words(x.as_py()) for x in t["wids"]])
+        e = np.concatenate([unpack(x.as_py(), "<f4", k).reshape(-1, k) for x in t["e"]])
+        words, at = np.unique(wids, return_inverse=True)
+        total = np.stack([np.bincount(at, weights=e[:, s], minlength=len(words)) for s in range(k)], axis=1)
+        return pa.Table.from_pylist([emitted_row(t["bucket"][0].as_py(), words, total)], schema=table)
 
     for _ in range(model.rounds):
-        made = each_chunk(corpus, ["chunk", "held", "lengths", "tokens", "wids", "counts"], emitted, params, counts, schema)
-        last, emitted = emitted, stored(made.groupBy("wid").agg(*[F.sum(c).cast("float").alias(c) for c in names]), "hmm", "emitted")
+        made = each_chunk(corpus, ["chunk", "held", "lengths", "tokens", "wids", "counts"], emitted, params, buckets, counts,
+                          "bucket bigint, wids binary, e binary")
+        last, emitted = emitted, stored(made.groupBy("bucket").applyInArrow(summed, EMITTED), "hmm", "emitted")
         del made
-        shared = {r["wid"]: np.array([r[c] for c in names]) for r in emitted.filter("wid < 0").collect()}  # states + 1 rows
-        emitted = emitted.filter("wid >= 0")
-        sums = emitted.agg(*[F.sum(F.col(c).cast("double")).alias(c) for c in names]).first()
-        zero = np.zeros(k)
-        params = Params.estimate(shared.get(-1, zero), np.stack([shared.get(-2 - s, zero) for s in range(k)]),
-                                 np.array([sums[c] or 0.0 for c in names]), base, model.prior)
+        shared = np.zeros((k + 1, k))
+        for r in emitted.filter("bucket < 0").collect():  # at most SHARED rows of states + 1 words
+            shared += unpack(r["e"], "<f4", k).reshape(-1, k)[::-1]
+        emitted = emitted.filter("bucket >= 0")
+        sums = emitted.agg(*[F.sum(F.get("sums", F.lit(s))).alias(f"s{s}") for s in range(k)]).first()
+        params = Params.estimate(shared[0], shared[1:], np.array([x or 0.0 for x in sums]), base, model.prior)
         release(last)  # the small jobs above have taken the place of the round in what Spark still refers to
-    return params, emitted
+    return params, emitted, buckets
+
+
+def train(corpus: DataFrame, base: Base, model: Model) -> tuple[Params, DataFrame]:
+    """`fit`, with the expected counts word by word (wid, e0, e1, ...)."""
+    params, emitted, _ = fit(corpus, base, model)
+    return params, by_word(emitted, model.states)
 
 
 SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
@@ -391,7 +502,7 @@ def scores(docs: DataFrame, model: Model = Model(), id_col: str = "doc_id", text
     uses, base = counted(cut)
     corpus = stored(numbered(cut, uses, base), "hmm", "corpus")
     release(cut, uses)
-    params, emitted = train(corpus, base, model)
+    params, emitted, buckets = fit(corpus, base, model)
     trained = base.tokens
 
     def scored(row: dict, h: HMM) -> dict:
@@ -400,5 +511,5 @@ def scores(docs: DataFrame, model: Model = Model(), id_col: str = "doc_id", text
                 "train_tokens": [trained] * len(lengths), "base_score": row["base"],
                 "score": h.log_likelihood(unpacked(row["tokens"]), lengths)}
 
-    return each_chunk(corpus, ["chunk", "ids", "held", "lengths", "tokens", "known", "base", "counts"], emitted, params, scored,
-                      SCORES).withColumnRenamed("doc_id", id_col)
+    return each_chunk(corpus, ["chunk", "ids", "held", "lengths", "tokens", "known", "base", "wids", "counts"], emitted, params, buckets,
+                      scored, SCORES).withColumnRenamed("doc_id", id_col)
