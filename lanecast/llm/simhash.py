@@ -147,13 +147,30 @@ def links_within(points: np.ndarray, home: np.ndarray, mask: np.uint64, bits: in
             m, a = _distance(half[mine], cut[0]), _distance(half[all_], cut[0])
             todo += [(mine[m <= cut[1]], all_[a - reach <= cut[1]]), (mine[m > cut[1]], all_[a + reach > cut[1]])]
             continue
-        for i in range(0, len(mine), 64):
-            block = mine[i:i + 64]
-            x, y = np.nonzero(np.bitwise_count(points[block][:, None] ^ points[all_][None, :]) <= bits)
-            _join(parent, block[x], all_[y])
+        for a, b in _close(points, mine, all_, bits):
+            _join(parent, a, b)
     return parent
 
 
+def _close(points: np.ndarray, mine: np.ndarray, all_: np.ndarray, bits: int):
+    """Residents and visitors within `bits`, block by block.  Many residents that
+    no vantage point tells apart (equal in their half) are compared by bytes of
+    the whole fingerprint: of any bits + 1 bytes two such points share one, so
+    those with the most different values are taken."""
+    groups = [(mine, all_)]
+    if len(mine) > 256 and bits < 8:
+        a, b = (points[i].view(np.uint8).reshape(-1, 8) for i in (mine, all_))
+        alike = [float(np.bincount(a[:, j], minlength=256) @ np.bincount(b[:, j], minlength=256)) for j in range(8)]
+        groups = ((mine[a[:, j] == v], all_[b[:, j] == v])
+                  for j in np.argsort(alike, kind="stable")[:bits + 1] for v in np.unique(a[:, j]))
+    for some, others in groups:
+        for i in range(0, len(some), 64):
+            for k in range(0, len(others), 1 << 16):
+                x, y = some[i:i + 64], others[k:k + (1 << 16)]
+                r, c = np.nonzero(np.bitwise_count(points[x][:, None] ^ points[y][None, :]) <= bits)
+                yield x[r], y[c]
+
+
 def _join(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     while len(a):
         a, b = parent[a], parent[b]

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -69,6 +70,39 @@ def test_links_equal_brute_force(spark):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, groups.values()))
 
 
+def test_shard_that_no_vantage_point_splits():
+    """Fingerprints equal in the half their tree is over: the same groups as brute
+    force, memory in proportion at 50,000, planted neighbours found."""
+    rng = np.random.default_rng(8)
+    mask, reach = simhash.HALVES[1], 1
+
+    def made(n):
+        base = np.unique(rng.integers(0, 1 << 32, n, dtype=np.uint64)) | np.uint64(0xABCD << 40)
+        flips = [sum(1 << int(b) for b in rng.choice(32, 1 + i % 4, replace=False)) for i in range(n // 10)]
+        return base, base[:n // 10] ^ np.array(flips, dtype=np.uint64)
+
+    base, near = made(1500)
+    points = np.unique(np.concatenate([base, near]))
+    home = rng.random(len(points)) < 0.8
+    want = np.arange(len(points))
+    for i in np.flatnonzero(home):
+        j = np.flatnonzero(np.bitwise_count(points ^ points[i]) <= 3)
+        simhash._join(want, np.full(len(j), i), j)
+    assert np.array_equal(simhash.links_within(points, home, mask, 3, reach), want)
+    assert (want != np.arange(len(points))).sum() > 80
+
+    base, near = made(50_000)
+    points = np.unique(np.concatenate([base, near]))
+    tracemalloc.start()
+    root = simhash.links_within(points, np.ones(len(points), bool), mask, 3, reach)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    a, b = (root[np.searchsorted(points, p)] for p in (base[:len(near)], near))
+    linked = np.bitwise_count(base[:len(near)] ^ near) <= 3
+    assert linked.sum() > 3000 and (a == b)[linked].all()
+
+
 def test_simhash_cases(odd, odd_rows, none):
     rows = simhash.near_duplicates(odd).collect()
     assert len(rows) == len(odd_rows)
