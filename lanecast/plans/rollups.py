@@ -40,6 +40,20 @@ class Rollups:
     lane_bitmaps: DataFrame
 
 
+class StoredRollups:
+    """The `Rollups` below a root; a table's files are listed only when it is asked for."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark, self._root = spark, root
+
+    def _read(self, name: str) -> DataFrame:
+        return TB.read(self._spark, TB.table_path(self._root, LAYER, name)).drop(SOURCE)
+
+    lane_month = property(lambda self: self._read(STATES))
+    region_week = property(lambda self: self._read(WEEKS))
+    lane_bitmaps = property(lambda self: self._read(BITMAPS))
+
+
 def _sources(spark: SparkSession, mart_path: str) -> dict[str, str]:
     """A digest of the segments that make up each month of the mart."""
     return {m: hashlib.sha256(" ".join(ids).encode()).hexdigest()[:32]
@@ -73,10 +87,13 @@ def refresh(spark: SparkSession, root: str) -> None:
     """Bring the states below ``root`` up to date with the stored mart."""
     mart_path = TB.table_path(root, *P.MART_TABLE)
     at = partial(TB.table_path, root, LAYER)
-    mart, now = P.read_mart(spark, mart_path), _sources(spark, mart_path)
+    now = _sources(spark, mart_path)
+
+    def from_mart(states_of, months: list[str]) -> DataFrame:
+        return states_of(_months(P.read_mart(spark, mart_path), months))
 
-    P.together(partial(_bring, spark, now, at(STATES), lambda months: U.lane_month(_months(mart, months))),
-               partial(_bring, spark, now, at(WEEKS), lambda months: U.region_week(_months(mart, months))))
+    P.together(partial(_bring, spark, now, at(STATES), partial(from_mart, U.lane_month)),
+               partial(_bring, spark, now, at(WEEKS), partial(from_mart, U.region_week)))
 
     def bitmaps(months: list[str]) -> DataFrame:
         states = _months(TB.read(spark, at(STATES)), months)
@@ -87,21 +104,17 @@ def refresh(spark: SparkSession, root: str) -> None:
     _bring(spark, now, at(BITMAPS), bitmaps)
 
 
-def stored(spark: SparkSession, root: str) -> Rollups:
-    read = lambda name: TB.read(spark, TB.table_path(root, LAYER, name)).drop(SOURCE)
-    return Rollups(read(STATES), read(WEEKS), read(BITMAPS))
-
-
-def current(spark: SparkSession, root: str) -> Rollups:
+def current(spark: SparkSession, root: str) -> StoredRollups:
     """The states, refreshed first where the mart has changed."""
     refresh(spark, root)
-    return stored(spark, root)
+    return StoredRollups(spark, root)
 
 
-def fixture_rollups(spark: SparkSession, sf_dir: str) -> Rollups:
+def fixture_rollups(spark: SparkSession, sf_dir: str) -> StoredRollups:
     """States of the fixture mart; computed at first use, then found current."""
-    P.materialised_mart(spark, sf_dir)
     root = P.materialised_root(spark, sf_dir)
+    if TB.manifest(spark, TB.table_path(root, *P.MART_TABLE)) is None:
+        P.materialised_mart(spark, sf_dir)
     with _lock:
         return current(spark, root)
 
