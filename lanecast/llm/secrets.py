@@ -5,21 +5,23 @@ run of key-like characters that mixes letters and digits is a candidate too.
 A small convolutional network in numpy reads each candidate with the text
 around it and adds those it takes for secrets as spans of kind ``model``.
 
-The network is trained here, on a bounded sample of labelled windows
-(`Net.sample_rows` distinct ones of each label, the smallest hashes over all documents):
+The network is trained here, on all distinct labelled windows of all documents:
 validated base findings are secrets, all other candidates are not, nor are long
-runs of letters alone, of which one in `Net.one_in` (by their hash) is labelled.  A held-out
-fifth calibrates its scores (Platt's scaling) and sets the threshold: the
-largest score that keeps the demanded recall, moved half way to the next
-non-secret below it.  Where labels cannot be learnt that threshold is low and
-precision pays for recall; both are reported with the spans.
+runs of letters alone.  Spark deals the windows out by their hash to shards; in
+each of `Net.rounds` rounds every shard steps through all of its windows from the
+same weights, and the means of the shards' weights start the next round.  A
+held-out fifth calibrates the scores (Platt's scaling) and sets the threshold, both
+from counts of all held-out windows by score: the largest score that keeps the
+demanded recall, moved half way to the next non-secret below it.  Where labels
+cannot be learnt that threshold is low and precision pays for recall; both are
+reported with the spans.
 """
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import re
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,14 +50,16 @@ CODES = 98  # 0 nothing, 1-95 printable ASCII, 96 control, 97 other
 
 @dataclass(frozen=True)
 class Net:
-    """sample_rows: labelled windows of each label to train on, at most;
-    filters of the convolution; steps of training; recall the threshold must keep."""
+    """filters of the convolution; steps of training, at least, in all rounds;
+    recall the threshold must keep; windows of a shard, about; sample_rows: for a
+    trial, train on so many windows of each label only (None: on all)."""
 
-    sample_rows: int = 2000
-    one_in: int = 64
+    sample_rows: int | None = None
     filters: int = 24
     steps: int = 1000
     recall: float = 0.98
+    rounds: int = 4
+    shard_rows: int = 10_000
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, int]]:
@@ -71,12 +75,11 @@ def base_spans(text: str) -> list[tuple[str, int, int, int]]:
     return out
 
 
-def other_candidates(text: str, base: list[tuple], letters: int = 0) -> list[tuple[int, int]]:
+def other_candidates(text: str, base: list[tuple], letters: bool = False) -> list[tuple[int, int]]:
     """Key-like runs with letters and digits that touch no base span; with
-    `letters`, also one in so many of those without a digit."""
+    `letters`, also those without a digit."""
     runs = [(a, b) for a, b in (m.span() for m in RUN.finditer(text))
-            if (LETTER.search(text, a, b) if DIGIT.search(text, a, b)
-                else letters and zlib.crc32(text[a:b].encode()) % letters == 0)]
+            if (LETTER.search(text, a, b) if DIGIT.search(text, a, b) else letters)]
     if base and runs:
         ends = np.maximum.accumulate([s[2] for s in base])  # base is by start
         starts = [s[1] for s in base]
@@ -147,8 +150,19 @@ class CharCNN:
     def probability(self, x: np.ndarray) -> np.ndarray:
         """Calibrated probability of being a secret."""
         z = np.concatenate([self.forward(x[i:i + 256])[0] for i in range(0, len(x), 256)]) if len(x) else np.zeros(0)
+        return self.calibrated(z)
+
+    def calibrated(self, z: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -60, 60)))
 
+    def weights(self) -> np.ndarray:
+        return np.concatenate([self.w.ravel(), self.b, self.v, [self.c]]).astype(np.float64)
+
+    def put(self, flat: np.ndarray) -> None:
+        at = np.cumsum([self.w.size, self.b.size, self.v.size])
+        w, b, v, c = np.split(flat.astype(np.float32), at)
+        self.w, self.b, self.v, self.c = w.reshape(self.w.shape), b, v, np.float32(c[0])
+
 
 def fit(x: np.ndarray, y: np.ndarray, net: Net) -> CharCNN:
     """Train, calibrate and set the threshold.  Every fifth window of a label
@@ -168,28 +182,36 @@ def fit(x: np.ndarray, y: np.ndarray, net: Net) -> CharCNN:
         part = rng.choice(train, min(32, len(train)), replace=False)
         model.step(x[part], y[part].astype(np.float32), 0.5 / (1 + 3 * step / net.steps))
     z, t = model.forward(x[judged])[0].astype(float), y[judged]
+    judge(model, z, t, np.ones(len(z)), net)
+    return model
+
+
+def judge(model: CharCNN, z: np.ndarray, t: np.ndarray, n: np.ndarray, net: Net) -> None:
+    """Calibrate and set threshold, recall and precision from held-out logits z
+    with labels t, n windows each; both labels occur."""
     a, b = 1.0, 0.0
     for _ in range(500):
-        g = 1 / (1 + np.exp(-np.clip(a * z + b, -60, 60))) - t
-        a, b = a - 0.05 * (g @ z) / len(z), b - 0.05 * g.mean()
+        g = n * (1 / (1 + np.exp(-np.clip(a * z + b, -60, 60))) - t)
+        a, b = a - 0.05 * (g @ z) / n.sum(), b - 0.05 * g.sum() / n.sum()
     model.scale, model.shift = max(a, 1e-3), b
-    p = model.probability(x[judged])
-    yes = np.sort(p[t == 1])
-    limit = float(yes[int((1 - net.recall) * len(yes))])
+    p = model.calibrated(z)
+    order = np.argsort(p, kind="stable")
+    order = order[t[order] == 1]
+    seen = n[order].cumsum()
+    limit = float(p[order][np.searchsorted(seen, int((1 - net.recall) * seen[-1]), "right")])
     below = p[(t == 0) & (p < limit)]
     model.threshold = (limit + float(below.max(initial=0.0))) / 2
     found = p >= model.threshold
-    model.recall, model.precision = float(found[t == 1].mean()), float(t[found].mean())
-    return model
+    model.recall, model.precision = float(n[found & (t == 1)].sum() / n[t == 1].sum()), float(n[found & (t == 1)].sum() / n[found].sum())
 
 
-def labelled(docs: DataFrame, net: Net = Net(), text_col: str = "text") -> DataFrame:
+def labelled(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """label (1: base finding), window (codes): one row per window of every candidate."""
     def run(b: pa.RecordBatch) -> dict:
         out: dict = {"label": [], "win": []}
         for t in b.column(0).to_pylist():
             base = base_spans(t)
-            spots = [(1, s[3], s[2]) for s in base] + [(0, *c) for c in other_candidates(t, base, net.one_in)]
+            spots = [(1, s[3], s[2]) for s in base] + [(0, *c) for c in other_candidates(t, base, True)]
             for label, start, end in spots:
                 got = windows(t, start, end)
                 out["win"] += got
@@ -200,18 +222,81 @@ def labelled(docs: DataFrame, net: Net = Net(), text_col: str = "text") -> DataF
 
 
 def train(docs: DataFrame, net: Net = Net(), text_col: str = "text") -> CharCNN:
-    # copies are made one before the share is taken: it must not depend on how often a window is repeated
-    rows = stored(labelled(docs, net, text_col).distinct(), "secrets")
+    """The network of all distinct labelled windows of docs; copies teach once.
+    Without both labels nothing is learnt and nothing ever added."""
+    rows = stored(labelled(docs, text_col).distinct(), "secrets")
     n = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    if net.sample_rows is not None:
+        return fit(*_sample(rows, n, net), net)
+    model = CharCNN(net.filters)
+    if len(n) < 2:
+        return model
+    held = F.pmod(F.xxhash64("win"), F.lit(5)) == 4
+    parted = {r.label for r in rows.groupBy("label").agg(F.count_if(held).alias("h"), F.count_if(~held).alias("t")).collect() if r.h and r.t}
+    both = ~F.col("label").isin(list(parted))  # too few windows to hold some out: all teach and judge
+    train_rows(model, rows.filter(~held | both), sum(n.values()), net)
+    # counts by score, to three decimals: at most some 60,000 rows however many windows
+    counts = logits(rows.filter(held | both), model).groupBy("label", F.floor(F.col("z") * 1000).alias("z")).count().orderBy("label", "z").collect()
+    judge(model, np.array([r.z for r in counts]) / 1000, np.array([r.label for r in counts]), np.array([r["count"] for r in counts], dtype=float), net)
+    return model
+
+
+def train_rows(model: CharCNN, rows: DataFrame, total: int, net: Net) -> None:
+    """Rounds of training on (label, win) rows: shards by hash step through their
+    windows from the same weights, which are then averaged by window."""
+    shards = min(64, -(-total // net.shard_rows))  # their weights come to the driver, 50 KB each
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("win", F.lit(1)), F.lit(shards)).cast("int"))
+    for round_ in range(net.rounds):
+        shipped = rows.sparkSession.sparkContext.broadcast(model)
+
+        def run(group: pa.Table) -> pa.Table:
+            wins, labels = group.column("win").to_pylist(), group.column("label").to_numpy()
+            order = sorted(range(len(wins)), key=lambda i: (wins[i], labels[i]))
+            x = np.frombuffer(b"".join(wins[i] for i in order), dtype=np.uint8).reshape(-1, SIZE)
+            mine = copy.deepcopy(shipped.value)
+            whole_pass(mine, x, labels[order], round_, net)
+            return pa.table({"shard": group.column("shard")[:1], "n": pa.array([len(x)], pa.int64()), "flat": pa.array([mine.weights()], pa.list_(pa.float64()))})
+
+        made = sorted(dealt.groupBy("shard").applyInArrow(run, "shard int, n bigint, flat array<double>").collect())
+        model.put(np.average([r.flat for r in made], axis=0, weights=[r.n for r in made]))
+        shipped.unpersist()
+
+
+def whole_pass(model: CharCNN, x: np.ndarray, y: np.ndarray, round_: int, net: Net) -> None:
+    """Steps of a round, each on 16 windows of either label (32 where a shard has
+    one): once through all windows at least, the fewer label's again and again."""
+    rng = np.random.default_rng(round_)
+    labels = [np.flatnonzero(y == v) for v in (0, 1) if (y == v).any()]
+    size = 32 // len(labels)
+    steps = max(-(-max(map(len, labels)) // size), -(-net.steps // net.rounds))
+    turns = [np.concatenate([rng.permutation(at) for _ in range(-(-steps * size // len(at)))]) for at in labels]
+    done = round_ / net.rounds
+    for k in range(steps):
+        part = np.concatenate([t[k * size:(k + 1) * size] for t in turns])
+        model.step(x[part], y[part].astype(np.float32), 0.5 / (1 + 3 * (done + k / steps / net.rounds)))
+
+
+def logits(rows: DataFrame, model: CharCNN) -> DataFrame:
+    """label, z: the network's logit of each window, at most 30 either way."""
+    shipped = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(b: pa.RecordBatch) -> dict:
+        x = np.frombuffer(b"".join(b.column(1).to_pylist()), dtype=np.uint8).reshape(-1, SIZE)
+        return {"label": b.column(0), "z": np.clip(shipped.value.forward(x)[0].astype(float), -30, 30)}
+
+    return map_batches(rows.select("label", "win"), run, "label int, z double")
+
+
+def _sample(rows: DataFrame, n: dict[int, int], net: Net) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of the smallest hashes, sample_rows of each label: for trials."""
     xs, ys = [], []
-    for label in (0, 1):  # bounded: sample_rows windows of SIZE bytes each
+    for label in (0, 1):
         some = hash_share(F.col("win"), 4 * net.sample_rows, n.get(label, 0))
         got = (rows.filter((F.col("label") == label) & some).select("win")
                .orderBy(F.xxhash64("win"), "win").limit(net.sample_rows).collect())
         xs += [bytes(r.win) for r in got]
         ys += [label] * len(got)
-    x = np.frombuffer(b"".join(xs), dtype=np.uint8).reshape(-1, SIZE)
-    return fit(x, np.array(ys), net)
+    return np.frombuffer(b"".join(xs), dtype=np.uint8).reshape(-1, SIZE), np.array(ys)
 
 
 def find_all(texts: list[str], model: CharCNN) -> list[list[tuple[str, int, int]]]:
