@@ -37,8 +37,9 @@ PIECE = "'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^\\s{letter}{number}]+"
 MARKS = ".,;:!?"
 ODD_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() takes these for space, the file's pattern does not
 
-# Words a worker keeps with their encoding: a bound on memory, not on results.
-CACHE_WORDS = 350_000
+# Words a worker keeps with their encoding: a bound on memory, not on results;
+# one more would double the table.
+CACHE_WORDS = 2 ** 20 // 3
 CACHE_WORD_CHARS = 64
 LAST = 1 << 60
 
@@ -66,7 +67,12 @@ def read_vocabulary(path: str) -> dict:
     """What the encoder needs of a tokenizer file: vocabulary, merges, the
     word-end mark and the special tokens.  Bounded by the file (2 MB)."""
     with open(path, encoding="utf-8") as f:
-        d = json.load(f)
+        return parse_vocabulary(f.read())
+
+
+def parse_vocabulary(file: str) -> dict:
+    """`read_vocabulary` of the text of a tokenizer file."""
+    d = json.loads(file)
     return {"vocab": d["model"]["vocab"], "merges": [tuple(m) for m in d["model"]["merges"]],
             "end": d["model"]["end_of_word_suffix"],
             "special": {t["content"]: t["id"] for t in d["added_tokens"]}}
@@ -76,7 +82,6 @@ def read_vocabulary(path: str) -> dict:
 class Automaton:
     """Token states after all merge gadgets."""
 
-    labels: dict[str, int]
     parts: dict[int, tuple[int, int, int]] = field(default_factory=dict)  # token: left, right, gadget
     lost: dict[int, int] = field(default_factory=dict)                    # state << 20 | arc: gadget
     arcs: dict[int, bool] = field(default_factory=dict)                   # arcs read so far
@@ -84,7 +89,7 @@ class Automaton:
 
     @classmethod
     def compile(cls, vocab: dict[str, int], merges: list[tuple[str, str]]) -> Automaton:
-        a = cls(vocab)
+        a = cls()
         for step, (u, v) in enumerate(merges):
             a.gadget(step, vocab[u], vocab[v], vocab[u + v])
         return a
@@ -132,26 +137,25 @@ class Encoder:
     """Text to token ids; one per worker, built from `read_vocabulary`."""
 
     def __init__(self, files: dict):
-        self.vocab, self.end, self.special = files["vocab"], files["end"], files["special"]
-        self.auto = Automaton.compile(self.vocab, files["merges"])
-        self.names = {i: s for s, i in (self.vocab | self.special).items()}
+        vocab, end, self.special = files["vocab"], files["end"], files["special"]
+        self.auto = Automaton.compile(vocab, files["merges"])
         self.root: dict = {}  # character: [characters that follow, token that ends inside, token that ends a word]
-        for s, i in self.vocab.items():
+        for s, i in vocab.items():
             if i in self.auto.dead:
                 continue
-            last = s.endswith(self.end)
+            last = s.endswith(end)
             follow, node = self.root, None
-            for c in s.removesuffix(self.end) if last else s:
+            for c in s.removesuffix(end) if last else s:
                 node = follow.setdefault(c, [{}, None, None])
                 follow = node[0]
             if node:
                 node[2 if last else 1] = i
         self.bytes = dict(enumerate(byte_alphabet()))
-        self.digits = {i: str(i) for i in self.names}
+        self.digits = {i: str(i) for i in {*vocab.values(), *self.special.values()}}
         self.piece = regex.compile(PIECE.format(letter=char_class("L"), number=char_class("N")))
         self.space = regex.compile(r"\s+")
         self.mark = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")") if self.special else None
-        self.label = {d: self.names[i] for i, d in self.digits.items()}
+        self.label = labels_of(files)
         self.cache: dict[str, str] = {}   # runs as written
         self.pieces: dict[str, str] = {}  # pre-split words
 
@@ -227,10 +231,19 @@ class Encoder:
         return " ".join(ids)
 
     def decode(self, ids: str) -> str:
-        """The labels of ids (joined by one space), joined by one space; an id
-        that the vocabulary does not hold emits nothing."""
-        known = self.label
-        return " ".join([known[i] for i in ids.split(" ") if i in known])
+        """`decoded` ids of a text."""
+        return decoded(self.label, ids)
+
+
+def labels_of(files: dict) -> dict[str, str]:
+    """Id, in decimal: its label."""
+    return {str(i): s for s, i in (files["vocab"] | files["special"]).items()}
+
+
+def decoded(labels: dict[str, str], ids: str) -> str:
+    """The labels of ids (joined by one space), joined by one space; an id
+    that the vocabulary does not hold emits nothing."""
+    return " ".join([labels[i] for i in ids.split(" ") if i in labels])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -241,14 +254,15 @@ def encoder_of(shipped: tuple) -> Encoder:
     name, files = shipped
     if name not in _encoders:
         _encoders.clear()
-        _encoders[name] = Encoder(files.value)
+        _encoders[name] = Encoder(parse_vocabulary(files.value))
     return _encoders[name]
 
 
 def _broadcast(df: DataFrame, path: str) -> tuple:
-    files = read_vocabulary(path)
-    name = hashlib.sha256(json.dumps(files["merges"]).encode()).hexdigest()
-    return name, df.sparkSession.sparkContext.broadcast(files)
+    """The tokenizer file by the hash of its text: workers parse it, and keep the encoder alone."""
+    with open(path, encoding="utf-8") as f:
+        file = f.read()
+    return hashlib.sha256(file.encode()).hexdigest(), df.sparkSession.sparkContext.broadcast(file)
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -276,15 +290,16 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     Null or no ids give an empty text, ids that the vocabulary does not hold
     (null ones too) emit nothing; repeated rows are decoded each, an empty
-    table gives no rows; all columns stay, but for one named text.
+    table gives no rows; all columns stay, but for one named text.  Workers
+    get the labels alone: no automaton, no table of words.
     """
-    files = _broadcast(encoded, path)
+    labels = encoded.sparkSession.sparkContext.broadcast(labels_of(read_vocabulary(path)))
     kept = encoded.drop("text")
 
     def run(b: pa.RecordBatch) -> dict:
-        e = encoder_of(files)
-        ids = b.column(b.schema.names.index("ids")).to_pylist()
-        return dict(zip(b.schema.names, b.columns)) | {"text": [e.decode(" ".join(map(str, i or ()))) for i in ids]}
+        ids = b.column(b.schema.names.index("ids"))
+        texts = [decoded(labels.value, " ".join(map(str, i.as_py() or ()))) for i in ids]
+        return dict(zip(b.schema.names, b.columns)) | {"text": texts}
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return map_batches(kept, run, f"{schema}, text string")

@@ -209,7 +209,8 @@ def in_order(written: DataFrame) -> DataFrame:
     in training order, whatever order the files are read in.
 
     Files of a sorted write are numbered in order, so a row's place is its number in
-    the file plus the rows of earlier files; only one row per file is put in order.
+    the file plus the rows of earlier files; only one row per file is put in order
+    and sent to the rows, which are not shuffled.
     A frame that is not read from files is written first, in its own order.  Nulls and
     repeated rows have places like any other; an empty table gives no rows; a column
     named position is replaced.
@@ -223,5 +224,5 @@ def in_order(written: DataFrame) -> DataFrame:
     before = Window.orderBy("__mix_file").rowsBetween(Window.unboundedPreceding, -1)
     files = (rows.groupBy("__mix_file").agg(F.count(F.lit(1)).alias("n"))
              .select(F.col("__mix_file").alias("__mix_of"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__mix_before")))
-    return (rows.join(files, F.col("__mix_file").eqNullSafe(F.col("__mix_of")))
+    return (rows.join(F.broadcast(files), F.col("__mix_file").eqNullSafe(F.col("__mix_of")))
             .select(*[c for c in written.columns if c != "position"], (F.col("__mix_before") + F.col("__mix_row")).alias("position")))

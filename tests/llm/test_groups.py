@@ -331,3 +331,16 @@ def test_mix_fills_behind_a_long_document(spark):
                 for mid, size in mids:
                     assert abs(mid - (at + size / 2)) < 0.01
                     at += size
+
+
+def test_order_is_given_back_without_a_shuffle_of_the_rows(spark):
+    """The files' row counts go to the rows, also where the planner broadcasts nothing."""
+    path = scratch_path(spark, "test", "unshuffled")
+    mixing.mix(spark.createDataFrame([(i, f"d{i} w w", "en", "a", 0) for i in range(50)], SCHEMA)).write.parquet(path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = mixing.in_order(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

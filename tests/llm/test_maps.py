@@ -243,3 +243,16 @@ def test_scan_values(spark, odd_rows):
         spans = [s.split(":") for s in r.spans.split(",") if s]
         assert sha(",".join(":".join(s) for s in spans if s[0] != "model")) == r.base_sha256
         assert sum(s[0] == "model" for s in spans) == r.n_model
+
+
+def test_decoding_needs_no_encoder(spark, monkeypatch):
+    """Workers that decode hold the labels alone, so that an executor has room
+    for the encoder of its other worker; the rows to decode are not changed."""
+    encoded = bpe.encode(spark.createDataFrame([(1, "one two"), (2, None)], "doc_id bigint, text string"), WORD_BPE)
+    encoded = spark.createDataFrame(encoded.collect(), encoded.schema)
+
+    def no_encoder(*_):
+        raise AssertionError("decode ships an encoder")
+
+    monkeypatch.setattr(bpe, "_broadcast", no_encoder)
+    assert [(r.doc_id, r.text) for r in bpe.decode(encoded, WORD_BPE).orderBy("doc_id").collect()] == [(1, "one</w> two</w>"), (2, "")]
